@@ -17,7 +17,7 @@ from padronix.operators.cleaning import fill_nonfinite
 from padronix.operators.features import Scaling, fit_scaling, varying
 from padronix.operators.quality import n_distinct
 from padronix.operators.quantiles import quantiles
-from padronix.operators.sizing import join_table
+from padronix.operators.sizing import join_table, pin_small
 
 EXACT_SILHOUETTE_ROWS = 5_000
 
@@ -53,7 +53,9 @@ class Prepared:
 
 
 def prepare(groups: DataFrame, cols: Sequence[str]) -> Prepared:
-    """Drop constant columns, fill gaps with 0, z-score, and assemble."""
+    """Drop constant columns, fill gaps with 0, z-score, and assemble. A small table is computed once."""
+    small = pin_small(groups)
+    groups = groups if small is None else small.coalesce(1)
     kept = varying(groups, cols)
     filled = fill_nonfinite(groups, kept)
     scaling = fit_scaling(filled, kept)
@@ -64,10 +66,10 @@ def prepare(groups: DataFrame, cols: Sequence[str]) -> Prepared:
 
 
 def kmeans_best(table: DataFrame, k: int, nstart: int = 25, seed: int = 42, parallelism: int = 8) -> KMeansModel:
-    """The model of lowest cost among `nstart` starts; `table` should be cached."""
+    """The model of lowest cost among `nstart` random starts; `table` should be cached."""
 
     def fit(start: int) -> KMeansModel:
-        return KMeans(k=k, seed=seed + start, maxIter=50, tol=1e-6).fit(table)
+        return KMeans(k=k, seed=seed + start, initMode="random", maxIter=50, tol=1e-6).fit(table)
 
     task = inheritable_thread_target(table.sparkSession)(fit)
     with ThreadPoolExecutor(parallelism) as pool:
@@ -81,7 +83,9 @@ def total_ss(table: DataFrame, cols: Sequence[str]) -> float:
     return row["n"] * sum(row[c] or 0.0 for c in cols)
 
 
-def k_curves(prepared: Prepared, ks: Sequence[int], nstart: int, seed: int = 42) -> DataFrame:
+def k_curves(
+    prepared: Prepared, ks: Sequence[int], nstart: int, seed: int = 42, parallelism: int = 8
+) -> DataFrame:
     """Within sum of squares (elbow) and mean Euclidean silhouette per k.
 
     k = 1 has the total sum of squares and no silhouette. Past the size for the exact silhouette the
@@ -90,22 +94,20 @@ def k_curves(prepared: Prepared, ks: Sequence[int], nstart: int, seed: int = 42)
     table = prepared.table
     z = [f"z_{c}" for c in prepared.cols]
     exact = table.limit(EXACT_SILHOUETTE_ROWS + 1).count() <= EXACT_SILHOUETTE_ROWS
-    out = []
-    for k in ks:
+
+    def measure(k: int) -> tuple[int, float, float | None, str | None]:
         if k == 1:
-            out.append((1, total_ss(table, z), None, None))
-            continue
-        model = kmeans_best(table, k, nstart, seed)
+            return 1, total_ss(table, z), None, None
+        model = kmeans_best(table, k, nstart, seed, parallelism=1)
         assigned = model.transform(table)
-        found = assigned.select("prediction").distinct().limit(2).count()
-        if found < 2:
-            width = None
-        elif exact:
+        if exact:
             width = silhouette_points(assigned, z, "prediction").agg(F.avg("width")).first()[0]
-        else:
-            width = ClusteringEvaluator().evaluate(assigned)
-        measure = "euclidean" if exact else "squaredEuclidean"
-        out.append((k, float(model.summary.trainingCost), width, measure))
+            return k, float(model.summary.trainingCost), width, "euclidean"
+        return k, float(model.summary.trainingCost), ClusteringEvaluator().evaluate(assigned), "squaredEuclidean"
+
+    task = inheritable_thread_target(table.sparkSession)(measure)
+    with ThreadPoolExecutor(parallelism) as pool:
+        out = list(pool.map(task, ks))
     return table.sparkSession.createDataFrame(out, "k int, wss double, silhouette double, measure string")
 
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import time
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -19,6 +21,7 @@ from padronix.operators.evaluation import auc, coef_table, confusion, scaled_imp
 from padronix.operators.features import Scaling, design, design_names, fit_scaling
 from padronix.operators.quality import require_two_classes
 from padronix.operators.sampling import assign_folds, downsample
+from padronix.operators.sizing import fuller
 
 LABEL = "_label"
 
@@ -36,6 +39,7 @@ class Spec:
     down: bool = True
     scale: bool = False
     seed: int = 42
+    parallelism: int = 3
     forest: Mapping[str, int] = field(default_factory=lambda: {"numTrees": 300, "maxDepth": 10})
     mtry: Sequence[int] = (3, 5, 7)
 
@@ -77,20 +81,28 @@ def _balanced(df: DataFrame, spec: Spec) -> DataFrame:
 
 
 def cross_validate(df: DataFrame, spec: Spec, candidates: Mapping[str, object]) -> list[tuple[str, int, float]]:
-    """AUC per (candidate, fold). Only the training part of a fold is down-sampled."""
+    """AUC per (candidate, fold). Only the training part of a fold is down-sampled.
+
+    `spec.parallelism` folds are fitted side by side, each holding its cached training part.
+    """
     folded = assign_folds(df, LABEL, spec.folds, spec.seed + 1, spec.key).persist()
     evaluator = BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC")
-    out = []
-    try:
-        for fold in range(spec.folds):
-            train = _balanced(folded.where(F.col("fold") != fold), spec).persist()
-            test = folded.where(F.col("fold") == fold)
-            for name, estimator in candidates.items():
-                out.append((name, fold, float(evaluator.evaluate(estimator.fit(train).transform(test)))))
+
+    def run(fold: int) -> list[tuple[str, int, float]]:
+        train = _balanced(folded.where(F.col("fold") != fold), spec).persist()
+        packed = fuller(train)
+        test = folded.where(F.col("fold") == fold)
+        try:
+            return [(n, fold, float(evaluator.evaluate(e.fit(packed).transform(test)))) for n, e in candidates.items()]
+        finally:
             train.unpersist()
+
+    try:
+        task = inheritable_thread_target(df.sparkSession)(run)
+        with ThreadPoolExecutor(min(spec.parallelism, spec.folds)) as pool:
+            return [trial for trials in pool.map(task, range(spec.folds)) for trial in trials]
     finally:
         folded.unpersist()
-    return out
 
 
 def _prepare(train: DataFrame, spec: Spec, numeric: Sequence[str]):
@@ -110,7 +122,9 @@ def _finish(spec: Spec, train: DataFrame, candidates: Mapping[str, object], code
         trials = cross_validate(rows, spec, candidates)
         mean = {n: sum(a for m, _, a in trials if m == n) / spec.folds for n in candidates}
         best = max(candidates, key=lambda n: mean[n])
-        final = candidates[best].fit(_balanced(rows, spec))
+        train_rows = _balanced(rows, spec).persist()
+        final = candidates[best].fit(fuller(train_rows))
+        train_rows.unpersist()
     finally:
         rows.unpersist()
     cv = train.sparkSession.createDataFrame(trials, "candidate string, fold int, auc double")

@@ -36,6 +36,10 @@ def _interpolated(probs: Sequence[float], prefix: str) -> list[Column]:
     return out
 
 
+def _number(x: float | None) -> Column:
+    return F.lit(x).cast("double")
+
+
 def quantiles(
     df: DataFrame,
     value: str,
@@ -46,7 +50,7 @@ def quantiles(
 ) -> DataFrame:
     """One row per group with columns q0, q1, ... for the sorted `probs`; NULL and NaN are skipped.
 
-    Groups without any value give no row.
+    Groups without any value give no row. The sketch is computed when this is called.
     """
     if list(probs) != sorted(set(probs)):
         raise ValueError("probs must be sorted and distinct")
@@ -65,16 +69,20 @@ def quantiles(
         )
         .select(*by, "_n", F.struct("_e", "_min", "_max").alias("_s"))
     )
+    k = len(probs)
+    v = F.col("_v")
     if by:
         tagged = join_table(rows, sketch, by)
+        n, low, high, marks = F.col("_n"), F.col("_s._min"), F.col("_s._max"), [F.col("_s._e")[i] for i in range(2 * k)]
     else:
-        scalar = sketch.select(F.struct("_n", "_s").alias("_t")).scalar()
-        tagged = rows.withColumn("_t", scalar).select("_v", "_t._n", "_t._s")
-    k = len(probs)
-    v = F.col("_v")
-    whole = F.col("_n") < accuracy
-    lows = [F.when(whole | (edges[i] == 0.0), F.col("_s._min")).otherwise(F.col("_s._e")[i]) for i in range(k)]
-    highs = [F.when(whole | (edges[k + i] == 1.0), F.col("_s._max")).otherwise(F.col("_s._e")[k + i]) for i in range(k)]
+        one = sketch.first()  # a handful of numbers
+        found = one["_s"]["_e"] or [None] * (2 * k)
+        tagged = rows.withColumn("_n", F.lit(one["_n"]))
+        n, low, high = F.col("_n"), _number(one["_s"]["_min"]), _number(one["_s"]["_max"])
+        marks = [_number(e) for e in found]
+    whole = n < accuracy
+    lows = [F.when(whole | (edges[i] == 0.0), low).otherwise(marks[i]) for i in range(k)]
+    highs = [F.when(whole | (edges[k + i] == 1.0), high).otherwise(marks[k + i]) for i in range(k)]
     opened = reduce(lambda a, b: a + b, [(v >= low).cast("int") for low in lows])
     closed = reduce(lambda a, b: a + b, [(v > high).cast("int") for high in highs])
     counted = (

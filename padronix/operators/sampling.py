@@ -20,11 +20,16 @@ PREFIX_DIGITS = 4
 
 
 def hash_cutoffs(
-    df: DataFrame, by: Sequence[str], targets: Callable[[Column], Column], digits: int = PREFIX_DIGITS
+    df: DataFrame,
+    by: Sequence[str],
+    targets: Callable[[Column], Column],
+    digits: int = PREFIX_DIGITS,
+    of_smallest: bool = False,
 ) -> DataFrame:
     """Per group an array of (rank, cutoff), cutoff being the rank-th smallest `_h` of the group.
 
-    `targets` maps the group size to an array of 1-based ranks; ranks outside 1..n are ignored.
+    `targets` maps the group size (or, `of_smallest`, the size of the smallest group) to an array of
+    1-based ranks; ranks outside 1..n are ignored.
     """
     by = list(by)
     rows = df.select(*by, "_h", F.substring("_h", 1, digits).alias("_p"))
@@ -36,7 +41,8 @@ def hash_cutoffs(
             "_n": F.sum("_c").over(group),
         }
     )
-    holding = totals.withColumn("_t", F.explode(targets(F.col("_n")))).where(
+    size = totals.agg(F.min("_n").alias("m")).scalar() if of_smallest else F.col("_n")
+    holding = totals.withColumn("_t", F.explode(targets(size))).where(
         (F.col("_t") > F.col("_cum") - F.col("_c")) & (F.col("_t") <= F.col("_cum"))
     )
     wanted = holding.groupBy(*by, "_p").agg(
@@ -84,10 +90,7 @@ def stratified_split(
 def downsample(df: DataFrame, label: str, seed: int, key: Sequence[str]) -> DataFrame:
     """Keep as many rows of every class as the smallest class has."""
     hashed = _hashed(df, seed, key)
-    smallest = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).agg(F.min("n").alias("m")).first()["m"]
-    if smallest is None:
-        return df
-    cut = hash_cutoffs(hashed, [label], lambda n: F.array(F.lit(smallest).cast("long")))
+    cut = hash_cutoffs(hashed, [label], _one_rank(lambda n: n), of_smallest=True)
     return join_table(hashed, cut, [label]).where(F.col("_h") <= F.col("_cut")[0]["h"]).drop("_h", "_cut")
 
 

@@ -58,3 +58,11 @@ def join_table(
         term = F.col(a).eqNullSafe(F.col(b)) if a != "__salt" else F.col(a) == F.col(b)
         condition = term if condition is None else condition & term
     return left.join(right, condition, how).drop("__salt", "__salt_r", *[f"__{k}" for k in on])
+
+
+def fuller(kept: DataFrame, rows_per_task: int = 20_000) -> DataFrame:
+    """Persisted rows, read by no more tasks than they fill: for fits that pass over them many times.
+
+    Where there are more rows than partitions times `rows_per_task` the partitioning stays as it is.
+    """
+    return kept.coalesce(max(1, -(-kept.count() // rows_per_task)))

@@ -38,9 +38,9 @@ WITH r AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi, count(
   FROM lineitem),
 b AS (SELECT {_bin_sql("l_extendedprice", 256)} AS bin, count(*) AS c FROM lineitem, r GROUP BY 1),
 g AS (SELECT unnest(range(64)) AS point),
-k AS (SELECT point, lo + (hi - lo) * point / 63 AS at, c, h, n, lo + (hi - lo) * (bin + 0.5) / 256 AS center FROM b, g, r)
-SELECT CAST(point AS INTEGER) AS point, round(any_value(at), 6) AS x,
-  round(sum(c * exp(-0.5 * ((at - center) / h) ** 2)) / (sqrt(2 * pi()) * any_value(h) * any_value(n)), 8) AS density
+k AS (SELECT point, lo + (hi - lo) * point / 63 AS pos, c, h, n, lo + (hi - lo) * (bin + 0.5) / 256 AS center FROM b, g, r)
+SELECT CAST(point AS INTEGER) AS point, round(any_value(pos), 6) AS x,
+  round(sum(c * exp(-0.5 * ((pos - center) / h) ** 2)) / (sqrt(2 * pi()) * any_value(h) * any_value(n)), 8) AS density
 FROM k GROUP BY 1
 """)
 def density(spark, d):
