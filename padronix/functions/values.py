@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 def to_double(c: Column) -> Column:
     """Text to double; bad text gives NULL, as do Java's number suffixes ("12d", "3f")."""
-    return F.when(~c.cast("string").rlike(r"[0-9.][dDfF]\s*$"), c.cast("string").try_cast("double"))
+    text = F.trim(c.cast("string"))
+    suffixed = F.substring(text, -1, 1).isin("d", "D", "f", "F") & ~F.lower(F.substring(text, -3, 3)).eqNullSafe("inf")
+    return F.when(~suffixed, text.try_cast("double"))
 
 
 def to_int(c: Column) -> Column:

@@ -17,7 +17,7 @@ from padronix.operators.cleaning import fill_nonfinite
 from padronix.operators.features import Scaling, fit_scaling, varying
 from padronix.operators.quality import n_distinct
 from padronix.operators.quantiles import quantiles
-from padronix.operators.sizing import join_table, pin_small
+from padronix.operators.sizing import pin_small
 
 EXACT_SILHOUETTE_ROWS = 5_000
 
@@ -26,21 +26,16 @@ def group_features(
     df: DataFrame, by: Sequence[str], share: str, size: str, exported: Column, small: Column, area: str, min_n: int
 ) -> DataFrame:
     """Feature row per group of at least `min_n` rows."""
-    by = list(by)
-    groups = (
-        df.groupBy(*by)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.avg(share).alias("mean_share"),
-            F.avg(size).alias("mean_size"),
-            F.avg(exported.cast("double")).alias("export_rate"),
-            F.avg(small.cast("double")).alias("small_share"),
-            n_distinct(area).alias("areas"),
-        )
-        .where(F.col("n") >= min_n)
-    )
-    middle = quantiles(df, share, [0.5], by).withColumnRenamed("q0", "median_share")
-    return join_table(groups, middle, by, "left")
+    features = {
+        "n": F.count(F.lit(1)),
+        "mean_share": F.avg(share),
+        "mean_size": F.avg(size),
+        "export_rate": F.avg(exported.cast("double")),
+        "small_share": F.avg(small.cast("double")),
+        "areas": n_distinct(area),
+    }
+    groups = quantiles(df, share, [0.5], by, also=features)
+    return groups.where(F.col("n") >= min_n).withColumnRenamed("q0", "median_share")
 
 
 @dataclass(frozen=True)

@@ -106,14 +106,18 @@ def cross_validate(df: DataFrame, spec: Spec, candidates: Mapping[str, object])
 
 
 def _prepare(train: DataFrame, spec: Spec, numeric: Sequence[str]):
-    rows = _with_label(train, spec)
-    require_two_classes(rows, LABEL)
-    scaling = fit_scaling(rows, numeric) if spec.scale and numeric else None
-    rows = _scaled(scaling, rows)
+    need = dict.fromkeys([spec.label, *spec.categorical, *numeric, *spec.key])
+    base = _with_label(train.select(*need), spec).persist()
+    require_two_classes(base, LABEL)
+    scaling = fit_scaling(base, numeric) if spec.scale and numeric else None
+    rows = _scaled(scaling, base)
     coder = design(spec.categorical, numeric).fit(rows)
     names = design_names(coder, spec.categorical, numeric)
     keep = dict.fromkeys([LABEL, "features", *spec.key])
-    return coder, names, scaling, coder.transform(rows).select(*keep).persist()
+    rows = coder.transform(rows).select(*keep).persist()
+    rows.count()
+    base.unpersist()
+    return coder, names, scaling, rows
 
 
 def _finish(spec: Spec, train: DataFrame, candidates: Mapping[str, object], coder, names, scaling, rows) -> Fitted:
@@ -146,7 +150,8 @@ def fit_forest(train: DataFrame, spec: Spec) -> Fitted:
 
 def fit_logit(train: DataFrame, spec: Spec) -> Fitted:
     """Unpenalised logistic regression for scoring, after dropping aliased numeric predictors."""
-    numeric = [c for c in spec.numeric if c not in set(aliased_columns(train, spec.numeric))] if spec.numeric else []
+    dropped = aliased_columns(train, spec.numeric) if spec.numeric else []
+    numeric = [c for c in spec.numeric if c not in dropped]
     coder, names, scaling, rows = _prepare(train, spec, numeric)
     candidates = {"logit": LogisticRegression(labelCol=LABEL, regParam=0.0, maxIter=100)}
     return _finish(spec, train, candidates, coder, names, scaling, rows)

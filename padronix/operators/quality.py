@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from padronix.functions.values import equal_width_bin, is_missing, pct
 from padronix.operators.quantiles import quantiles_of, unpivot
-from padronix.operators.sizing import join_table
+from padronix.operators.sizing import join_table, pin_small
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -66,26 +66,28 @@ def profile_text(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def profile_numeric(df: DataFrame, cols: Sequence[str], bins: int = 5, digits: int = 4) -> DataFrame:
     """Per numeric column: missing, completeness, mean, sd, five quantiles and a small histogram."""
-    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    long = unpivot(doubles, cols)
     value = F.col("value")
-    shape = long.groupBy("variable").agg(
-        F.count_if(value.isNull()).alias("n_missing"),
-        F.round(F.avg(value.isNotNull().cast("double")), 4).alias("complete_rate"),
-        F.round(F.avg(value), digits).alias("mean"),
-        F.round(F.stddev_samp(value), digits).alias("sd"),
-        F.min(value).alias("_low"),
-        F.max(value).alias("_high"),
-    )
-    marks = quantiles_of(df, cols, [0.0, 0.25, 0.5, 0.75, 1.0])
-    names = ["p0", "p25", "p50", "p75", "p100"]
-    marks = marks.select("variable", *[F.round(f"q{i}", digits).alias(n) for i, n in enumerate(names)])
-    binned = join_table(long.where(value.isNotNull()), shape.select("variable", "_low", "_high"), ["variable"])
-    bin_id = equal_width_bin(value, F.col("_low"), F.col("_high"), bins)
+    moments = {
+        "n_missing": F.count_if(value.isNull()),
+        "complete_rate": F.round(F.avg(value.isNotNull().cast("double")), 4),
+        "mean": F.round(F.avg(value), digits),
+        "sd": F.round(F.stddev_samp(value), digits),
+    }
+    shape = quantiles_of(df, cols, [0.0, 0.25, 0.5, 0.75, 1.0], also=moments)
+    shape = pin_small(shape, len(cols))  # one row per column
+    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    long = unpivot(doubles, cols).where(value.isNotNull())
+    binned = join_table(long, shape.select("variable", "q0", "q4"), ["variable"], small=True)
+    bin_id = equal_width_bin(value, F.col("q0"), F.col("q4"), bins)
     counts = [F.count_if(bin_id == i).cast("string") for i in range(bins)]
     hist = binned.groupBy("variable").agg(F.concat_ws("|", *counts).alias("hist"))
-    joined = shape.drop("_low", "_high").join(marks, "variable", "left").join(hist, "variable", "left")
-    return joined.withColumnRenamed("variable", "column")
+    names = ["p0", "p25", "p50", "p75", "p100"]
+    return shape.join(hist, "variable", "left").select(
+        F.col("variable").alias("column"),
+        *moments,
+        *[F.round(f"q{i}", digits).alias(n) for i, n in enumerate(names)],
+        "hist",
+    )
 
 
 def profile(df: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
@@ -97,12 +99,9 @@ def profile(df: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
 
 def six_number(df: DataFrame, cols: Sequence[str], digits: int = 4) -> DataFrame:
     """Minimum, quartiles, mean and maximum per column."""
-    marks = quantiles_of(df, cols, [0.0, 0.25, 0.5, 0.75, 1.0])
-    means = df.agg(
-        F.array(*[F.struct(F.lit(c).alias("variable"), F.avg(c).alias("mean")) for c in cols]).alias("_m")
-    ).select(F.inline("_m"))
+    marks = quantiles_of(df, cols, [0.0, 0.25, 0.5, 0.75, 1.0], also={"mean": F.avg("value")})
     names = ["min", "q1", "median", "q3", "max"]
-    return marks.join(means, "variable").select(
+    return marks.select(
         F.col("variable").alias("column"),
         *[F.round(f"q{i}", digits).alias(n) for i, n in enumerate(names)],
         F.round("mean", digits).alias("mean"),

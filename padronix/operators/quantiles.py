@@ -8,13 +8,13 @@ than `accuracy` rows are bracketed whole.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from padronix.operators.sizing import join_table
+from padronix.operators.sizing import join_table, pin_small
 
 ACCURACY = 20_000
 
@@ -30,9 +30,8 @@ def _interpolated(probs: Sequence[float], prefix: str) -> list[Column]:
         at_ceil = F.max(F.when(F.ceil(rank).between(first, last), F.col("_key")))
         value = at_floor + (at_ceil - at_floor) * (position - F.floor(position))
         guard = F.raise_error(F.lit("quantile rank outside its sketch bracket; raise accuracy"))
-        out.append(
-            F.when(at_floor.isNull() | at_ceil.isNull(), guard.cast("double")).otherwise(value).alias(f"{prefix}{i}")
-        )
+        missed = F.max("_n").isNotNull() & (at_floor.isNull() | at_ceil.isNull())
+        out.append(F.when(missed, guard.cast("double")).otherwise(value).alias(f"{prefix}{i}"))
     return out
 
 
@@ -45,60 +44,64 @@ def quantiles(
     value: str,
     probs: Sequence[float],
     by: Sequence[str] = (),
+    also: Mapping[str, Column] | None = None,
     prefix: str = "q",
     accuracy: int = ACCURACY,
 ) -> DataFrame:
     """One row per group with columns q0, q1, ... for the sorted `probs`; NULL and NaN are skipped.
 
-    Groups without any value give no row. The sketch is computed when this is called.
+    `also` names aggregates over all rows of the group, computed in the sketch's pass. A group without any
+    value has NULL quantiles. The sketch pass runs when this is called.
     """
     if list(probs) != sorted(set(probs)):
         raise ValueError("probs must be sorted and distinct")
-    by = list(by)
-    rows = df.select(*by, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    by, also, k = list(by), dict(also or {}), len(probs)
+    number = F.col(value).cast("double")
+    v = F.when(~F.isnan(number), number)
     # the sketch may miss by n / accuracy ranks, and interpolation needs one rank more on either side
     margin = 3.5 / accuracy
     edges = [max(p - margin, 0.0) for p in probs] + [min(p + margin, 1.0) for p in probs]
-    sketch = (
-        rows.groupBy(*by)
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.percentile_approx("_v", edges, accuracy).alias("_e"),
-            F.min("_v").alias("_min"),
-            F.max("_v").alias("_max"),
-        )
-        .select(*by, "_n", F.struct("_e", "_min", "_max").alias("_s"))
+    sketch = df.groupBy(*by).agg(
+        F.count(v).alias("_n"),
+        F.percentile_approx(v, edges, accuracy).alias("_e"),
+        F.min(v).alias("_min"),
+        F.max(v).alias("_max"),
+        *[c.alias(name) for name, c in also.items()],
     )
-    k = len(probs)
-    v = F.col("_v")
+    local = pin_small(sketch)
+    groups = sketch.persist() if local is None else local
+    rows = df.select(*by, v.alias("_v")).where(F.col("_v").isNotNull())
     if by:
-        tagged = join_table(rows, sketch, by)
-        n, low, high, marks = F.col("_n"), F.col("_s._min"), F.col("_s._max"), [F.col("_s._e")[i] for i in range(2 * k)]
+        tagged = join_table(rows, groups.select(*by, "_n", "_e", "_min", "_max"), by, small=local is not None)
+        low, high, marks = F.col("_min"), F.col("_max"), [F.col("_e")[i] for i in range(2 * k)]
     else:
-        one = sketch.first()  # a handful of numbers
-        found = one["_s"]["_e"] or [None] * (2 * k)
-        tagged = rows.withColumn("_n", F.lit(one["_n"]))
-        n, low, high = F.col("_n"), _number(one["_s"]["_min"]), _number(one["_s"]["_max"])
-        marks = [_number(e) for e in found]
-    whole = n < accuracy
+        one = groups.first()  # a handful of numbers
+        tagged = rows.withColumn("_n", F.lit(one["_n"]).cast("long"))
+        low, high = _number(one["_min"]), _number(one["_max"])
+        marks = [_number(e) for e in one["_e"] or [None] * (2 * k)]
+    whole = F.col("_n") < accuracy
     lows = [F.when(whole | (edges[i] == 0.0), low).otherwise(marks[i]) for i in range(k)]
     highs = [F.when(whole | (edges[k + i] == 1.0), high).otherwise(marks[k + i]) for i in range(k)]
-    opened = reduce(lambda a, b: a + b, [(v >= low).cast("int") for low in lows])
-    closed = reduce(lambda a, b: a + b, [(v > high).cast("int") for high in highs])
+    opened = reduce(lambda a, b: a + b, [(F.col("_v") >= edge).cast("int") for edge in lows])
+    closed = reduce(lambda a, b: a + b, [(F.col("_v") > edge).cast("int") for edge in highs])
     counted = (
         tagged.select(*by, "_n", "_v", opened.alias("_open"), closed.alias("_shut"))
         .select(
             *by,
             "_n",
             (F.col("_open") + F.col("_shut")).alias("_gap"),
-            F.when(F.col("_open") > F.col("_shut"), v).alias("_key"),
+            F.when(F.col("_open") > F.col("_shut"), F.col("_v")).alias("_key"),
         )
         .groupBy(*by, "_n", "_gap", "_key")
         .agg(F.count(F.lit(1)).alias("_cnt"))
     )
     order = Window.partitionBy(*by).orderBy("_gap", "_key").rowsBetween(Window.unboundedPreceding, 0)
     ranked = counted.withColumn("_cum", F.sum("_cnt").over(order))
-    return ranked.groupBy(*by).agg(*_interpolated(probs, prefix))
+    picked = ranked.groupBy(*by).agg(*_interpolated(probs, prefix))
+    if by:
+        return join_table(groups.select(*by, *also), picked, by, "left", small=local is not None)
+    kinds = {f.name: f.dataType for f in groups.schema}
+    return picked.withColumns({name: F.lit(one[name]).cast(kinds[name]) for name in also})
 
 
 def median(df: DataFrame, value: str, by: Sequence[str] = (), name: str = "median") -> DataFrame:
@@ -113,7 +116,13 @@ def unpivot(
     return df.unpivot(list(ids), list(values), variable, value)
 
 
-def quantiles_of(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
-    """Quantiles of several columns at once: one row per (variable, group)."""
+def quantiles_of(
+    df: DataFrame,
+    cols: Sequence[str],
+    probs: Sequence[float],
+    by: Sequence[str] = (),
+    also: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """Quantiles of several columns at once: one row per (variable, group). `also` aggregates `value`."""
     doubles = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
-    return quantiles(unpivot(doubles, cols, by), "value", probs, ["variable", *by])
+    return quantiles(unpivot(doubles, cols, by), "value", probs, ["variable", *by], also)

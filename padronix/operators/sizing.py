@@ -35,17 +35,22 @@ def join_table(
     how: str = "inner",
     max_rows: int = SMALL_ROWS,
     salts: int = SALTS,
+    small: bool | None = None,
 ) -> DataFrame:
     """Join rows with a per-key table (unique on `on`); NULL keys match each other.
 
     Small tables are broadcast. A larger one is repeated once per salt and joined on (key, salt): every
     row meets exactly one copy, and the result is not hash-partitioned by the key alone, so later
-    grouping by the key still combines before its shuffle.
+    grouping by the key still combines before its shuffle. `small` tells the outcome of a check already
+    made (of this table, or of another with the same groups).
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"join_table does not support {how!r}")
     renamed = table.withColumnsRenamed({k: f"__{k}" for k in on})
-    local = pin_small(renamed, max_rows)
+    if small is None:
+        local = pin_small(renamed, max_rows)
+    else:
+        local = renamed if small else None
     if local is not None:
         right, left, pairs = F.broadcast(local), df, [(k, f"__{k}") for k in on]
     else:

@@ -42,26 +42,11 @@ def composition(df: DataFrame, group: str, category: str, digits: int = 4) -> Da
 
 def describe_num(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), digits: int = 4) -> DataFrame:
     """Mean, median, sd, quartiles and extremes per column (and group), skipping NULL."""
-    by = list(by)
-    stats = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("variable"),
-                F.avg(c).alias("mean"),
-                F.stddev_samp(c).alias("sd"),
-                F.min(F.col(c).cast("double")).alias("min"),
-                F.max(F.col(c).cast("double")).alias("max"),
-            )
-            for c in cols
-        ]
-    )
-    moments = df.groupBy(*by).agg(stats.alias("_s")).select(*by, F.inline("_s"))
-    marks = quantiles_of(df, cols, [0.25, 0.5, 0.75], by).select(
-        "variable", *by, F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3")
-    )
-    out = join_table(moments, marks, ["variable", *by], "left")
-    order = ["mean", "median", "sd", "q1", "q3", "min", "max"]
-    return out.select("variable", *by, *[F.round(c, digits).alias(c) for c in order])
+    by, value = list(by), F.col("value")
+    moments = {"mean": F.avg(value), "sd": F.stddev_samp(value), "min": F.min(value), "max": F.max(value)}
+    out = quantiles_of(df, cols, [0.25, 0.5, 0.75], by, also=moments)
+    order = {"mean": "mean", "median": "q1", "sd": "sd", "q1": "q0", "q3": "q2", "min": "min", "max": "max"}
+    return out.select("variable", *by, *[F.round(c, digits).alias(name) for name, c in order.items()])
 
 
 def top_groups(df: DataFrame, col: str, n: int) -> DataFrame:
@@ -85,18 +70,14 @@ def profile_groups(df: DataFrame, by: str, metrics: Mapping[str, Column], keep:
 
 def group_profile(df: DataFrame, by: str, x: str, min_n: int, label_width: int = 35, digits: int = 6) -> DataFrame:
     """Mean, median, sd of x per group of at least `min_n` rows, and the deviation from the overall mean."""
-    rows = df.where(F.col(x).isNotNull() & F.col(by).isNotNull()).select(by, x)
-    groups = rows.groupBy(by).agg(
-        F.count(F.lit(1)).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("sd")
-    )
-    groups = groups.where(F.col("n") >= min_n)
-    middle = quantiles(rows, x, [0.5], [by]).withColumnRenamed("q0", "median")
+    moments = {"n": F.count(x), "mean": F.avg(x), "sd": F.stddev_samp(x)}
+    groups = quantiles(df.select(by, x), x, [0.5], [by], also=moments)
     overall = df.agg(F.avg(x).alias("m")).scalar()
-    return join_table(groups, middle, [by], "left").select(
+    return groups.where((F.col("n") >= min_n) & F.col(by).isNotNull()).select(
         by,
         "n",
         F.round("mean", digits).alias("mean"),
-        F.round("median", digits).alias("median"),
+        F.round("q0", digits).alias("median"),
         F.round("sd", digits).alias("sd"),
         F.round(F.col("mean") - overall, digits).alias("deviation"),
         shorten(F.col(by), label_width).alias("label"),
@@ -188,28 +169,44 @@ def executive_summary(
     df: DataFrame, distinct: Mapping[str, str], share: str, event: Column, size: str
 ) -> DataFrame:
     """One row: size, distinct counts, mean and median share, event percentage, mean size."""
-    row = df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        *[n_distinct(c).alias(name) for name, c in distinct.items()],
-        F.round(F.avg(share), 3).alias("mean_share"),
-        F.round(F.avg(event.cast("double")) * 100, 2).alias("event_rate"),
-        F.round(F.avg(size), 1).alias("mean_size"),
+    row = quantiles(
+        df,
+        share,
+        [0.5],
+        also={
+            "n_rows": F.count(F.lit(1)),
+            **{name: n_distinct(c) for name, c in distinct.items()},
+            "mean_share": F.round(F.avg(share), 3),
+            "event_rate": F.round(F.avg(event.cast("double")) * 100, 2),
+            "mean_size": F.round(F.avg(size), 1),
+        },
     )
-    return row.withColumn("median_share", F.round(quantiles(df, share, [0.5]).scalar(), 3))
+    return row.withColumn("median_share", F.round("q0", 3)).drop("q0")
 
 
-def most_frequent(df: DataFrame, col: str) -> Column:
-    """The commonest value (ties: the smaller), as a scalar subquery."""
-    return top_groups(df.where(F.col(col).isNotNull()), col, 1).select(F.col(col).cast("string")).scalar()
+def most_frequent(df: DataFrame, col: str, n: Column) -> Column:
+    """The value with the largest total of `n` (ties: the smaller), as a scalar subquery."""
+    totals = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.sum(n).alias("n"))
+    return totals.orderBy(F.desc("n"), col).limit(1).select(F.col(col).cast("string")).scalar()
 
 
 def insights(df: DataFrame, region: str, sector: str, share: str, event: Column) -> DataFrame:
-    """Key figures as (metric, value) text, the thousands set off by dots."""
-    one = df.agg(
+    """Key figures as (metric, value) text, the thousands set off by dots.
+
+    All of them are read off one table of counts and sums per (region, sector).
+    """
+    cells = df.groupBy(region, sector).agg(
         F.count(F.lit(1)).alias("n"),
-        (F.avg(share) * 100).alias("s"),
-        (F.avg(event.cast("double")) * 100).alias("e"),
-    ).withColumns({"r": most_frequent(df, region), "t": most_frequent(df, sector)})
+        F.sum(share).alias("s"),
+        F.count(share).alias("ns"),
+        F.count_if(event).alias("e"),
+        F.count(event).alias("ne"),
+    )
+    one = cells.agg(
+        F.sum("n").alias("n"),
+        (F.sum("s") / F.sum("ns") * 100).alias("s"),
+        (F.sum("e") / F.sum("ne") * 100).alias("e"),
+    ).withColumns({"r": most_frequent(cells, region, F.col("n")), "t": most_frequent(cells, sector, F.col("n"))})
     values = {
         "rows": F.translate(F.format_number("n", 0), ",", "."),
         "most_common_region": F.col("r"),

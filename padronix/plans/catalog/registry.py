@@ -184,7 +184,7 @@ SELECT section_name, count(*) AS n, round(avg(share_women), 6) AS mean, round(me
 FROM f GROUP BY 1 HAVING count(*) >= 20
 """)
 def registry_sector_profile(spark, d):
-    return explore.sector_profile(full(spark, d), min_n=20)
+    return explore.sector_profile(full(spark, d).select("section_name", "share_women").persist(), min_n=20)
 
 
 @query(f"""
