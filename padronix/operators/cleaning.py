@@ -26,7 +26,11 @@ def canonicalize(df: DataFrame, col: str, rules: Sequence[tuple[str, str]], lowe
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Cast the columns a contract names; unreadable text becomes NULL. Other columns stay."""
+    """Cast the columns a contract names; unreadable text becomes NULL. Other columns stay.
+
+    The typed columns pass through a one-element array: filters on them are then not rewritten in terms
+    of the text, which would repeat every cast in every rule.
+    """
     casts = {}
     for field in schema:
         if field.name not in df.columns:
@@ -38,7 +42,8 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
             casts[field.name] = to_double(c)
         else:
             casts[field.name] = c.cast("string").try_cast(field.dataType)
-    return df.withColumns(casts)
+    typed = df.withColumns(casts)
+    return typed.select(F.inline(F.array(F.struct(*typed.columns))))
 
 
 def dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:

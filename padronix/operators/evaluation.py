@@ -44,6 +44,8 @@ def _score_counts(df: DataFrame, score: str, label: str, positive) -> DataFrame:
 
 def _edges(df: DataFrame, score: str, ranges: int) -> list[float]:
     """Bounded list of score boundaries that cut the rows into about equal ranges."""
+    if ranges < 2:
+        return [float("-inf"), float("inf")]
     marks = df.select(F.col(score).cast("double").alias("s")).approxQuantile(
         "s", [i / ranges for i in range(1, ranges)], 0.25 / ranges
     )
@@ -102,6 +104,7 @@ def roc_points(
         counts = ranged.groupBy("range").agg(
             F.min("s").alias("s"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg")
         )
+        counts = counts.drop("range")
     run = running_counts(counts, edges)
     total = counts.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n")).alias("t")).scalar()
     return run.withColumn("_t", total).select(

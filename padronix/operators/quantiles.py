@@ -45,13 +45,15 @@ def quantiles(
     probs: Sequence[float],
     by: Sequence[str] = (),
     also: Mapping[str, Column] | None = None,
+    overall: Mapping[str, Column] | None = None,
     prefix: str = "q",
     accuracy: int = ACCURACY,
 ) -> DataFrame:
     """One row per group with columns q0, q1, ... for the sorted `probs`; NULL and NaN are skipped.
 
-    `also` names aggregates over all rows of the group, computed in the sketch's pass. A group without any
-    value has NULL quantiles. The sketch pass runs when this is called.
+    `also` names aggregates over all rows of the group, computed in the sketch's pass; `overall` aggregates
+    those of all groups into one number, put beside every group. A group without any value has NULL
+    quantiles. The sketch pass runs when this is called.
     """
     if list(probs) != sorted(set(probs)):
         raise ValueError("probs must be sorted and distinct")
@@ -99,7 +101,9 @@ def quantiles(
     ranked = counted.withColumn("_cum", F.sum("_cnt").over(order))
     picked = ranked.groupBy(*by).agg(*_interpolated(probs, prefix))
     if by:
-        return join_table(groups.select(*by, *also), picked, by, "left", small=local is not None)
+        out = join_table(groups.select(*by, *also), picked, by, "left", small=local is not None)
+        totals = groups.agg(*[c.alias(name) for name, c in (overall or {}).items()]).first() if overall else {}
+        return out.withColumns({name: _number(totals[name]) for name in overall or {}})
     kinds = {f.name: f.dataType for f in groups.schema}
     return picked.withColumns({name: F.lit(one[name]).cast(kinds[name]) for name in also})
 

@@ -71,15 +71,15 @@ def profile_groups(df: DataFrame, by: str, metrics: Mapping[str, Column], keep:
 def group_profile(df: DataFrame, by: str, x: str, min_n: int, label_width: int = 35, digits: int = 6) -> DataFrame:
     """Mean, median, sd of x per group of at least `min_n` rows, and the deviation from the overall mean."""
     moments = {"n": F.count(x), "mean": F.avg(x), "sd": F.stddev_samp(x)}
-    groups = quantiles(df.select(by, x), x, [0.5], [by], also=moments)
-    overall = df.agg(F.avg(x).alias("m")).scalar()
+    mean = F.sum(F.col("mean") * F.col("n")) / F.sum("n")
+    groups = quantiles(df.select(by, x), x, [0.5], [by], also=moments, overall={"overall": mean})
     return groups.where((F.col("n") >= min_n) & F.col(by).isNotNull()).select(
         by,
         "n",
         F.round("mean", digits).alias("mean"),
         F.round("q0", digits).alias("median"),
         F.round("sd", digits).alias("sd"),
-        F.round(F.col("mean") - overall, digits).alias("deviation"),
+        F.round(F.col("mean") - F.col("overall"), digits).alias("deviation"),
         shorten(F.col(by), label_width).alias("label"),
     )
 

@@ -12,7 +12,7 @@ from padronix.functions.text import plain
 from padronix.functions.values import recode, safe_ratio, three_way
 from padronix.operators import quality
 from padronix.operators.cleaning import apply_rules, canonicalize, conform, dedupe, squish_columns
-from padronix.operators.joins import integrate, keep_valid, orphan_keys, orphan_summary
+from padronix.operators.joins import integrate, orphan_keys, orphan_summary
 from padronix.sources.contracts import CONTRACTS, public_schema, publish
 from padronix.sources.files import write_report, write_table
 
@@ -197,12 +197,9 @@ class Registry:
 
 def integrate_registry(establishments: DataFrame, activities: DataFrame, areas: DataFrame) -> DataFrame:
     """Drop establishments with unknown codes, then join activities, areas and region: 24 columns."""
-    valid = keep_valid(establishments, activities, ["activity_code"])
-    valid = keep_valid(valid, areas, ["province_id", "area_id"])
     activity_cols = ["activity_code", "activity_name", "division_code", "division_name", "section", "section_name"]
-    full = integrate(
-        valid, [(activities.select(*activity_cols), ["activity_code"]), (areas, ["province_id", "area_id"])]
-    )
+    dims = [(activities.select(*activity_cols), ["activity_code"]), (areas, ["province_id", "area_id"])]
+    full = integrate(establishments, dims, how="inner")
     return full.withColumn("region", region_of(F.col("province")))
 
 
