@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from itertools import combinations
 
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
+from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,30 +33,14 @@ def corr_rank(df: DataFrame, target: str, cols: Sequence[str], digits: int = 3)
     return long.select("variable", F.round("r", digits).alias("r")).orderBy(F.desc(F.abs("r")), "variable")
 
 
-def aliased_columns(df: DataFrame, cols: Sequence[str], tolerance: float = 1e-9) -> list[str]:
-    """Columns that are a linear function of earlier ones (or constant).
-
-    Works on the matrix of products of the standardised columns, one aggregate of k(k+1)/2 sums; the
-    elimination itself is on k x k numbers.
-    """
-    cols = list(cols)
-    rows = complete_cases(df, cols)
-    sums = rows.agg(
-        *[F.var_pop(c).alias(f"v{i}") for i, c in enumerate(cols)],
-        *[F.covar_pop(a, b).alias(f"c{cols.index(a)}_{cols.index(b)}") for a, b in combinations(cols, 2)],
-    ).first()
-    k = len(cols)
-    cov = [[0.0] * k for _ in range(k)]
-    for i in range(k):
-        cov[i][i] = sums[f"v{i}"] or 0.0
-        for j in range(i + 1, k):
-            cov[i][j] = cov[j][i] = sums[f"c{i}_{j}"] or 0.0
-    scale = [cov[i][i] ** 0.5 for i in range(k)]
-    m = [[cov[i][j] / (scale[i] * scale[j]) if scale[i] and scale[j] else 0.0 for j in range(k)] for i in range(k)]
+def _dependent(r: Sequence[Sequence[float]], variance: Sequence[float], tolerance: float) -> list[int]:
+    """Positions that are constant or a linear function of earlier ones, by elimination on a k x k matrix."""
+    k = len(variance)
+    m = [[r[i][j] if variance[i] > 0 and variance[j] > 0 else 0.0 for j in range(k)] for i in range(k)]
     dropped = []
     for i in range(k):
         if m[i][i] <= tolerance:
-            dropped.append(cols[i])
+            dropped.append(i)
             continue
         for j in range(i + 1, k):
             f = m[j][i] / m[i][i]
@@ -63,6 +48,20 @@ def aliased_columns(df: DataFrame, cols: Sequence[str], tolerance: float = 1e-9)
     return dropped
 
 
+def aliased_positions(df: DataFrame, features: str, tolerance: float = 1e-9) -> list[int]:
+    """Positions of a vector column that are constant or a linear function of earlier ones."""
+    spread = df.select(Summarizer.variance(F.col(features)).alias("v")).first()["v"].toArray()
+    r = Correlation.corr(df, features).first()[0].toArray()
+    return _dependent(r.tolist(), spread.tolist(), tolerance)
+
+
+def aliased_columns(df: DataFrame, cols: Sequence[str], tolerance: float = 1e-9) -> list[str]:
+    """Columns that are constant or a linear function of earlier ones, on complete cases."""
+    cols = list(cols)
+    rows = VectorAssembler(inputCols=cols, outputCol="_x", handleInvalid="skip").transform(df).select("_x")
+    return [cols[i] for i in aliased_positions(rows, "_x", tolerance)]
+
+
 def principal_components(df: DataFrame, cols: Sequence[str], k: int) -> tuple[DataFrame, DataFrame]:
     """Explained variance per component, and the loading of every variable on it."""
     rows = complete_cases(df, cols)

@@ -11,12 +11,14 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from padronix.operators.correlation import aliased_columns
+from padronix.functions.text import row_hash
+from padronix.operators.correlation import aliased_columns, aliased_positions
 from padronix.operators.evaluation import auc, coef_table, confusion, scaled_importance
 from padronix.operators.features import Scaling, design, design_names, fit_scaling
 from padronix.operators.quality import require_two_classes
@@ -24,6 +26,7 @@ from padronix.operators.sampling import assign_folds, downsample
 from padronix.operators.sizing import fuller
 
 LABEL = "_label"
+ORDER = "_order"  # the rows' random order, hashed once
 
 
 @dataclass(frozen=True)
@@ -77,7 +80,7 @@ def _score(model: Transformer, df: DataFrame, spec: Spec) -> DataFrame:
 
 
 def _balanced(df: DataFrame, spec: Spec) -> DataFrame:
-    return downsample(df, LABEL, spec.seed, spec.key) if spec.down else df
+    return downsample(df, LABEL, spec.seed, spec.key, order=ORDER) if spec.down else df
 
 
 def cross_validate(df: DataFrame, spec: Spec, candidates: Mapping[str, object]) -> list[tuple[str, int, float]]:
@@ -85,7 +88,7 @@ def cross_validate(df: DataFrame, spec: Spec, candidates: Mapping[str, object])
 
     `spec.parallelism` folds are fitted side by side, each holding its cached training part.
     """
-    folded = assign_folds(df, LABEL, spec.folds, spec.seed + 1, spec.key).persist()
+    folded = assign_folds(df, LABEL, spec.folds, spec.seed, spec.key, order=ORDER).persist()
     evaluator = BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC")
 
     def run(fold: int) -> list[tuple[str, int, float]]:
@@ -113,8 +116,7 @@ def _prepare(train: DataFrame, spec: Spec, numeric: Sequence[str]):
     rows = _scaled(scaling, base)
     coder = design(spec.categorical, numeric).fit(rows)
     names = design_names(coder, spec.categorical, numeric)
-    keep = dict.fromkeys([LABEL, "features", *spec.key])
-    rows = coder.transform(rows).select(*keep).persist()
+    rows = coder.transform(rows).select(LABEL, "features", row_hash(spec.seed + 1, *spec.key).alias(ORDER)).persist()
     rows.count()
     base.unpersist()
     return coder, names, scaling, rows
@@ -160,19 +162,17 @@ def fit_logit(train: DataFrame, spec: Spec) -> Fitted:
 def logit_coefficients(train: DataFrame, spec: Spec, digits: int = 4) -> DataFrame:
     """Coefficient table with standard errors: the log-odds of the positive class.
 
-    The dummies and numbers are laid out as plain columns first, so that a column which is a linear
-    function of the others is left out before fitting.
+    A term that is a linear function of the earlier ones is left out before fitting.
     """
     coder, names, _, rows = _prepare(train, spec, spec.numeric)
     try:
-        flat = rows.select(LABEL, vector_to_array("features").alias("x")).select(
-            LABEL, *[F.col("x")[i].alias(f"x{i}") for i in range(len(names))]
+        dropped = set(aliased_positions(rows, "features"))
+        kept = [i for i in range(len(names)) if i not in dropped]
+        sliced = VectorSlicer(inputCol="features", outputCol="kept", indices=kept).transform(rows)
+        glr = GeneralizedLinearRegression(
+            labelCol=LABEL, featuresCol="kept", family="binomial", link="logit", maxIter=50
         )
-        dropped = set(aliased_columns(flat, [f"x{i}" for i in range(len(names))]))
-        kept = [i for i in range(len(names)) if f"x{i}" not in dropped]
-        layout = design([], [f"x{i}" for i in kept]).fit(flat)
-        glr = GeneralizedLinearRegression(labelCol=LABEL, family="binomial", link="logit", maxIter=50)
-        model = glr.fit(layout.transform(flat))
+        model = glr.fit(sliced)
         summary = model.summary
         estimates = [*model.coefficients.toArray(), model.intercept]
         labels = [*(names[i] for i in kept), "(Intercept)"]

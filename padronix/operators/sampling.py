@@ -60,8 +60,8 @@ def hash_cutoffs(
     )
 
 
-def _hashed(df: DataFrame, seed: int, key: Sequence[str]) -> DataFrame:
-    return df.withColumn("_h", row_hash(seed, *key))
+def _hashed(df: DataFrame, seed: int, key: Sequence[str], order: str | None = None) -> DataFrame:
+    return df.withColumn("_h", F.col(order) if order else row_hash(seed, *key))
 
 
 def _one_rank(rank: Callable[[Column], Column]) -> Callable[[Column], Column]:
@@ -87,18 +87,30 @@ def stratified_split(
     return out.withColumn(name, inside).drop("_h", "_cut")
 
 
-def downsample(df: DataFrame, label: str, seed: int, key: Sequence[str]) -> DataFrame:
-    """Keep as many rows of every class as the smallest class has."""
-    hashed = _hashed(df, seed, key)
+def downsample(df: DataFrame, label: str, seed: int, key: Sequence[str], order: str | None = None) -> DataFrame:
+    """Keep as many rows of every class as the smallest class has.
+
+    `order` names a column that already holds the rows' hashes, in place of seed and key.
+    """
+    hashed = _hashed(df, seed, key, order)
     cut = hash_cutoffs(hashed, [label], _one_rank(lambda n: n), of_smallest=True)
     return join_table(hashed, cut, [label]).where(F.col("_h") <= F.col("_cut")[0]["h"]).drop("_h", "_cut")
 
 
 def assign_folds(
-    df: DataFrame, label: str, k: int, seed: int, key: Sequence[str], name: str = "fold"
+    df: DataFrame,
+    label: str,
+    k: int,
+    seed: int,
+    key: Sequence[str],
+    name: str = "fold",
+    order: str | None = None,
 ) -> DataFrame:
-    """Stratified folds 0..k-1 of equal size (the first ones hold one row more where n is not a multiple)."""
-    hashed = _hashed(df, seed, key)
+    """Stratified folds 0..k-1 of equal size (the first ones hold one row more where n is not a multiple).
+
+    `order` names a column that already holds the rows' hashes, in place of seed and key.
+    """
+    hashed = _hashed(df, seed, key, order)
 
     def ends(n: Column) -> Column:
         size, extra = F.floor(n / k).cast("long"), F.pmod(n, F.lit(k)).cast("long")
