@@ -14,50 +14,66 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from padronix.functions.text import row_hash
-from padronix.operators.sizing import join_table
+from padronix.operators.sizing import join_table, pin_small
 
-PREFIX_DIGITS = 4
+PREFIX_DIGITS = 3
+TASK_ROWS = 5_000_000
+
+
+def _holding(counts: DataFrame, group: Sequence[str], want: Column) -> DataFrame:
+    """The prefixes holding wanted ranks, with each rank counted from the prefix's start.
+
+    `counts` has rows per (group, _q), `want` is an array of (t: the rank asked for, r: the rank in the group).
+    """
+    order = Window.partitionBy(*group).orderBy("_q").rowsBetween(Window.unboundedPreceding, 0)
+    placed = counts.withColumn("_cum", F.sum("_c").over(order)).withColumn("_one", F.explode(want))
+    start = F.col("_cum") - F.col("_c")
+    hit = placed.where((F.col("_one.r") > start) & (F.col("_one.r") <= F.col("_cum")))
+    return hit.withColumn("_w", F.struct(F.col("_one.t").alias("t"), (F.col("_one.r") - start).alias("r")))
 
 
 def hash_cutoffs(
     df: DataFrame,
     by: Sequence[str],
     targets: Callable[[Column], Column],
-    digits: int = PREFIX_DIGITS,
     of_smallest: bool = False,
+    task_rows: int | None = None,
 ) -> DataFrame:
-    """Per group an array of (rank, cutoff), cutoff being the rank-th smallest `_h` of the group.
+    """Per group an array of (t, h), h being the t-th smallest `_h` of the group.
 
     `targets` maps the group size (or, `of_smallest`, the size of the smallest group) to an array of
-    1-based ranks; ranks outside 1..n are ignored.
+    1-based ranks; ranks outside 1..n are ignored. Prefixes are lengthened until none that is to be ordered
+    holds more than `task_rows` rows. Runs a small job per prefix length when called.
     """
-    by = list(by)
-    rows = df.select(*by, "_h", F.substring("_h", 1, digits).alias("_p"))
-    prefix = rows.groupBy(*by, "_p").agg(F.count(F.lit(1)).alias("_c"))
-    group = Window.partitionBy(*by)
-    totals = prefix.withColumns(
-        {
-            "_cum": F.sum("_c").over(group.orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)),
-            "_n": F.sum("_c").over(group),
-        }
-    )
-    size = totals.agg(F.min("_n").alias("m")).scalar() if of_smallest else F.col("_n")
-    holding = totals.withColumn("_t", F.explode(targets(size))).where(
-        (F.col("_t") > F.col("_cum") - F.col("_c")) & (F.col("_t") <= F.col("_cum"))
-    )
-    wanted = holding.groupBy(*by, "_p").agg(
-        F.collect_list(F.struct(F.col("_t").alias("t"), (F.col("_t") - F.col("_cum") + F.col("_c")).alias("r"))).alias(
-            "_w"
+    by, digits, limit = list(by), PREFIX_DIGITS, task_rows or TASK_ROWS
+    rows = df.select(*by, "_h")
+    counts = rows.groupBy(*by, F.substring("_h", 1, digits).alias("_q")).agg(F.count(F.lit(1)).alias("_c"))
+    counts = counts.withColumn("_n", F.sum("_c").over(Window.partitionBy(*by)))
+    if of_smallest:
+        counts = counts.withColumn("_n", counts.agg(F.min("_n").alias("m")).scalar())
+    counts = counts.withColumn("_t", targets(F.col("_n")))
+    want = F.transform("_t", lambda t: F.struct(t.alias("t"), t.alias("r")))
+    group = by
+    while True:
+        held = _holding(counts, group, want).groupBy(*by, F.col("_q").alias("_p"))
+        wanted = held.agg(F.collect_list("_w").alias("_w"), F.max("_c").alias("_c"))
+        local = pin_small(wanted)
+        wanted = wanted.persist() if local is None else local
+        largest = wanted.agg(F.max("_c").alias("m")).first()["m"] or 0
+        inside = join_table(
+            rows.withColumn("_p", F.substring("_h", 1, digits)), wanted.drop("_c"), [*by, "_p"], small=local is not None
         )
-    )
-    inside = join_table(rows, wanted, [*by, "_p"])
-    hashes = inside.groupBy(*by, "_p", "_h").agg(F.count(F.lit(1)).alias("_c"), F.first("_w").alias("_w"))
-    order = Window.partitionBy(*by, "_p").orderBy("_h").rowsBetween(Window.unboundedPreceding, 0)
-    placed = hashes.withColumn("_cum", F.sum("_c").over(order)).withColumn("_w", F.explode("_w"))
-    hit = placed.where((F.col("_w.r") > F.col("_cum") - F.col("_c")) & (F.col("_w.r") <= F.col("_cum")))
-    return hit.groupBy(*by).agg(
-        F.array_sort(F.collect_list(F.struct(F.col("_w.t").alias("t"), F.col("_h").alias("h")))).alias("_cut")
-    )
+        group, want = [*by, "_p"], F.col("_v")
+        finer = largest > limit and digits < 30
+        digits += PREFIX_DIGITS
+        step = F.substring("_h", 1, digits) if finer else F.col("_h")
+        # copies of a hash combine here, so they do not gather either
+        counts = inside.groupBy(*group, step.alias("_q")).agg(F.count(F.lit(1)).alias("_c"), F.first("_w").alias("_v"))
+        if not finer:
+            break
+    hit = _holding(counts, group, want)
+    cut = F.struct(F.col("_w.t").alias("t"), F.col("_q").alias("h"))
+    return hit.groupBy(*by).agg(F.array_sort(F.collect_list(cut)).alias("_cut"))
 
 
 def _hashed(df: DataFrame, seed: int, key: Sequence[str], order: str | None = None) -> DataFrame:

@@ -16,7 +16,8 @@ def spark():
 @pytest.fixture
 def no_small_tables(monkeypatch):
     """Make every size check fail, so that the shuffle paths run."""
-    from padronix.operators import quantiles, sizing
+    from padronix.operators import quantiles, sampling, sizing
 
     monkeypatch.setattr(sizing, "pin_small", lambda table, max_rows=0: None)
     monkeypatch.setattr(quantiles, "pin_small", lambda table, max_rows=0: None)
+    monkeypatch.setattr(sampling, "pin_small", lambda table, max_rows=0: None)

@@ -5,7 +5,8 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from padronix.operators.sampling import assign_folds, downsample, sample_n, stratified_split
+from padronix.functions.text import row_hash
+from padronix.operators.sampling import assign_folds, downsample, hash_cutoffs, sample_n, stratified_split
 
 
 def table(spark, sizes):
@@ -36,6 +37,22 @@ def test_split_is_repeatable_whatever_the_partitioning(spark):
     assert other.exceptAll(one).count() > 0
 
 
+@pytest.mark.parametrize("task_rows", [1, 3])
+def test_longer_prefixes_give_the_same_cutoffs(spark, task_rows):
+    df = table(spark, {"a": 300, "b": 40}).withColumn("_h", row_hash(1, *KEY))
+
+    def ranks(n):
+        return F.array(F.lit(1).cast("long"), n, F.ceil(n / 2).cast("long"), n + 5)
+
+    want = {}
+    for y, n in {"a": 300, "b": 40}.items():
+        hashes = sorted(r._h for r in df.where(F.col("y") == y).collect())
+        want[y] = [(1, hashes[0]), (n // 2, hashes[n // 2 - 1]), (n, hashes[-1])]
+    for limit in (None, task_rows):
+        got = {r.y: [(c.t, c.h) for c in r._cut] for r in hash_cutoffs(df, ["y"], ranks, task_rows=limit).collect()}
+        assert got == want
+
+
 def test_split_by_the_shuffle_path(spark, no_small_tables):
     out = stratified_split(table(spark, SIZES), "y", 0.8, 42, KEY)
     assert out.count() == sum(SIZES.values())
