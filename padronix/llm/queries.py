@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from padronix.llm import decontamination, pii, quality
+from padronix.llm import decontamination, licenses, mixing, pii, quality, records
+from padronix.llm.batches import shared_folder
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +18,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_folder(spark)}/tokens"
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    records.write_records(table(spark, sf_dir, "documents"), folder, tokenizer, end_id=2)
+    back = records.read_records(spark, folder)
+    return back.select(F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op4_anchor_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = pii.find_personal_data(docs, keep=["doc_id"])
@@ -32,6 +42,15 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op9_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     found = decontamination.find_contamination(docs, items, keep=["doc_id"])
@@ -42,6 +61,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Build] = {
-    f.__name__: f for f in (op4_anchor_expansion, op5_quality_rules, op10_decontamination)
+    f.__name__: f for f in (
+        op1_token_records, op4_anchor_expansion, op5_quality_rules, op8_mix_sources, op9_license_diagonals,
+        op10_decontamination,
+    )
+}
+ORACLE_SQL: dict[str, str] = {
+    "op5_quality_rules": quality.SQL,
+    "op8_mix_sources": mixing.SQL,
+    "op9_license_diagonals": licenses.SQL,
+    "op10_decontamination": decontamination.SQL,
 }
-ORACLE_SQL: dict[str, str] = {"op5_quality_rules": quality.SQL, "op10_decontamination": decontamination.SQL}
