@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from padronix.llm import decontamination, licenses, mixing, pii, quality, records
+from padronix.llm import decontamination, jaccard, licenses, mixing, pii, quality, records
 from padronix.llm.batches import shared_folder
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -62,12 +67,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Build] = {
     f.__name__: f for f in (
-        op1_token_records, op4_anchor_expansion, op5_quality_rules, op8_mix_sources, op9_license_diagonals,
+        op1_token_records, op4_anchor_expansion, op5_quality_rules, op6_ngram_jaccard, op8_mix_sources, op9_license_diagonals,
         op10_decontamination,
     )
 }
 ORACLE_SQL: dict[str, str] = {
     "op5_quality_rules": quality.SQL,
+    "op6_ngram_jaccard": jaccard.SQL,
     "op8_mix_sources": mixing.SQL,
     "op9_license_diagonals": licenses.SQL,
     "op10_decontamination": decontamination.SQL,
