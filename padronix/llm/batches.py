@@ -35,7 +35,7 @@ def append_columns(docs: DataFrame, text: str, fields: T.StructType, start: Call
     new = {f.name.lower() for f in fields}
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in new]
     passed = [docs[c] for c in kept] + [docs[text].cast("binary").alias("__text")]
-    schema = T.StructType([docs.schema[c] for c in kept] + list(fields.fields))
+    schema = T.StructType([T.StructField(c, docs.schema[c].dataType) for c in kept] + list(fields.fields))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = start()

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from padronix.llm import decontamination, jaccard, licenses, mixing, pii, quality, records
+from padronix.llm import decontamination, jaccard, language, licenses, lines, mixing, pii, quality, records, toxicity
 from padronix.llm.batches import shared_folder
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,20 @@ def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op2_line_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.dedup_lines(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select(
+        "doc_id", "n_lines", "n_removed", F.array_join("removed", ",").alias("removed"), F.md5(F.coalesce("cleaned", F.lit(""))).alias("cleaned_md5")
+    )
+
+
+def op3_piece_unigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.learn(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    rows = docs.select("doc_id", "text", toxicity.held_out(F.col("doc_id")).alias("held_out"))
+    return language.predict_language(rows, model, keep=["doc_id", "held_out"])
+
+
 def op4_anchor_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = pii.find_personal_data(docs, keep=["doc_id"])
@@ -47,6 +61,13 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op7_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    rows = docs.select("doc_id", "text", toxicity.held_out(F.col("doc_id")).alias("held_out"))
+    return toxicity.score_toxicity(rows, model, keep=["doc_id", "held_out"])
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -67,7 +88,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Build] = {
     f.__name__: f for f in (
-        op1_token_records, op4_anchor_expansion, op5_quality_rules, op6_ngram_jaccard, op8_mix_sources, op9_license_diagonals,
+        op1_token_records, op2_line_winnowing, op3_piece_unigrams, op4_anchor_expansion, op5_quality_rules, op6_ngram_jaccard, op7_counterfactual_toxicity,
+        op8_mix_sources, op9_license_diagonals,
         op10_decontamination,
     )
 }
