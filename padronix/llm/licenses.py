@@ -7,12 +7,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from padronix.llm.batches import materialize, shared_folder
 from padronix.llm.quality import let
 
 K = 2  # words of a gram: the shortest phrase has two
 NEAR = 2  # diagonals that far apart, at overlapping places, are one place with words put in or left out
 COVER = 0.8  # share of a template's grams that a place must hold
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# All of ASCII but a-z and 0-9, one by one: Java's patterns look single characters up, ranges they compare in turn.
+WORD = "[^" + "".join(f"\\x{c:02X}" for c in range(128) if not chr(c).isdigit() and not chr(c).islower()) + "]+"
 
 
 @dataclass(frozen=True)
@@ -122,10 +124,11 @@ def scan_licenses(
     Rows are told apart by key and text hash, so null or repeated keys do no harm and equal rows get equal results. A
     null text has no words. Columns of `docs` beyond key and text are not returned.
 
-    Only grams that meet a template are exchanged; a document's few votes are one group. Templates are a short list,
+    The texts are read twice, once for votes, which are written to the shared folder, and once for words. Only grams
+    that meet a template are exchanged; a document's few votes are one group. Templates are a short list,
     the only thing broadcast. Native: column expressions and joins alone.
     """
-    voted = votes(docs, key, text, templates)
+    voted = materialize(votes(docs, key, text, templates), shared_folder(docs.sparkSession), "votes")
     whole = voted.where("base").groupBy("key", "tie", "template", "label", "n_grams", "diagonal").agg(F.count("*").alias("n")).where("n = n_grams")
     base = whole.groupBy("key", "tie").agg(
         F.count("*").alias("n_base"), F.min("diagonal").cast("bigint").alias("first_word"),
