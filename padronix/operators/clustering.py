@@ -1,14 +1,11 @@
-"""Clustering of group tables (or of raw rows: only the exact silhouette needs a small table)."""
+"""Clustering of group tables, or of raw rows: only plain Euclidean silhouettes compare all pairs of rows."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,8 +15,10 @@ from padronix.operators.features import Scaling, fit_scaling, varying
 from padronix.operators.quality import n_distinct
 from padronix.operators.quantiles import quantiles
 from padronix.operators.sizing import pin_small
+from padronix.operators.threads import side_by_side
 
-EXACT_SILHOUETTE_ROWS = 5_000
+MEASURES = ("euclidean", "squaredEuclidean")
+BLOCK_POINTS = 1_000  # points that each row is compared with at a time
 
 
 def group_features(
@@ -48,14 +47,18 @@ class Prepared:
 
 
 def prepare(groups: DataFrame, cols: Sequence[str]) -> Prepared:
-    """Drop constant columns, fill gaps with 0, z-score, and assemble. A small table is computed once."""
+    """Drop constant columns, z-score the others with gaps filled by 0, and assemble. A small table is computed once.
+
+    Only the `z_` copies are filled; the columns themselves keep their gaps and types.
+    """
     small = pin_small(groups)
     groups = groups if small is None else small.coalesce(1)
     kept = varying(groups, cols)
-    filled = fill_nonfinite(groups, kept)
-    scaling = fit_scaling(filled, kept)
-    wide = filled.select("*", *[F.col(c).alias(f"z_{c}") for c in kept])
-    z = Scaling({f"z_{c}": scaling.mean[c] for c in kept}, {f"z_{c}": scaling.sd[c] for c in kept}).apply(wide)
+    copies = [f"z_{c}" for c in kept]
+    wide = fill_nonfinite(groups.select("*", *[F.col(c).alias(f"z_{c}") for c in kept]), copies)
+    fitted = fit_scaling(wide, copies)
+    scaling = Scaling({c: fitted.mean[f"z_{c}"] for c in kept}, {c: fitted.sd[f"z_{c}"] for c in kept})
+    z = fitted.apply(wide)
     table = VectorAssembler(inputCols=[f"z_{c}" for c in kept], outputCol="features").transform(z)
     return Prepared(table, kept, scaling)
 
@@ -66,9 +69,7 @@ def kmeans_best(table: DataFrame, k: int, nstart: int = 25, seed: int = 42, para
     def fit(start: int) -> KMeansModel:
         return KMeans(k=k, seed=seed + start, initMode="random", maxIter=50, tol=1e-6).fit(table)
 
-    task = inheritable_thread_target(table.sparkSession)(fit)
-    with ThreadPoolExecutor(parallelism) as pool:
-        models = list(pool.map(task, range(nstart)))
+    models = side_by_side(table.sparkSession, fit, range(nstart), parallelism)
     return min(models, key=lambda m: m.summary.trainingCost)
 
 
@@ -79,66 +80,100 @@ def total_ss(table: DataFrame, cols: Sequence[str]) -> float:
 
 
 def k_curves(
-    prepared: Prepared, ks: Sequence[int], nstart: int, seed: int = 42, parallelism: int = 8
+    prepared: Prepared, ks: Sequence[int], nstart: int, seed: int = 42, parallelism: int = 8, measure: str = "euclidean"
 ) -> DataFrame:
-    """Within sum of squares (elbow) and mean Euclidean silhouette per k.
+    """Within sum of squares (elbow) and mean silhouette per k, by the measure asked for, whatever the table's size.
 
-    k = 1 has the total sum of squares and no silhouette. Past the size for the exact silhouette the
-    squared-Euclidean one is given, which needs no pairs; `measure` says which.
+    k = 1 has the total sum of squares and no silhouette. "euclidean" compares all pairs of rows and suits group
+    tables; "squaredEuclidean" passes over the rows once.
     """
     table = prepared.table
     z = [f"z_{c}" for c in prepared.cols]
-    exact = table.limit(EXACT_SILHOUETTE_ROWS + 1).count() <= EXACT_SILHOUETTE_ROWS
 
-    def measure(k: int) -> tuple[int, float, float | None, str | None]:
+    def curve(k: int) -> tuple[int, float, float | None, str | None]:
         if k == 1:
             return 1, total_ss(table, z), None, None
         model = kmeans_best(table, k, nstart, seed, parallelism=1)
-        assigned = model.transform(table)
-        if exact:
-            width = silhouette_points(assigned, z, "prediction").agg(F.avg("width")).first()[0]
-            return k, float(model.summary.trainingCost), width, "euclidean"
-        return k, float(model.summary.trainingCost), ClusteringEvaluator().evaluate(assigned), "squaredEuclidean"
-
-    task = inheritable_thread_target(table.sparkSession)(measure)
-    with ThreadPoolExecutor(parallelism) as pool:
-        out = list(pool.map(task, ks))
+        widths = silhouette_points(model.transform(table), z, "prediction", measure=measure)
+        return k, float(model.summary.trainingCost), widths.agg(F.avg("width")).first()[0], measure
+
+    out = side_by_side(table.sparkSession, curve, ks, parallelism)
     return table.sparkSession.createDataFrame(out, "k int, wss double, silhouette double, measure string")
 
 
-def silhouette_points(table: DataFrame, cols: Sequence[str], cluster: str, keep: Sequence[str] = ()) -> DataFrame:
-    """Exact silhouette width of every row of a small table (plain Euclidean distance).
+def _width(own_n: Column, own: Column, other: Column) -> Column:
+    """Silhouette width from the mean distances to the own and to the nearest other cluster; 0 for a lone row."""
+    return F.when(own_n == 1, 0.0).otherwise(F.try_divide(other - own, F.greatest(own, other)))
+
+
+def silhouette_points(
+    table: DataFrame, cols: Sequence[str], cluster: str, keep: Sequence[str] = (), measure: str = "euclidean"
+) -> DataFrame:
+    """Silhouette width of every row, for tables of any size.
 
-    The rows, counted against a bound first, travel as one array to each row, whose distances are summed
-    per cluster in place. Larger tables need the squared-Euclidean evaluator.
+    "squaredEuclidean" needs each cluster's size, sums and squares only (one small aggregate, then one pass).
+    "euclidean" needs all distances: rows meet blocks of BLOCK_POINTS points of one cluster, and the sums over blocks are
+    added up per row. No task holds more than a block beside its rows.
     """
-    points = table.select(F.col(cluster).cast("int").alias("c"), F.array(*cols).alias("x"))
-    if points.limit(EXACT_SILHOUETTE_ROWS + 1).count() > EXACT_SILHOUETTE_ROWS:
-        raise ValueError(f"exact silhouette takes at most {EXACT_SILHOUETTE_ROWS} rows; use ClusteringEvaluator")
-    groups = points.groupBy("c").agg(F.collect_list("x").alias("xs"))
-    every = groups.agg(F.collect_list(F.struct("c", "xs")).alias("g")).scalar()
-    rows = table.select(*keep, F.col(cluster).cast("int").alias("_c"), F.array(*cols).alias("_x"))
-
-    def distance(p: Column) -> Column:
-        square = F.zip_with(p, F.col("_x"), lambda a, b: (a - b) * (a - b))
-        return F.sqrt(F.aggregate(square, F.lit(0.0), lambda acc, v: acc + v))
-
-    def per_cluster(g: Column) -> Column:
-        total = F.aggregate(g["xs"], F.lit(0.0), lambda acc, p: acc + distance(p))
-        return F.struct(g["c"].alias("c"), F.size(g["xs"]).alias("m"), total.alias("d"))
-
-    summed = rows.withColumn("_all", every).withColumn("_g", F.transform("_all", per_cluster))
+    if measure not in MEASURES:
+        raise ValueError(f"measure must be one of {MEASURES}")
+    rows = table.select(*keep, F.col(cluster).cast("int").alias("_c"), F.array(*[F.col(c).cast("double") for c in cols]).alias("_x"))
+    if measure == "squaredEuclidean":
+        return _squared_widths(rows, len(cols), keep)
+    return _plain_widths(rows, keep)
+
+
+def _squared_widths(rows: DataFrame, dims: int, keep: Sequence[str]) -> DataFrame:
+    def square(x: Column) -> Column:
+        return F.aggregate(F.transform(x, lambda v: v * v), F.lit(0.0), lambda a, v: a + v)
+
+    means = F.array(*[F.avg(F.col("_x")[i]) for i in range(dims)])
+    stats = rows.groupBy("_c").agg(F.count(F.lit(1)).alias("m"), means.alias("mean"), F.avg(square(F.col("_x"))).alias("sq"))
+    every = stats.agg(F.collect_list(F.struct("_c", "m", "mean", "sq")).alias("g")).scalar()
+
+    def distance(g: Column) -> Column:
+        dot = F.aggregate(F.zip_with(g["mean"], F.col("_x"), lambda a, b: a * b), F.lit(0.0), lambda a, v: a + v)
+        d = F.greatest(square(F.col("_x")) + g["sq"] - 2 * dot, F.lit(0.0))
+        own = g["_c"] == F.col("_c")
+        return F.struct(g["_c"].alias("c"), g["m"].alias("m"), F.when(own & (g["m"] > 1), d * g["m"] / (g["m"] - 1)).otherwise(d).alias("d"))
+
+    measured = rows.withColumn("_all", every).withColumn("_g", F.transform("_all", distance))
     own = F.filter("_g", lambda g: g["c"] == F.col("_c"))[0]
-    others = F.filter("_g", lambda g: g["c"] != F.col("_c"))
-    sides = summed.select(
-        *keep,
-        F.col("_c").alias("cluster"),
-        own["m"].alias("_m"),
-        F.when(own["m"] > 1, own["d"] / (own["m"] - 1)).alias("_a"),
-        F.array_min(F.transform(others, lambda g: g["d"] / g["m"])).alias("_b"),
+    near = F.array_min(F.transform(F.filter("_g", lambda g: g["c"] != F.col("_c")), lambda g: g["d"]))
+    return measured.select(*keep, F.col("_c").alias("cluster"), _width(own["m"], own["d"], near).alias("width"))
+
+
+def _plain_widths(rows: DataFrame, keep: Sequence[str]) -> DataFrame:
+    # Equal rows have equal widths: they are one row with a count, which also names it in the grouping below.
+    kept = [F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)]
+    names = [f"_k{i}" for i in range(len(keep))]
+    distinct = rows.select(*kept, "_c", "_x").groupBy(*names, "_c", "_x").agg(F.count(F.lit(1)).alias("_n"))
+    points = rows.groupBy("_c", "_x").agg(F.count(F.lit(1)).alias("n"))
+    sizes = points.groupBy("_c").agg(F.sum("n").alias("m"), F.count(F.lit(1)).alias("distinct"))
+    placed = points.join(sizes, "_c").withColumn("block", F.pmod(F.xxhash64("_x"), F.ceil(F.col("distinct") / BLOCK_POINTS)))
+    blocks = placed.groupBy(F.col("_c").alias("c"), "m", "block").agg(F.collect_list(F.struct(F.col("_x").alias("x"), "n")).alias("xs"))
+
+    def total(x: Column, p: Column) -> Column:
+        gaps = F.zip_with(p["x"], x, lambda a, b: (a - b) * (a - b))
+        return p["n"] * F.sqrt(F.aggregate(gaps, F.lit(0.0), lambda a, v: a + v))
+
+    every = blocks.agg(F.collect_list(F.struct("c", "block"))).scalar()
+    asked = distinct.withColumn("_all", every).select(*names, "_c", "_x", "_n", F.explode("_all").alias("_b"))
+    asked = asked.select(*names, "_c", "_x", "_n", F.col("_b.c").alias("c"), F.col("_b.block").alias("block"))
+    met = asked.join(blocks, ["c", "block"]).select(
+        *names, "_c", "_x", "_n", "c", "m", F.aggregate("xs", F.lit(0.0), lambda a, p: a + total(F.col("_x"), p)).alias("d")
+    )
+    by = [*names, "_c", "_x", "_n"]
+    per = met.groupBy(*by, "c", "m").agg(F.sum("d").alias("d"))
+    own = F.col("c") == F.col("_c")
+    sides = per.groupBy(*by).agg(
+        F.max(F.when(own, F.col("m"))).alias("m"),
+        F.max(F.when(own & (F.col("m") > 1), F.col("d") / (F.col("m") - 1))).alias("a"),
+        F.min(F.when(~own, F.col("d") / F.col("m"))).alias("b"),
     )
-    gap = F.try_divide(F.col("_b") - F.col("_a"), F.greatest("_a", "_b"))
-    return sides.select(*keep, "cluster", F.when(F.col("_m") == 1, 0.0).otherwise(gap).alias("width"))
+    again = sides.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), "_n")))
+    back = [F.col(n).alias(c) for n, c in zip(names, keep, strict=True)]
+    return again.select(*back, F.col("_c").alias("cluster"), _width(F.col("m"), F.col("a"), F.col("b")).alias("width"))
 
 
 def silhouette_grade(c: Column) -> Column:

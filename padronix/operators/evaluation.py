@@ -118,26 +118,35 @@ def stars(p: Column) -> Column:
     return F.when(p < 0.001, "***").when(p < 0.01, "**").when(p < 0.05, "*").otherwise("")
 
 
-def coef_table(spark, terms: Sequence[tuple[str, float, float, float, float]], digits: int = 4) -> DataFrame:
-    """Coefficient table, largest magnitude first. Terms are (name, estimate, se, z, p)."""
+def coef_table(spark, terms: Sequence[tuple[str, float, float, float, float]], digits: int | None = 4) -> DataFrame:
+    """Coefficient table, largest magnitude first. Terms are (name, estimate, se, z, p); digits None rounds nothing."""
     rows = spark.createDataFrame(list(terms), "term string, estimate double, std_error double, z double, p double")
+
+    def shown(c: Column) -> Column:
+        return c if digits is None else F.round(c, digits)
+
     return rows.orderBy(F.desc(F.abs("estimate"))).select(
         "term",
-        *[F.round(c, digits).alias(c) for c in ("estimate", "std_error", "z", "p")],
-        F.round(F.exp("estimate"), digits).alias("odds_ratio"),
+        *[shown(F.col(c)).alias(c) for c in ("estimate", "std_error", "z", "p")],
+        shown(F.exp("estimate")).alias("odds_ratio"),
         stars(F.col("p")).alias("stars"),
     )
 
 
-def significant_terms(coefs: DataFrame, level: float = 0.05, intercept: str = "(Intercept)") -> DataFrame:
-    """Terms with p below the level, their direction and percentage change of the odds."""
+def significant_terms(
+    coefs: DataFrame, level: float = 0.05, intercept: str = "(Intercept)", digits: int = 4
+) -> DataFrame:
+    """Terms with p below the level, their direction and percentage change of the odds.
+
+    `coefs` is an unrounded table: terms are chosen by p itself, and numbers are rounded at the end.
+    """
     kept = coefs.where((F.col("p") < level) & (F.col("term") != intercept))
     return kept.select(
         "term",
         F.when(F.col("estimate") > 0, "increases").otherwise("decreases").alias("direction"),
         F.round(F.abs((F.col("odds_ratio") - 1) * 100), 1).alias("pct_change"),
-        "odds_ratio",
-        "p",
+        F.round("odds_ratio", digits).alias("odds_ratio"),
+        F.round("p", digits).alias("p"),
     )
 
 

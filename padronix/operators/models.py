@@ -2,28 +2,28 @@
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
-from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from padronix.functions.text import row_hash
-from padronix.operators.correlation import aliased_columns, aliased_positions
+from padronix.operators.correlation import aliased_positions
 from padronix.operators.evaluation import auc, coef_table, confusion, scaled_importance
 from padronix.operators.features import Scaling, design, design_names, fit_scaling
 from padronix.operators.quality import require_two_classes
 from padronix.operators.sampling import assign_folds, downsample
 from padronix.operators.sizing import fuller
+from padronix.operators.threads import side_by_side
 
 LABEL = "_label"
 ORDER = "_order"  # the rows' random order, hashed once
@@ -31,7 +31,10 @@ ORDER = "_order"  # the rows' random order, hashed once
 
 @dataclass(frozen=True)
 class Spec:
-    """What to fit: label and its positive class, predictors, row key, and resampling choices."""
+    """What to fit: label and its positive class, predictors, row key, and resampling choices.
+
+    Trees grow to Spark's largest depth by default; `forest` takes any other depth.
+    """
 
     label: str
     positive: str
@@ -43,7 +46,7 @@ class Spec:
     scale: bool = False
     seed: int = 42
     parallelism: int = 3
-    forest: Mapping[str, int] = field(default_factory=lambda: {"numTrees": 300, "maxDepth": 10})
+    forest: Mapping[str, int] = field(default_factory=lambda: {"numTrees": 300, "maxDepth": 30})
     mtry: Sequence[int] = (3, 5, 7)
 
 
@@ -54,13 +57,14 @@ class Fitted:
     spec: Spec
     pipeline: PipelineModel
     scaling: Scaling | None
+    negative: str
     names: list[str]
     cv: DataFrame
     seconds: float
 
     def score(self, df: DataFrame) -> DataFrame:
         """Add `score` (probability of the positive class) and `predicted` (its class label)."""
-        return _score(self.pipeline, _scaled(self.scaling, _with_label(df, self.spec)), self.spec)
+        return _score(self.pipeline, _scaled(self.scaling, df), self.spec.positive, self.negative)
 
 
 def _with_label(df: DataFrame, spec: Spec) -> DataFrame:
@@ -71,12 +75,12 @@ def _scaled(scaling: Scaling | None, df: DataFrame) -> DataFrame:
     return df if scaling is None else scaling.apply(df)
 
 
-def _score(model: Transformer, df: DataFrame, spec: Spec) -> DataFrame:
+def _score(model: Transformer, df: DataFrame, positive: str, negative: str) -> DataFrame:
     out = model.transform(df)
     out = out.withColumn("score", vector_to_array("probability")[1])
-    said = F.when(F.col("prediction") == 1.0, spec.positive).otherwise(F.concat(F.lit("not "), F.lit(spec.positive)))
+    said = F.when(F.col("prediction") == 1.0, positive).otherwise(negative)
     drop = [c for c in out.columns if c.endswith(("__i", "__d"))]
-    return out.withColumn("predicted", said).drop("rawPrediction", "probability", "prediction", "features", *drop)
+    return out.withColumn("predicted", said).drop("rawPrediction", "probability", "prediction", "features", "kept", *drop)
 
 
 def _balanced(df: DataFrame, spec: Spec) -> DataFrame:
@@ -101,9 +105,8 @@ def cross_validate(df: DataFrame, spec: Spec, candidates: Mapping[str, object])
             train.unpersist()
 
     try:
-        task = inheritable_thread_target(df.sparkSession)(run)
-        with ThreadPoolExecutor(min(spec.parallelism, spec.folds)) as pool:
-            return [trial for trials in pool.map(task, range(spec.folds)) for trial in trials]
+        done = side_by_side(df.sparkSession, run, range(spec.folds), min(spec.parallelism, spec.folds))
+        return [trial for trials in done for trial in trials]
     finally:
         folded.unpersist()
 
@@ -112,6 +115,8 @@ def _prepare(train: DataFrame, spec: Spec, numeric: Sequence[str]):
     need = dict.fromkeys([spec.label, *spec.categorical, *numeric, *spec.key])
     base = _with_label(train.select(*need), spec).persist()
     require_two_classes(base, LABEL)
+    others = base.where(F.col(LABEL) == 0.0).select(F.col(spec.label).cast("string")).distinct().limit(2).collect()
+    negative = others[0][0] if len(others) == 1 else f"not {spec.positive}"  # several other classes have no one name
     scaling = fit_scaling(base, numeric) if spec.scale and numeric else None
     rows = _scaled(scaling, base)
     coder = design(spec.categorical, numeric).fit(rows)
@@ -119,10 +124,10 @@ def _prepare(train: DataFrame, spec: Spec, numeric: Sequence[str]):
     rows = coder.transform(rows).select(LABEL, "features", row_hash(spec.seed + 1, *spec.key).alias(ORDER)).persist()
     rows.count()
     base.unpersist()
-    return coder, names, scaling, rows
+    return coder, names, scaling, negative, rows
 
 
-def _finish(spec: Spec, train: DataFrame, candidates: Mapping[str, object], coder, names, scaling, rows) -> Fitted:
+def _finish(spec: Spec, train: DataFrame, candidates: Mapping[str, object], stages, names, scaling, negative, rows) -> Fitted:
     started = time.monotonic()
     try:
         trials = cross_validate(rows, spec, candidates)
@@ -134,12 +139,12 @@ def _finish(spec: Spec, train: DataFrame, candidates: Mapping[str, object], code
     finally:
         rows.unpersist()
     cv = train.sparkSession.createDataFrame(trials, "candidate string, fold int, auc double")
-    return Fitted(spec, PipelineModel([*coder.stages, final]), scaling, names, cv, time.monotonic() - started)
+    return Fitted(spec, PipelineModel([*stages, final]), scaling, negative, names, cv, time.monotonic() - started)
 
 
 def fit_forest(train: DataFrame, spec: Spec) -> Fitted:
     """Random forest with the number of tried predictors chosen by cross-validated AUC."""
-    coder, names, scaling, rows = _prepare(train, spec, spec.numeric)
+    coder, names, scaling, negative, rows = _prepare(train, spec, spec.numeric)
     tries = sorted({min(m, len(names)) for m in spec.mtry})
     candidates = {
         f"mtry={m}": RandomForestClassifier(
@@ -147,35 +152,42 @@ def fit_forest(train: DataFrame, spec: Spec) -> Fitted:
         )
         for m in tries
     }
-    return _finish(spec, train, candidates, coder, names, scaling, rows)
+    return _finish(spec, train, candidates, coder.stages, names, scaling, negative, rows)
 
 
 def fit_logit(train: DataFrame, spec: Spec) -> Fitted:
-    """Unpenalised logistic regression for scoring, after dropping aliased numeric predictors."""
-    dropped = aliased_columns(train, spec.numeric) if spec.numeric else []
-    numeric = [c for c in spec.numeric if c not in dropped]
-    coder, names, scaling, rows = _prepare(train, spec, numeric)
-    candidates = {"logit": LogisticRegression(labelCol=LABEL, regParam=0.0, maxIter=100)}
-    return _finish(spec, train, candidates, coder, names, scaling, rows)
+    """Unpenalised logistic regression for scoring; terms that are linear functions of earlier ones are left out."""
+    coder, names, scaling, negative, rows = _prepare(train, spec, spec.numeric)
+    slicer, kept = _without_aliases(rows, names)
+    rows.unpersist()
+    sliced = slicer.transform(rows).persist()
+    candidates = {"logit": LogisticRegression(labelCol=LABEL, featuresCol="kept", regParam=0.0, maxIter=100)}
+    return _finish(spec, train, candidates, [*coder.stages, slicer], kept, scaling, negative, sliced)
+
 
+def _without_aliases(rows: DataFrame, names: Sequence[str]) -> tuple[VectorSlicer, list[str]]:
+    dropped = set(aliased_positions(rows, "features"))
+    kept = [i for i in range(len(names)) if i not in dropped]
+    return VectorSlicer(inputCol="features", outputCol="kept", indices=kept), [names[i] for i in kept]
 
-def logit_coefficients(train: DataFrame, spec: Spec, digits: int = 4) -> DataFrame:
-    """Coefficient table with standard errors: the log-odds of the positive class.
 
-    A term that is a linear function of the earlier ones is left out before fitting.
+def logit_coefficients(train: DataFrame, spec: Spec, digits: int | None = 4) -> DataFrame:
+    """Coefficient table with standard errors: the log-odds of the positive class; digits None leaves it unrounded.
+
+    A term that is a linear function of the earlier ones is left out before fitting. Importance and significance
+    are to be taken from unrounded tables.
     """
-    coder, names, _, rows = _prepare(train, spec, spec.numeric)
+    _, names, _, _, rows = _prepare(train, spec, spec.numeric)
     try:
-        dropped = set(aliased_positions(rows, "features"))
-        kept = [i for i in range(len(names)) if i not in dropped]
-        sliced = VectorSlicer(inputCol="features", outputCol="kept", indices=kept).transform(rows)
+        slicer, kept = _without_aliases(rows, names)
+        sliced = slicer.transform(rows)
         glr = GeneralizedLinearRegression(
             labelCol=LABEL, featuresCol="kept", family="binomial", link="logit", maxIter=50
         )
         model = glr.fit(sliced)
         summary = model.summary
         estimates = [*model.coefficients.toArray(), model.intercept]
-        labels = [*(names[i] for i in kept), "(Intercept)"]
+        labels = [*kept, "(Intercept)"]
         terms = list(
             zip(
                 labels,
@@ -227,8 +239,22 @@ def evaluate(model: Fitted, test: DataFrame, name: str) -> DataFrame:
 
 
 def save_model(model: Fitted, path: str) -> None:
-    model.pipeline.write().overwrite().save(path)
-
-
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+    """Write all that scoring needs: the fitted stages, the scaling before them, the classes, the specification."""
+    spark = model.cv.sparkSession
+    model.pipeline.write().overwrite().save(f"{path}/pipeline")
+    scaling = None if model.scaling is None else {"mean": model.scaling.mean, "sd": model.scaling.sd}
+    about = {
+        "spec": asdict(model.spec) | {"forest": dict(model.spec.forest)}, "scaling": scaling, "negative": model.negative,
+        "names": model.names, "seconds": model.seconds,
+    }
+    spark.createDataFrame([(json.dumps(about),)], "about string").coalesce(1).write.mode("overwrite").text(f"{path}/about")
+    model.cv.write.mode("overwrite").parquet(f"{path}/cv")
+
+
+def load_model(spark: SparkSession, path: str) -> Fitted:
+    """A saved model, which scores as it did before saving."""
+    about = json.loads(spark.read.text(f"{path}/about").first()[0])
+    spec = Spec(**{k: tuple(v) if isinstance(v, list) else v for k, v in about["spec"].items()})
+    scaling = about["scaling"] and Scaling(about["scaling"]["mean"], about["scaling"]["sd"])
+    pipeline = PipelineModel.load(f"{path}/pipeline")
+    return Fitted(spec, pipeline, scaling, about["negative"], about["names"], spark.read.parquet(f"{path}/cv"), about["seconds"])

@@ -78,7 +78,7 @@ def _prepared(spark, d):
 
 @query()
 def k_curves(spark, d):
-    return clustering.k_curves(_prepared(spark, d), range(1, 11), nstart=5)
+    return clustering.k_curves(_prepared(spark, d), range(1, 11), nstart=25)
 
 
 @query()

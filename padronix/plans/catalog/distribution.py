@@ -36,12 +36,14 @@ WITH r AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi, count(
   0.9 * least(stddev_samp(l_extendedprice),
     (quantile_cont(l_extendedprice, 0.75) - quantile_cont(l_extendedprice, 0.25)) / 1.34) * pow(count(*), -0.2) AS h
   FROM lineitem),
-b AS (SELECT {_bin_sql("l_extendedprice", 256)} AS bin, count(*) AS c FROM lineitem, r GROUP BY 1),
+b AS (SELECT floor((l_extendedprice - lo) / (h / 8)) AS bin, count(*) AS c FROM lineitem, r GROUP BY 1),
 g AS (SELECT unnest(range(64)) AS point),
-k AS (SELECT point, lo + (hi - lo) * point / 63 AS pos, c, h, n, lo + (hi - lo) * (bin + 0.5) / 256 AS center FROM b, g, r)
-SELECT CAST(point AS INTEGER) AS point, round(any_value(pos), 6) AS x,
-  round(sum(c * exp(-0.5 * ((pos - center) / h) ** 2)) / (sqrt(2 * pi()) * any_value(h) * any_value(n)), 8) AS density
-FROM k GROUP BY 1
+k AS (SELECT point, c * exp(-0.5 * (((hi - lo) / 63 * point - (bin + 0.5) * h / 8) / h) ** 2) AS part FROM b, g, r
+  WHERE abs((hi - lo) / 63 * point - (bin + 0.5) * h / 8) <= 6 * h),
+s AS (SELECT point, sum(part) AS total FROM k GROUP BY 1)
+SELECT CAST(point AS INTEGER) AS point, round(lo + (hi - lo) * point / 63, 6) AS x,
+  round(coalesce(total, 0) / (sqrt(2 * pi()) * h * n), 8) AS density
+FROM g LEFT JOIN s USING (point), r
 """)
 def density(spark, d):
     return distribution.density(table(spark, d, "lineitem"), "l_extendedprice")

@@ -10,13 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from padronix.operators.quality import stack_rows
-from padronix.operators.sizing import pin_small
 
 ENCODINGS = ("UTF-8", "ISO-8859-1")
-REPORT_ROWS = 100_000
 
 
-def _read_csv(spark: SparkSession, path: str, encoding: str, delimiter: str) -> DataFrame:
+def _read_csv(spark: SparkSession, path: str, encoding: str, delimiter: str, multi_line: bool) -> DataFrame:
     # every column is text: types are forced later, where bad values can be counted
     return spark.read.csv(
         path,
@@ -24,6 +22,9 @@ def _read_csv(spark: SparkSession, path: str, encoding: str, delimiter: str) ->
         inferSchema=False,
         encoding=encoding,
         sep=delimiter,
+        quote='"',
+        escape='"',
+        multiLine=multi_line,
         nullValue="NA",
         ignoreLeadingWhiteSpace=True,
         ignoreTrailingWhiteSpace=True,
@@ -43,16 +44,18 @@ def _has_broken_text(df: DataFrame) -> bool:
 
 
 def read_csv_safe(
-    spark: SparkSession, path: str, encodings: Sequence[str] = ENCODINGS, delimiter: str = ","
+    spark: SparkSession, path: str, encodings: Sequence[str] = ENCODINGS, delimiter: str = ",", multi_line: bool = True
 ) -> DataFrame:
     """Read a delimited file with a header under the first encoding that decodes cleanly.
 
+    A doubled quote inside quotes is a quote. With `multi_line` a quoted field may hold line breaks, and a file is
+    read by one task; large files without such fields are split among tasks with `multi_line` off.
     "NA" and empty fields become NULL. A missing file raises FileNotFoundError; text that no listed
     encoding can decode raises UnicodeError.
     """
     for encoding in encodings:
         try:
-            df = _read_csv(spark, path, encoding, delimiter)
+            df = _read_csv(spark, path, encoding, delimiter, multi_line)
         except AnalysisException as error:
             if "PATH_NOT_FOUND" in str(error):
                 raise FileNotFoundError(path) from error
@@ -88,12 +91,11 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def write_report(df: DataFrame, path: str) -> None:
-    """Write a result table as CSV with a header: one file up to REPORT_ROWS rows, else as many as tasks."""
-    small = pin_small(df, REPORT_ROWS)
-    (df if small is None else small.coalesce(1)).write.mode("overwrite").csv(path, header=True)
+def write_report(df: DataFrame, path: str, one_file: bool = True) -> None:
+    """Write a result table as CSV with a header: one file, or as many as the table has partitions."""
+    (df.repartition(1) if one_file else df).write.mode("overwrite").csv(path, header=True, quote='"', escape='"')
 
 
 def read_report(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.csv(path, header=True, inferSchema=schema is None)
+    return reader.csv(path, header=True, inferSchema=schema is None, quote='"', escape='"', multiLine=True)

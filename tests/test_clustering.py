@@ -1,5 +1,7 @@
 """Clustering on the nineteen published sector rows (values rounded to six places)."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,11 +91,36 @@ def test_curves(fitted):
     assert rows[0].silhouette is None and all(-1 <= r.silhouette <= 1 for r in rows[1:])
 
 
-def test_exact_silhouette_is_bounded(spark, monkeypatch):
-    monkeypatch.setattr(clustering, "EXACT_SILHOUETTE_ROWS", 5)
-    df = spark.range(10).select(F.col("id").cast("double").alias("x"), (F.col("id") % 2).cast("int").alias("c"))
-    with pytest.raises(ValueError):
-        clustering.silhouette_points(df, ["x"], "c")
+def _brute_widths(points, clusters, distance):
+    out = []
+    for i, p in enumerate(points):
+        mean = {}
+        for c in set(clusters):
+            ds = [distance(p, q) for j, q in enumerate(points) if clusters[j] == c and j != i]
+            mean[c] = sum(ds) / len(ds) if ds else None
+        a, b = mean[clusters[i]], min(m for c, m in mean.items() if c != clusters[i])
+        out.append(0.0 if a is None else (b - a) / max(a, b))
+    return out
+
+
+@pytest.mark.parametrize("measure", clustering.MEASURES)
+def test_silhouettes_of_any_size_by_brute_force(spark, monkeypatch, measure):
+    monkeypatch.setattr(clustering, "BLOCK_POINTS", 7)  # blocks of few points
+    rng = random.Random(3)
+    rows = [(i, rng.random() + c, rng.random(), c) for i, c in enumerate(rng.choices([0, 1, 2], k=120))]
+    rows += [(200 + i, *rows[i][1:]) for i in range(10)]  # repeated points
+    df = spark.createDataFrame(rows, "id int, x double, y double, c int").repartition(3)
+    got = {r.id: r.width for r in clustering.silhouette_points(df, ["x", "y"], "c", keep=["id"], measure=measure).collect()}
+    power = 0.5 if measure == "euclidean" else 1
+    want = _brute_widths([r[1:3] for r in rows], [r[3] for r in rows], lambda p, q: ((p[0] - q[0]) ** 2 + (p[1] - q[1]) ** 2) ** power)
+    assert [got[r[0]] for r in rows] == pytest.approx(want)
+
+
+def test_gaps_are_filled_in_the_scaled_copies_only(spark):
+    df = spark.createDataFrame([(1, 5, 1.0), (2, 7, None), (3, 9, 4.0)], "id int, n long, x double")
+    table = clustering.prepare(df, ["n", "x"]).table
+    assert dict(table.dtypes)["n"] == "bigint" and table.where("id = 2").first().x is None
+    assert table.where("z_x IS NULL").count() == 0
 
 
 def test_single_member_cluster_has_width_zero(spark):

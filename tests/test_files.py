@@ -59,12 +59,26 @@ def test_report_is_one_file_with_a_header(spark, tmp_path):
     assert back.count() == 100 and back.columns == ["id", "x"]
 
 
-def test_large_report_keeps_its_tasks(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(files, "REPORT_ROWS", 10)
-    files.write_report(spark.range(100).repartition(4), str(tmp_path / "big"))
+def test_report_in_many_files(spark, tmp_path):
+    files.write_report(spark.range(100).repartition(4), str(tmp_path / "big"), one_file=False)
     assert len(list((tmp_path / "big").glob("part-*.csv"))) == 4
 
 
+def test_quotes_and_line_breaks_are_read(spark, tmp_path):
+    text = 'id,name\n1,"x ""y"" z"\n2,"two\nlines, and a comma"\n3,plain\n'
+    for encoding in ("utf-8", "latin-1"):
+        df = files.read_csv_safe(spark, write(tmp_path, f"q-{encoding}.csv", text + "4,año\n", encoding))
+        assert {r.id: r.name for r in df.collect()} == {"1": 'x "y" z', "2": "two\nlines, and a comma", "3": "plain", "4": "año"}
+
+
+def test_reports_round_trip_quotes(spark, tmp_path):
+    rows = [(1, 'a "b" c'), (2, "x, y"), (3, "p\nq"), (4, "\\"), (5, 'ends with "')]
+    files.write_report(spark.createDataFrame(rows, "id long, t string"), str(tmp_path / "q"))
+    assert sorted(map(tuple, files.read_report(spark, str(tmp_path / "q"), "id long, t string").collect())) == rows
+    part = next((tmp_path / "q").glob("part-*.csv")).read_text()
+    assert '"a ""b"" c"' in part
+
+
 def test_contracts(spark):
     assert {n: len(s) for n, s in CONTRACTS.items()} == {
         "actividades": 6, "departamentos": 4, "depto_actividad": 12, "establecimientos": 11,

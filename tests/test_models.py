@@ -1,6 +1,7 @@
 """Fitted models on small tables with a known answer."""
 
 import math
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -52,9 +53,26 @@ def test_logit_and_forest(data, tmp_path):
     assert forest.cv.count() == 6
     assert models.impurity_importance(forest).count() == 4
     models.save_model(forest, str(tmp_path / "m"))
-    again = models.load_model(str(tmp_path / "m"))
-    one, two = (m.transform(test).select("id", "prediction") for m in (forest.pipeline, again))
-    assert one.exceptAll(two).count() == 0
+    again = models.load_model(test.sparkSession, str(tmp_path / "m"))
+    one, two = (m.score(test).select("id", "score", "predicted") for m in (forest, again))
+    assert one.exceptAll(two).count() == 0 and again.spec == SPEC
+    assert {r.predicted for r in one.select("predicted").distinct().collect()} == {"yes", "no"}
+
+
+def test_a_scaled_model_scores_alike_after_loading(data, tmp_path):
+    model = models.fit_logit(data, replace(SPEC, scale=True))
+    models.save_model(model, str(tmp_path / "s"))
+    again = models.load_model(data.sparkSession, str(tmp_path / "s"))
+    one, two = (m.score(data).select("id", "score") for m in (model, again))
+    assert one.exceptAll(two).count() == 0 and again.scaling.mean == model.scaling.mean
+    plain = models.fit_logit(data, SPEC).score(data).select("id", F.round("score", 4))
+    assert one.select("id", F.round("score", 4)).exceptAll(plain).count() < 30
+
+
+def test_factor_aliases_are_left_out_of_scoring_models(data):
+    doubled = data.withColumn("kind2", F.concat(F.col("kind"), F.lit("_"))).drop("x2")
+    model = models.fit_logit(doubled, replace(SPEC, categorical=("kind", "kind2"), numeric=("x",)))
+    assert len(model.names) == 3 and model.score(doubled).where("score IS NULL").count() == 0
 
 
 def test_compare_ranks_both_models(data):

@@ -1,5 +1,9 @@
 """Group statistics on tiny tables: ties, NULL groups, thresholds, shares."""
 
+import math
+import random
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,3 +89,24 @@ def test_audit_of_an_empty_stage(spark):
     df = spark.range(0)
     row = quality.audit_row("s", "d", df, df).first()
     assert (row.n_before, row.n_after, row.pct_removed) == (0, 0, None) and row.logged_at is not None
+
+
+def test_density_of_skewed_values_equals_a_direct_kernel_sum(spark):
+    rng = random.Random(5)
+    values = [min(23_097.0, 1 + 6 * math.exp(1.4 * rng.gauss(0, 1))) for _ in range(20_000)] + [1.0, 23_097.0]
+    rows = distribution.density(spark.createDataFrame([(v,) for v in values], "x double"), "x", points=4000).collect()
+    at = {r.point: (r.x, r.density) for r in rows}
+    x = np.array(values)
+    spread = min(x.std(ddof=1), (np.quantile(x, 0.75) - np.quantile(x, 0.25)) / 1.34)
+    h = 0.9 * spread * len(x) ** -0.2
+    for p in (0, 1, 2, 3, 10, 100, 3999):
+        want = float(np.exp(-0.5 * ((at[p][0] - x) / h) ** 2).sum() / (math.sqrt(2 * math.pi) * h * len(x)))
+        assert at[p][1] == pytest.approx(want, rel=0.02, abs=1e-7)
+    fine = distribution.density(spark.createDataFrame([(v,) for v in values], "x double").where("x < 60"), "x", points=600).collect()
+    step = (max(r.x for r in fine) - min(r.x for r in fine)) / 599
+    assert sum(r.density for r in fine) * step == pytest.approx(1, abs=0.06)  # the kernel spills over the least value
+
+
+def test_density_of_equal_values(spark):
+    rows = distribution.density(spark.createDataFrame([(3.0,)] * 5, "x double"), "x").collect()
+    assert len(rows) == 64 and all(r.density > 0 for r in rows)
