@@ -1,9 +1,9 @@
 """Exact quantiles (linear interpolation) without one task ever holding a group's values.
 
 `percentile` keeps every distinct value of a group in one buffer. Here a mergeable sketch first brackets
-each wanted rank; a second pass counts rows, keeping single values only inside the brackets (about
-7 / accuracy of a group per quantile) and collapsing all others into one count per gap. Groups of fewer
-than `accuracy` rows are bracketed whole.
+each wanted rank. Brackets that may hold more than `task_rows` rows are narrowed by further sketches of what
+lies inside them, each to about 1 / 200. A last pass counts rows, keeping single values only inside the brackets
+and collapsing all others into one count per gap. Groups of fewer than `accuracy` rows are bracketed whole.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from padronix.operators.sizing import join_table, pin_small
 
 ACCURACY = 20_000
+TASK_ROWS = 2_000_000  # rows in a bracket up to which one task orders them
+GRID = 1_000  # marks that cut a bracket when it is narrowed
 
 
 def _interpolated(probs: Sequence[float], prefix: str) -> list[Column]:
@@ -48,12 +50,13 @@ def quantiles(
     overall: Mapping[str, Column] | None = None,
     prefix: str = "q",
     accuracy: int = ACCURACY,
+    task_rows: int | None = None,
 ) -> DataFrame:
     """One row per group with columns q0, q1, ... for the sorted `probs`; NULL and NaN are skipped.
 
     `also` names aggregates over all rows of the group, computed in the sketch's pass; `overall` aggregates
     those of all groups into one number, put beside every group. A group without any value has NULL
-    quantiles. The sketch pass runs when this is called.
+    quantiles. The sketch passes run when this is called.
     """
     if list(probs) != sorted(set(probs)):
         raise ValueError("probs must be sorted and distinct")
@@ -73,17 +76,23 @@ def quantiles(
     local = pin_small(sketch)
     groups = sketch.persist() if local is None else local
     rows = df.select(*by, v.alias("_v")).where(F.col("_v").isNotNull())
+    whole = F.col("_n") < accuracy
+    lows = [F.when(whole | (edges[i] == 0.0), F.col("_min")).otherwise(F.col("_e")[i]) for i in range(k)]
+    highs = [F.when(whole | (edges[k + i] == 1.0), F.col("_max")).otherwise(F.col("_e")[k + i]) for i in range(k)]
+    kept = groups
+    groups = groups.select("*", F.array(*lows).alias("_lo"), F.array(*highs).alias("_hi"))
+    limit = task_rows or TASK_ROWS
+    held = (groups.agg(F.max("_n")).first()[0] or 0) * 2 * margin
+    while held > limit:
+        groups = _narrowed(rows, groups, by, probs, accuracy, local is not None)
+        held = held * 6 / GRID
     if by:
-        tagged = join_table(rows, groups.select(*by, "_n", "_e", "_min", "_max"), by, small=local is not None)
-        low, high, marks = F.col("_min"), F.col("_max"), [F.col("_e")[i] for i in range(2 * k)]
+        tagged = join_table(rows, groups.select(*by, "_n", "_lo", "_hi"), by, small=local is not None)
+        lows, highs = ([F.col(c)[i] for i in range(k)] for c in ("_lo", "_hi"))
     else:
         one = groups.first()  # a handful of numbers
         tagged = rows.withColumn("_n", F.lit(one["_n"]).cast("long"))
-        low, high = _number(one["_min"]), _number(one["_max"])
-        marks = [_number(e) for e in one["_e"] or [None] * (2 * k)]
-    whole = F.col("_n") < accuracy
-    lows = [F.when(whole | (edges[i] == 0.0), low).otherwise(marks[i]) for i in range(k)]
-    highs = [F.when(whole | (edges[k + i] == 1.0), high).otherwise(marks[k + i]) for i in range(k)]
+        lows, highs = ([_number(x) for x in one[c]] for c in ("_lo", "_hi"))
     opened = reduce(lambda a, b: a + b, [(F.col("_v") >= edge).cast("int") for edge in lows])
     closed = reduce(lambda a, b: a + b, [(F.col("_v") > edge).cast("int") for edge in highs])
     counted = (
@@ -102,12 +111,40 @@ def quantiles(
     picked = ranked.groupBy(*by).agg(*_interpolated(probs, prefix))
     if by:
         out = join_table(groups.select(*by, *also), picked, by, "left", small=local is not None)
-        totals = groups.agg(*[c.alias(name) for name, c in (overall or {}).items()]).first() if overall else {}
+        totals = kept.agg(*[c.alias(name) for name, c in (overall or {}).items()]).first() if overall else {}
         return out.withColumns({name: _number(totals[name]) for name in overall or {}})
     kinds = {f.name: f.dataType for f in groups.schema}
     return picked.withColumns({name: F.lit(one[name]).cast(kinds[name]) for name in also})
 
 
+def _narrowed(rows: DataFrame, groups: DataFrame, by: Sequence[str], probs: Sequence[float], accuracy: int, small: bool) -> DataFrame:
+    """`groups` with brackets that hold about 4 of 1,000 parts of the rows in the old ones; written down by a pass."""
+    k, grid = len(probs), [i / GRID for i in range(GRID + 1)]
+    tagged = join_table(rows, groups.select(*by, "_lo", "_hi"), by, small=small) if by else rows.crossJoin(F.broadcast(groups.select("_lo", "_hi")))
+    v = F.col("_v")
+    inside = [v.between(F.col("_lo")[i], F.col("_hi")[i]) for i in range(k)]
+    seen = tagged.groupBy(*by).agg(
+        F.array(*[F.count_if(v < F.col("_lo")[i]) for i in range(k)]).alias("_below"),
+        F.array(*[F.count_if(c) for c in inside]).alias("_in"),
+        *[F.percentile_approx(F.when(c, v), grid, accuracy).alias(f"_m{i}") for i, c in enumerate(inside)],
+    )
+    both = join_table(groups, seen, by, "left") if by else groups.crossJoin(F.broadcast(seen))
+
+    def mark(i: int, step: int) -> Column:
+        """The mark two steps before or after the place of the wanted rank; the old edge where there is none."""
+        rank = (F.col("_n") - 1) * F.lit(float(probs[i]))
+        rank = F.floor(rank) if step < 0 else F.ceil(rank)
+        part = (rank - F.col("_below")[i]) / F.col("_in")[i] * GRID
+        at = (F.floor(part) if step < 0 else F.ceil(part)).cast("int") + step
+        old = F.col("_lo" if step < 0 else "_hi")[i]
+        return F.when(at.between(0, GRID), F.get(F.col(f"_m{i}"), at)).otherwise(old)
+
+    lo, hi = (F.array(*[F.coalesce(mark(i, step), F.col(c)[i]) for i in range(k)]) for step, c in ((-2, "_lo"), (2, "_hi")))
+    out = both.select(*[c for c in groups.columns if c not in ("_lo", "_hi")], lo.alias("_lo"), hi.alias("_hi"))
+    pinned = pin_small(out)
+    return out.persist() if pinned is None else pinned
+
+
 def median(df: DataFrame, value: str, by: Sequence[str] = (), name: str = "median") -> DataFrame:
     """Exact median per group."""
     return quantiles(df, value, [0.5], by).withColumnRenamed("q0", name)

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from padronix.operators import quantiles as module
 from padronix.operators.quantiles import median, quantiles, quantiles_of
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
@@ -37,6 +38,23 @@ def test_matches_numpy(spark, accuracy, seed):
     )
 
 
+@pytest.mark.parametrize("grouped", [True, False])
+def test_brackets_are_narrowed_to_any_bound(spark, monkeypatch, grouped):
+    """With a tiny bound several narrowings run, and the result stays exact."""
+    calls = []
+    narrowed = module._narrowed
+    monkeypatch.setattr(module, "_narrowed", lambda *a: calls.append(1) or narrowed(*a))
+    monkeypatch.setattr(module, "GRID", 20)
+    rng = np.random.default_rng(4)
+    groups = {"a": rng.lognormal(0, 3, 20_000), "b": rng.integers(0, 50, 9000), "c": [1.0, 2.0]}
+    if grouped:
+        check(spark, groups, accuracy=400, task_rows=20)
+    else:
+        got = quantiles(table(spark, {"a": groups["a"]}), "v", PROBS, accuracy=400, task_rows=20).first()
+        np.testing.assert_allclose(list(got), np.quantile(groups["a"], PROBS), rtol=1e-12)
+    assert len(calls) > 1
+
+
 @pytest.mark.parametrize("n", range(1, 12))
 def test_every_small_size(spark, n):
     check(spark, {"a": np.arange(n) * 1.5})
