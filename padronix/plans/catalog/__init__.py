@@ -6,6 +6,7 @@ from padronix.plans.catalog import (
     distribution,
     evaluation,
     modelling,
+    proofs,
     quality,
     registry,
     sampling,
@@ -21,6 +22,7 @@ __all__ = [
     "distribution",
     "evaluation",
     "modelling",
+    "proofs",
     "quality",
     "registry",
     "sampling",

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from padronix.operators import cleaning, joins, quality
 from padronix.plans.catalog.base import STAR, query, unpivot_sql
-from padronix.plans.star import star, table
+from padronix.plans.star import lines_parts, star, table
 
 # Orders beside their customer where that has a positive balance: a table with missing cells.
 ORDERS_GAPS = """SELECT o.*, c.c_name, c.c_acctbal, c.c_mktsegment FROM orders o
@@ -252,4 +252,4 @@ LEVELS = ["l_returnflag", "l_linestatus", "p_brand", "p_type"]
     )
 )
 def level_counts(spark, d):
-    return quality.level_counts(star(spark, d), LEVELS)
+    return quality.level_counts(lines_parts(spark, d), LEVELS)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from padronix.operators import stats
 from padronix.plans.catalog.base import LINES_PARTS, PLACED, STAR, query, unpivot_sql
-from padronix.plans.star import lines_parts, lines_placed, orders_placed, star, table
+from padronix.plans.star import flagged_parts, lines_parts, lines_placed, orders_placed, star, table
 
 MIN_GROUP = 20
 
@@ -157,7 +157,7 @@ SELECT p_type = 'ECONOMY' AS economy, p_type = 'PROMO' AS promo, p_size > 25 AS
 FROM ({STAR}) GROUP BY 1, 2, 3 HAVING count(*) > {MIN_GROUP}
 """)
 def rate_by(spark, d):
-    flagged = star(spark, d).withColumns(
+    flagged = flagged_parts(spark, d).withColumns(
         {"economy": F.col("p_type") == "ECONOMY", "promo": F.col("p_type") == "PROMO", "big": F.col("p_size") > 25}
     )
     return stats.rate_by(flagged, ["economy", "promo", "big"], F.col("exported"), MIN_GROUP, 4)
@@ -169,7 +169,7 @@ SELECT kind, count(*) AS n, round(avg(share), 3) AS mean_share, round(avg(p_size
 FROM (SELECT *, CASE WHEN p_type = 'PROMO' THEN 'promo' ELSE 'rest' END AS kind FROM ({STAR})) GROUP BY 1
 """)
 def compare_groups(spark, d):
-    rows = star(spark, d).withColumn("kind", F.when(F.col("p_type") == "PROMO", "promo").otherwise("rest"))
+    rows = flagged_parts(spark, d).withColumn("kind", F.when(F.col("p_type") == "PROMO", "promo").otherwise("rest"))
     return stats.compare_groups(rows, "kind", "share", "p_size", F.col("exported"))
 
 

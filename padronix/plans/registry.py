@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from padronix.functions.text import plain
 from padronix.functions.values import recode, safe_ratio, three_way
 from padronix.operators import quality
-from padronix.operators.cleaning import apply_rules, canonicalize, conform, dedupe, squish_columns
+from padronix.operators.cleaning import apply_rules, canonicalize, conform, dedupe, squish_columns, unmapped
 from padronix.operators.joins import integrate, orphan_keys, orphan_summary
 from padronix.sources.contracts import CONTRACTS, public_schema, publish
 from padronix.sources.files import write_report, write_table
@@ -193,6 +193,7 @@ class Registry:
     establishments: DataFrame
     full: DataFrame
     audit: DataFrame
+    stages: tuple[tuple[str, str, DataFrame, DataFrame], ...] = ()
 
 
 def integrate_registry(establishments: DataFrame, activities: DataFrame, areas: DataFrame) -> DataFrame:
@@ -200,7 +201,12 @@ def integrate_registry(establishments: DataFrame, activities: DataFrame, areas:
     activity_cols = ["activity_code", "activity_name", "division_code", "division_name", "section", "section_name"]
     dims = [(activities.select(*activity_cols), ["activity_code"]), (areas, ["province_id", "area_id"])]
     full = integrate(establishments, dims, how="inner")
-    return full.withColumn("region", region_of(F.col("province")))
+    return full.withColumn("region", region_of(F.col("province"), fold_accents=True))
+
+
+def unmapped_provinces(full: DataFrame) -> DataFrame:
+    """Provinces that no region holds under any spelling, with their rows."""
+    return unmapped(full, "province", "region", NO_REGION)
 
 
 def build(raw: Mapping[str, DataFrame], stamp: bool = True) -> Registry:
@@ -219,7 +225,7 @@ def build(raw: Mapping[str, DataFrame], stamp: bool = True) -> Registry:
     stages.append(("establishments", "rules, keep-first", raw["establecimientos"], establishments))
     audit = quality.stack_rows([quality.audit_row(*s, stamp=stamp) for s in stages])
     full = integrate_registry(establishments, activities, areas)
-    return Registry(activities, areas, area_activity, establishments, full, audit)
+    return Registry(activities, areas, area_activity, establishments, full, audit, tuple(stages))
 
 
 KPI_COLUMNS = {"provinces": "province", "areas": "area_id", "activities": "activity_code", "years": "year"}
@@ -232,35 +238,55 @@ def kpis(full: DataFrame) -> DataFrame:
 def write_registry(registry: Registry, folder: str) -> None:
     """Write the cleaned tables (facts by year), the integrated table and the reports.
 
-    The integrated table is built from the written tables, so cleaning runs once.
+    Dimensions come first. The integrated table and the audit's second counts come from the written tables, so
+    cleaning runs once.
     """
     spark = registry.full.sparkSession
-    write_table(registry.activities, f"{folder}/activities")
-    write_table(registry.areas, f"{folder}/areas")
-    if registry.area_activity is not None:
-        write_table(registry.area_activity, f"{folder}/area_activity", ["year"])
-    write_table(registry.establishments, f"{folder}/establishments", ["year"])
-    read = {name: spark.read.parquet(f"{folder}/{name}") for name in ("activities", "areas", "establishments")}
-    full = integrate_registry(read["establishments"], read["activities"], read["areas"])
+    written = {}
+    for name, partition_by in (("activities", ()), ("areas", ()), ("area_activity", ("year",)), ("establishments", ("year",))):
+        table = getattr(registry, name)
+        if table is not None:
+            write_table(table, f"{folder}/{name}", partition_by)
+            written[name] = spark.read.schema(table.schema).parquet(f"{folder}/{name}")
+    full = integrate_registry(written["establishments"], written["activities"], written["areas"])
     write_table(full, f"{folder}/establishments_full", ["year"])
-    written = spark.read.parquet(f"{folder}/establishments_full")
-    write_report(registry.audit, f"{folder}/reports/audit")
-    write_report(quality.retention(registry.audit), f"{folder}/reports/retention")
-    write_report(kpis(written), f"{folder}/reports/kpis")
+    full = spark.read.schema(full.schema).parquet(f"{folder}/establishments_full")
+    audit = quality.stack_rows([quality.audit_row(n, said, raw, written[n]) for n, said, raw, _ in registry.stages])
+    write_table(audit, f"{folder}/audit")
+    audit = spark.read.parquet(f"{folder}/audit")
+    write_report(audit, f"{folder}/reports/audit")
+    write_report(quality.retention(audit), f"{folder}/reports/retention")
+    write_report(kpis(full), f"{folder}/reports/kpis")
+    write_report(unmapped_provinces(full), f"{folder}/reports/unmapped_provinces")
+
+
+def write_validation(raw: Mapping[str, DataFrame], folder: str) -> None:
+    """Write every check of `validate` as a report."""
+    for name, table in validate(raw).items():
+        write_report(table, f"{folder}/validation/{name}")
 
 
 def validate(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """The checks run on raw tables: contract, missing, summary, orphans, bounds and years.
+    """The checks run on raw tables: contract, missing, profiles, summary, orphans, bounds and years.
 
     Raw columns keep their file names here; text is typed first, as the checks compare numbers.
     """
     typed = {n: conform(df, CONTRACTS[n]) for n, df in raw.items()}
-    fact = typed["establecimientos"]
+    profiles = {n: quality.profile(df.select(*[c for c in CONTRACTS[n].names if c in df.columns])) for n, df in typed.items()}
+
+    def by_table(parts: Mapping[str, DataFrame | None]) -> DataFrame:
+        return quality.stack_rows([p.select(F.lit(n).alias("table"), "*") for n, p in parts.items() if p is not None])
+
+    only = ["clae6", "provincia_id", "in_departamentos", "lat", "lon", "anio"]
+    fact = conform(raw["establecimientos"].select(*only), CONTRACTS["establecimientos"])
     area_key = ["provincia_id", "in_departamentos"]
     return {
         "contract": quality.stack_rows(
             [quality.check_contract(df, CONTRACTS[n].names, n) for n, df in raw.items()]
         ),
+        "missing": by_table({n: quality.missing_report(df) for n, df in raw.items()}),
+        "profile_text": by_table({n: p[0] for n, p in profiles.items()}),
+        "profile_numeric": by_table({n: p[1] for n, p in profiles.items()}),
         "summary": quality.validation_summary(raw),
         "orphan_activities": _orphans(fact, typed["actividades"], ["clae6"]),
         "orphan_areas": _orphans(fact, typed["departamentos"], area_key),

@@ -49,6 +49,11 @@ def lines_parts(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "lineitem").join(part, "l_partkey", "left")
 
 
+def flagged_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """`lines_parts` with the registry-like columns: for queries that read nothing of orders and customers."""
+    return lines_parts(spark, folder).withColumns({"share": F.col("l_discount") * 10, "exported": F.col("l_returnflag") == "R"})
+
+
 def star(spark: SparkSession, folder: str) -> DataFrame:
     """Line items with every dimension and the registry-like columns."""
     part = table(spark, folder, "part").select(

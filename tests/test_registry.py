@@ -168,3 +168,45 @@ def test_key_checks(spark):
     assert sorted(tuple(r) for r in orphans.collect()) == [(2, 1), (3, 1)]
     assert tuple(orphan_summary(orphans, ["k"]).first()) == (2, 2, "2,3")
     assert keep_valid(fact, dim, ["k"]).count() == 2
+
+
+def test_a_full_run_writes_every_table(spark, tmp_path):
+    """The tables of FIXTURES F4, from the smallest generated tables and with few trees."""
+    import os
+    from dataclasses import replace
+
+    from padronix.operators import models
+    from padronix.plans import hypotheses, results
+    from padronix.plans.derived import raw_tables
+
+    folder = str(tmp_path)
+    tables = raw_tables(spark, "/root/testdata/sf0.001")
+    registry.write_validation(tables, folder)
+    registry.write_registry(registry.build(tables), folder)
+    full = spark.read.parquet(f"{folder}/establishments_full")
+    few = {"forest": {"numTrees": 3, "maxDepth": 4}, "mtry": (2,), "folds": 2}
+    results.write_results(
+        full, folder, 20, 2, nstart=3, exporter=replace(hypotheses.EXPORTER, **few),
+        geography=replace(hypotheses.GEOGRAPHY, folds=2), health=replace(hypotheses.HEALTH, **few),
+        gender=replace(hypotheses.GENDER, **few),
+    )
+    assert set(os.listdir(f"{folder}/reports")) == {
+        "audit", "retention", "kpis", "unmapped_provinces", "sector_profile", "sector_clusters", "cluster_profile",
+        "executive_summary", "insights", "hypotheses", "algorithms", "model_comparison", "classification_summary",
+    }
+    assert {"contract", "missing", "profile_text", "profile_numeric", "summary"} <= set(os.listdir(f"{folder}/validation"))
+    hypothesis = spark.read.csv(f"{folder}/reports/hypotheses", header=True).collect()
+    assert {r.hypothesis for r in hypothesis} == {"H1", "H2", "H3"}
+    assert next(r.verdict for r in hypothesis if r.hypothesis == "H3") in {"highly identifiable", "moderately identifiable", "hard to identify"}
+    audit = {r.stage: r for r in spark.read.parquet(f"{folder}/audit").collect()}
+    assert audit["establishments"].n_after == spark.read.parquet(f"{folder}/establishments").count()
+    again = models.load_model(spark, f"{folder}/models/H1")
+    scored = again.score(hypotheses.exporter_data(full))
+    assert {r.predicted for r in scored.select("predicted").distinct().collect()} <= {"Exportador", "No_Exportador"}
+
+
+def test_unmapped_provinces_and_loose_spellings(spark):
+    df = spark.createDataFrame([("cordoba",), ("CÓRDOBA",), ("Atlántida",)], "province string")
+    full = df.withColumn("region", registry.region_of(F.col("province"), fold_accents=True))
+    assert [r.region for r in full.collect()] == ["Centro", "Centro", "Otras"]
+    assert [tuple(r) for r in registry.unmapped_provinces(full).collect()] == [("Atlántida", 1)]
