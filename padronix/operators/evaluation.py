@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from padronix.functions.text import row_hash
 from padronix.operators.sizing import join_table
 
-RANGES = 256
+RANGE_SCORES = 1_000_000  # distinct scores that one task orders
 
 
 def confusion(df: DataFrame, pred: str, label: str, positive, digits: int = 6) -> DataFrame:
@@ -42,16 +42,18 @@ def _score_counts(df: DataFrame, score: str, label: str, positive) -> DataFrame:
     return rows.groupBy("s").agg(F.count_if("y").alias("pos"), F.count_if(~F.col("y")).alias("neg"))
 
 
-def _edges(df: DataFrame, score: str, ranges: int) -> list[float]:
-    """Bounded list of score boundaries that cut the rows into about equal ranges."""
+def _edges(counts: DataFrame, ranges: int) -> list[float]:
+    """Score boundaries that cut distinct scores into about equal ranges: one per RANGE_SCORES of them."""
     if ranges < 2:
         return [float("-inf"), float("inf")]
-    marks = df.select(F.col(score).cast("double").alias("s")).approxQuantile(
-        "s", [i / ranges for i in range(1, ranges)], 0.25 / ranges
-    )
+    marks = counts.approxQuantile("s", [i / ranges for i in range(1, ranges)], 0.25 / ranges)
     return [float("-inf"), *sorted(set(marks)), float("inf")]
 
 
+def _ranges(counts: DataFrame) -> int:
+    return -(-counts.count() // RANGE_SCORES)
+
+
 def running_counts(counts: DataFrame, edges: Sequence[float]) -> DataFrame:
     """Positives and negatives at scores above each score, without one task seeing every score.
 
@@ -80,17 +82,24 @@ def running_counts(counts: DataFrame, edges: Sequence[float]) -> DataFrame:
     )
 
 
-def auc(df: DataFrame, score: str, label: str, positive, digits: int = 6, ranges: int = RANGES) -> DataFrame:
-    """Exact area under the ROC curve; a higher score speaks for the positive class, ties count half."""
-    counts = _score_counts(df, score, label, positive)
-    run = running_counts(counts, _edges(df, score, ranges))
-    wins = F.sum(F.col("neg") * (F.col("pos_above") + F.col("pos") * 0.5))
-    pairs = F.sum("pos").cast("double") * F.sum("neg")
-    return run.agg(
-        F.sum("pos").alias("n_positive"),
-        F.sum("neg").alias("n_negative"),
-        F.round(F.try_divide(wins, pairs), digits).alias("auc"),
-    )
+def auc(df: DataFrame, score: str, label: str, positive, digits: int = 6, ranges: int | None = None) -> DataFrame:
+    """Exact area under the ROC curve; a higher score speaks for the positive class, ties count half.
+
+    Runs when called: rows are grouped by score once, the groups are kept while they are ranked, and one row is returned.
+    """
+    counts = _score_counts(df, score, label, positive).persist()
+    try:
+        run = running_counts(counts, _edges(counts, ranges or _ranges(counts)))
+        wins = F.sum(F.col("neg") * (F.col("pos_above") + F.col("pos") * 0.5))
+        pairs = F.sum("pos").cast("double") * F.sum("neg")
+        row = run.agg(
+            F.sum("pos").alias("n_positive"),
+            F.sum("neg").alias("n_negative"),
+            F.round(F.try_divide(wins, pairs), digits).alias("auc"),
+        )
+        return df.sparkSession.createDataFrame(row.toArrow(), schema=row.schema)
+    finally:
+        counts.unpersist()
 
 
 def roc_points(
@@ -98,13 +107,17 @@ def roc_points(
 ) -> DataFrame:
     """ROC points (threshold, fpr, tpr), one per distinct score or at most `max_points` of them."""
     counts = _score_counts(df, score, label, positive)
-    edges = _edges(df, score, max_points or RANGES)
-    if max_points and len(edges) > 2:
-        ranged = Bucketizer(splits=edges, inputCol="s", outputCol="range").transform(counts)
-        counts = ranged.groupBy("range").agg(
-            F.min("s").alias("s"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg")
-        )
-        counts = counts.drop("range")
+    if max_points:
+        rows = df.select(F.col(score).cast("double").alias("s"))
+        edges = _edges(rows, max_points)
+        if len(edges) > 2:
+            ranged = Bucketizer(splits=edges, inputCol="s", outputCol="range").transform(counts)
+            counts = ranged.groupBy("range").agg(
+                F.min("s").alias("s"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg")
+            )
+            counts = counts.drop("range")
+    else:
+        edges = _edges(counts, _ranges(counts))
     run = running_counts(counts, edges)
     total = counts.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n")).alias("t")).scalar()
     return run.withColumn("_t", total).select(

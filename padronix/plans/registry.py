@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from padronix.functions.text import plain
-from padronix.functions.values import recode, safe_ratio, three_way
+from padronix.functions.values import recode, safe_ratio, three_way, to_int
 from padronix.operators import quality
 from padronix.operators.cleaning import apply_rules, canonicalize, conform, dedupe, squish_columns, unmapped
 from padronix.operators.joins import integrate, orphan_keys, orphan_summary
@@ -177,8 +177,12 @@ def clean_establishments(
         "activity_code", "area_id", "province_id", "lat", "lon", "share_women", "export_quintile", "size_label",
     ),
 ) -> DataFrame:
-    """Type, apply the rules, derive, then keep the first row per (owner, branch, year)."""
-    df = conform(publish(raw), public_schema(CONTRACTS["establecimientos"]))
+    """Type, apply the rules, derive, then keep the first row per (owner, branch, year).
+
+    What text decides is filtered before the casts: the labels at the scan, the years in front of the typing.
+    """
+    labelled = {"size_label": F.col("size_label").isin(*SIZE_MIDPOINTS), "year": to_int(F.col("year")).isin(*YEARS)}
+    df = conform(apply_rules(publish(raw), labelled), public_schema(CONTRACTS["establecimientos"]))
     df = derive_establishment(apply_rules(df, establishment_rules()))
     return dedupe(df, ["owner_id", "branch", "year"], order_by)
 
