@@ -8,11 +8,15 @@ An index file beside each file of records holds, per record, its offset and the
 
 from __future__ import annotations
 
+import json
 import re
 import struct
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
+from itertools import pairwise
 from pathlib import Path
 
 import numpy as np
@@ -27,7 +31,7 @@ from padronix.llm.batches import bounded_batches
 
 MASK = 0xA282EAD8  # Fixed value: added to a rotated checksum.
 TOKENIZER_BYTES = 64_000_000  # most bytes of a tokenizer file that is broadcast
-MEMO_PIECES = 500_000  # pieces of text whose ids a task remembers; beyond that it forgets all and goes on
+MEMO_PIECES = 1_200_000  # pieces of text whose ids a worker remembers, in about 250 MB; then it forgets all and goes on
 
 _FRAME = struct.Struct("<QI")
 _SUM = struct.Struct("<I")
@@ -35,45 +39,160 @@ _HEAD = struct.Struct("<BBqQ")
 
 _WS = " \\t\\n\\r\\x0b\\x0c"
 _PIECES = re.compile(f"[{_WS}]*[^{_WS}]+|[{_WS}]+")
-_RUNS = re.compile(f" [{_WS}]|[{_WS}] |^ | $")
 _RARE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_SEPARATORS = tuple("\x1c\x1d\x1e\x1f")
+_ENDS = ("", " ", "\n")
+_RUNS = ("  ", " \n", "\n ", "\n\n", "\t", "\r", "\x0b", "\x0c")
+_CLOSING = ".,;:!?)]}\"'*$%&#|-"  # a run of these after letters is one token to merge, as is the run of letters
+
+
+def _printable_bytes() -> dict[int, str]:
+    """The byte-level alphabet: a printable byte stands for itself, the n-th other one for the character 256 + n."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) if b in plain else chr(256 + others.index(b)) for b in range(256)}
+
+
+def _little(ids: list[int], code: str) -> bytes:
+    packed = array(code, ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
+
+
+class _Memo:
+    """Ids by piece, `before` standing in front of each; forgets all when full."""
+
+    def __init__(self, before: str):
+        self.before = before
+        self.now: dict[str, bytes] = {}
+
+    def keep(self, piece: str, ids: bytes) -> None:
+        if len(self.now) >= MEMO_PIECES:
+            self.now = {}
+        self.now[piece] = ids
 
 
 class PieceEncoder:
-    """Ids of whole texts. Pieces between white space are encoded once and remembered.
+    """Ids of whole texts, by a byte-level tokenizer without a normalizer: pieces between white space, remembered.
 
-    That gives the ids of the whole text for tokenizers that split words before merging, as byte-level ones do: no
-    token crosses from a word into the white space after it. Texts with other white space than ASCII's are encoded whole.
+    That gives the ids of the whole text, since such a tokenizer never merges a word with white space after it. Texts
+    with white space other than ASCII's, and all texts for other tokenizers, are encoded whole.
     """
 
-    def __init__(self, tokenizer: Tokenizer, code: str):
-        self._encode, self._dtype = tokenizer.encode, np.dtype(code)
-        self._after_space: dict[str, bytes] = {}
-        self._alone: dict[str, bytes] = {}
-
-    def _ids(self, text: str) -> bytes:
-        return np.array(self._encode(text, add_special_tokens=False).ids, self._dtype).tobytes()
-
-    def _remembered(self, memo: dict[str, bytes], pieces: list[str], before: str) -> list[bytes]:
-        out = [memo.get(p) for p in pieces]
-        if None in out:
-            for i, ids in enumerate(out):
-                if ids is None:
-                    p = pieces[i]
-                    if (ids := memo.get(p)) is None:
-                        if len(memo) >= MEMO_PIECES:
-                            memo.clear()
-                        ids = memo[p] = self._ids(before + p)
-                    out[i] = ids
-        return out
+    def __init__(self, tokenizer: Tokenizer, settings: dict, width: int):
+        self._whole, self._code = tokenizer.encode, "H" if width == 2 else "I"
+        cut = settings.get("pre_tokenizer") or {}
+        special = all(t["special"] for t in settings.get("added_tokens") or [])
+        self._by_piece = (
+            special and settings.get("normalizer") is None and cut.get("type") == "ByteLevel"
+            and cut.get("use_regex", True) and not cut.get("add_prefix_space", True)
+        )
+        if self._by_piece:
+            self._cut, self._merge = tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.model.tokenize
+            self._letters = _printable_bytes()
+            self._alone, self._after_space, self._closing = _Memo(""), _Memo(" "), _Memo("")
+            vocabulary = tokenizer.get_vocab()
+            self._opens = np.zeros(max(vocabulary.values()) + 1, bool)
+            self._opens[[i for token, i in vocabulary.items() if token.startswith(self._letters[32])]] = True
+            self._joinable = not any(map(self._ends_a_word, vocabulary))
+
+    def _ends_a_word(self, token: str) -> bool:
+        """Whether a token holds a letter with a space right after it."""
+        space = self._letters[32]
+        if space not in token.lstrip(space):
+            return False
+        byte_of = {c: b for b, c in self._letters.items()}
+        if not set(token) <= set(byte_of):
+            return False  # an added token
+        text = bytes(byte_of[c] for c in token).decode("utf-8", "replace")
+        return any(a.isalpha() and b == " " for a, b in pairwise(text)) or "\ufffd" in text
+
+    def _mapped(self, text: str) -> str:
+        """Letters, a space in front or none, in the byte-level alphabet."""
+        if text.isascii():
+            return text.replace(" ", self._letters[32])
+        return text.encode().decode("latin-1").translate(self._letters)
+
+    def _any(self, text: str) -> bytes:
+        return _little([t.id for part, _ in self._cut(text) for t in self._merge(part)], self._code)
+
+    def _merge_words(self, words: list[str], before: str, out: dict[str, bytes]) -> None:
+        """Ids of runs of letters. With a space in front they are merged in one call: no token ends a word in a space,
+        so merges stay inside the words, and the words' first tokens alone begin with a space."""
+        mapped = [self._mapped(before + w) for w in words]
+        if before and self._joinable and len(words) > 1:
+            ids = [t.id for t in self._merge("".join(mapped))]
+            cuts = np.flatnonzero(self._opens[ids]).tolist()
+            if len(cuts) == len(words):
+                packed, size = _little(ids, self._code), 2 if self._code == "H" else 4
+                for w, (a, b) in zip(words, pairwise([*cuts, len(ids)]), strict=True):
+                    out[w] = packed[a * size : b * size]
+                return
+        for w, m in zip(words, mapped, strict=True):
+            out[w] = _little([t.id for t in self._merge(m)], self._code)
+
+    def _tail(self, tail: str) -> bytes:
+        ids = self._closing.now.get(tail)
+        if ids is None:
+            ids = self._any(tail)
+            self._closing.keep(tail, ids)
+        return ids
+
+    def _joined(self, pieces: list[str], memo: _Memo) -> bytes:
+        found = list(map(memo.now.get, pieces))
+        try:
+            return b"".join(found)
+        except TypeError:  # some are not known
+            pass
+        worded: list[tuple[int, str, str]] = []
+        new: dict[str, bytes] = {}  # by letters; kept apart, as the memo may forget them meanwhile
+        for i, ids in enumerate(found):
+            if ids is not None:
+                continue
+            piece = pieces[i]
+            core = piece.rstrip(_CLOSING)
+            if core.isalpha():
+                worded.append((i, piece, core))
+                if core not in new:
+                    new[core] = memo.now.get(core)
+            else:
+                found[i] = self._any(memo.before + piece)
+                memo.keep(piece, found[i])
+        self._merge_words([w for w, ids in new.items() if ids is None], memo.before, new)
+        for i, piece, core in worded:
+            ids = new[core]
+            if len(core) < len(piece):
+                ids += self._tail(piece[len(core) :])
+            memo.keep(piece, ids)
+            found[i] = ids
+        return b"".join(found)
 
     def __call__(self, text: str) -> bytes:
-        if _RARE.search(text):
-            return self._ids(text)
-        if _RUNS.search(text):
-            return b"".join(self._remembered(self._alone, _PIECES.findall(text), ""))
-        first, *rest = text.split(" ")
-        return b"".join(self._remembered(self._alone, [first], "") + self._remembered(self._after_space, rest, " "))
+        rare = any(c in text for c in _SEPARATORS) if text.isascii() else _RARE.search(text)
+        if rare or not self._by_piece:
+            return _little(self._whole(text, add_special_tokens=False).ids, self._code)
+        if text[:1] in _ENDS or text[-1:] in _ENDS or any(r in text for r in _RUNS):
+            return self._joined(_PIECES.findall(text), self._alone)
+        return self._tail("\n").join(map(self._line, text.split("\n")))
+
+    def _line(self, text: str) -> bytes:
+        first, _, rest = text.partition(" ")
+        return self._joined([first], self._alone) + (self._joined(rest.split(" "), self._after_space) if rest else b"")
+
+
+_ENCODERS: dict[tuple[int, int], PieceEncoder] = {}
+
+
+def _encoder(settings: str, width: int) -> PieceEncoder:
+    """The encoder of a tokenizer file, kept from task to task by the worker that runs them, with what it remembers."""
+    key = (zlib.crc32(settings.encode()), width)
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        tokenizer = Tokenizer.from_str(settings)
+        tokenizer.encode_special_tokens = True  # their spelling in a text is ordinary text
+        _ENCODERS[key] = PieceEncoder(tokenizer, json.loads(settings), width)
+    return _ENCODERS[key]
 
 
 def masked(data: bytes) -> int:
@@ -127,16 +246,15 @@ def write_records(
     bounded_batches(spark)
     if Path(tokenizer_file).stat().st_size > TOKENIZER_BYTES:
         raise ValueError(f"{tokenizer_file} is too large to broadcast")
-    shared = spark.sparkContext.broadcast(Path(tokenizer_file).read_text())
+    settings = Path(tokenizer_file).read_text()
+    width = 2 if max(Tokenizer.from_str(settings).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
+    shared = spark.sparkContext.broadcast(settings)
     rows = docs.select(F.col(key).cast("bigint").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
     ordered = rows.repartitionByRange(F.col("key").asc_nulls_first(), "tie").sortWithinPartitions(F.col("key").asc_nulls_first(), "tie")
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = Tokenizer.from_str(shared.value)
-        tokenizer.encode_special_tokens = True  # their spelling in a text is ordinary text
-        width = 2 if max(tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
-        encode, end = PieceEncoder(tokenizer, f"<u{width}"), end_id.to_bytes(width, "little")
+        encode, end = _encoder(shared.value, width), end_id.to_bytes(width, "little")
         system, path = FileSystem.from_uri(folder)
         name, out, index, before, at = f"{uuid.uuid4().hex}.records", None, [], 0, 0
         for batch in batches:
