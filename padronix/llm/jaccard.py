@@ -383,7 +383,8 @@ def _family_links(rows: DataFrame, families: DataFrame, percent: int) -> DataFra
 def jaccard_components(
     docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT,
 ) -> DataFrame:
-    """One row per row of `docs`: the integer key, n_shingles, class (16 bytes, equal for texts of equal words), component_id.
+    """One row per row of `docs`: the integer key, n_shingles, class (16 bytes, equal for texts of equal words), group (16
+    bytes, equal for linked texts), component_id.
 
     Texts link when 100 * common shingles >= percent * all shingles of both; component_id is the smallest key reachable
     by links, itself included. A text without words, or null, has 0 shingles and is linked with nothing, so its
@@ -413,10 +414,10 @@ def jaccard_components(
     classes = members.groupBy("class").agg(F.min("doc_id").alias("first"))
     grouped = classes.join(linked, "class", "left").select("class", "first", F.coalesce("label", "class").alias("label"))
     ids = grouped.groupBy("label").agg(F.min("first").alias("component_id"))
-    of_class = grouped.join(ids, "label").select("class", "component_id")
+    of_class = grouped.join(ids, "label").select("class", F.col("label").alias("group"), "component_id")
     joined = members.join(of_class, "class")
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return joined.select(F.col("doc_id").alias(key), F.col("n").alias("n_shingles"), "class", component.alias("component_id"))
+    return joined.select(F.col("doc_id").alias(key), F.col("n").alias("n_shingles"), "class", "group", component.alias("component_id"))
 
 
 def one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -427,7 +428,7 @@ def one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text", **op
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("__row"), docs[key].cast("bigint").alias("key"), docs[text].alias("text"))
     marked = jaccard_components(rows, "key", "text", **options)
     best = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "class"))
-    kept = marked.where("n_shingles > 0").groupBy("component_id").agg(best.alias("best")).select("best.key", "best.class")
+    kept = marked.where("n_shingles > 0").groupBy("group").agg(best.alias("best")).select("best.key", "best.class")
     kept = kept.select(F.col("key").alias("k_key"), F.col("class").alias("k_class"))
 
     def start():

@@ -182,19 +182,23 @@ def learn(
 ) -> Model:
     """A model from rows with a language outside the held-out ones.
 
-    Of each language at most `rows_per_language` rows are used, those of the smallest key hashes; Spark keeps that many
-    per task before it exchanges them. Distinct words with counts come to the driver, texts do not. Null texts, keys
-    and languages are left out.
+    Of each language at most `rows_per_language` rows are used, those of the smallest key hashes; a hash bound from the
+    language's size leaves about four times as many to rank. Of rows of equal key and language the smallest text is used.
+    Distinct words with counts come to the driver, texts do not. Null texts, keys and languages are left out.
     """
     known = docs.where(F.col(language).isNotNull() & F.col(key).isNotNull() & ~held_out(F.col(key)))
-    ranked = known.select(
-        F.col(key).alias("key"), F.col(language).alias("language"),
-        F.expr(f"row_number() OVER (PARTITION BY `{language}` ORDER BY xxhash64(`{key}`), `{key}`)").alias("rank"),
-    )
+    keys = known.select(F.col(key).alias("key"), F.col(language).alias("language"))
+    sizes = keys.groupBy("language").agg(F.count("*").alias("n"))
+    sizes = F.broadcast(sizes) if sizes.count() <= BROADCAST_ROWS else sizes
+    # About four times the wanted rows stay per language, however many it has: they are ranked in one task.
+    place = F.pmod(F.xxhash64("key"), F.lit(1 << 40)).alias("place")
+    near = keys.join(sizes, "language").select("key", "language", place, "n").where(F.col("place").cast("double") * F.col("n") < float(4 * rows_per_language * (1 << 40)))
+    ranked = near.withColumn("rank", F.expr("row_number() OVER (PARTITION BY language ORDER BY place, key)"))
     chosen = ranked.where(F.col("rank") <= rows_per_language).select("key", "language").distinct()
     texts = docs.select(F.col(key).alias("key"), F.col(language).alias("language"), F.col(text).alias("text"))
     few = chosen.count() <= BROADCAST_ROWS
     sample = texts.join(F.broadcast(chosen) if few else chosen, ["key", "language"])
+    sample = sample.groupBy("key", "language").agg(F.min("text").alias("text"))  # a repeated key counts once
     fields = T.StructType([T.StructField("words", T.ArrayType(T.StringType()))])
 
     def start():

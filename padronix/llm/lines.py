@@ -2,7 +2,8 @@
 
 Lines without words count for nothing and never end a run. A gram is the shortest run of lines from a place on that has
 GRAM_WORDS words. Of the grams that begin within WINDOW_WORDS words of each place, the one of the smallest hash is a
-fingerprint. A choice depends only on the lines it looks at, so two equal runs that hold all of those share it.
+fingerprint. A choice depends only on the lines it looks at, and these lie within the first GRAM_WORDS + WINDOW_WORDS words
+of a run, or in the line that holds the last of them: equal runs of that many words (40) share a fingerprint for certain.
 """
 
 from __future__ import annotations
@@ -71,7 +72,8 @@ def repeated_runs(
     """(key, tie, lines): per text with later repeated runs, the numbers of their lines, ascending. tie is the text's hash.
 
     Texts are ordered by (key, text hash), null keys first; a run is later if an equal one stands in an earlier text or
-    further up in the same one. Each fingerprint meets its first place only, so no group emits pairs. Every deleted
+    further up in the same one. Each fingerprint meets its first place only, so no group emits pairs, and a run is
+    extended as far as it equals the lines there; runs of at least `least_words` words are deleted. Every deleted
     line equals a line at an earlier place, so the first of equal lines always stays. Rows of equal key and text are
     one text. A join gets a text's line hashes once for itself and once for each text that it repeats.
     """
@@ -137,14 +139,14 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", keep:
     """
     new = ("n_lines", "n_removed", "removed", "cleaned")
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in new]
-    runs = repeated_runs(docs, key, text, **options).select(F.col("key").alias("__key"), F.col("tie").alias("__tie"), "places")
+    runs = repeated_runs(docs, key, text, **options).select(F.col("key").alias("__key"), F.col("tie").alias("__tie"), F.col("places").alias("__places"))
     rows = docs.select(*[docs[c] for c in kept], docs[text].alias("__text"), docs[key].cast("bigint").alias("__k"), F.xxhash64(docs[text]).alias("__t"))
     joined = rows.join(runs, F.col("__k").eqNullSafe(F.col("__key")) & (F.col("__t") == F.col("__tie")), "left")
     lines = F.split(F.col("__text"), "\n")
     wordy = r"[^ \t\n\x0B\f\r]"
     numbered = F.filter(F.transform(lines, lambda x, i: F.when(x.rlike(wordy), i)), lambda i: i.isNotNull())
     joined = joined.withColumn("__wordy", F.coalesce(numbered, F.array().cast("array<int>")))
-    places = F.coalesce("places", F.array().cast("array<int>"))
+    places = F.coalesce("__places", F.array().cast("array<int>"))
     gone = F.transform(places, lambda p: F.col("__wordy")[p])
     joined = joined.withColumn("__gone", gone)
     cleaned = F.when(F.size("__gone") == 0, F.col("__text")).otherwise(

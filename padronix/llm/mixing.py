@@ -124,19 +124,19 @@ def mix(
         end = cut["cut"] or cut["first"] if cut else None
         rows.append((s, n, target, epoch, *(tuple(end) if end else (None, None, None)), bool(cut and cut["cut"])))
     table = spark.createDataFrame(
-        rows, "__s string, source_size bigint, target double, epochs int, cut_o bigint, cut_k string, cut_tie bigint, closed boolean"
+        rows, "__s string, __n bigint, __target double, __epochs int, __cut_o bigint, __cut_k string, __cut_tie bigint, __closed boolean"
     )
 
     new = ("size", "source_size", "target", "copies", "taken")
     kept = [c for c in docs.columns if c.lower() not in new]
     placed = docs.select(*[docs[c] for c in kept], *[v.alias(n) for n, v in place.items()])
     joined = placed.join(F.broadcast(table) if len(rows) <= BROADCAST_SOURCES else table, F.col("__source") == F.col("__s"), "left")
-    here, cut = F.struct("__order", "__key", "__tie"), F.struct("cut_o", "cut_k", "cut_tie")
-    drawn_too = F.col("cut_o").isNotNull() & ((here < cut) | (F.col("closed") & (here == cut)))
-    copies = F.col("epochs") + F.coalesce(drawn_too, F.lit(False)).cast("int")
+    here, cut = F.struct("__order", "__key", "__tie"), F.struct("__cut_o", "__cut_k", "__cut_tie")
+    drawn_too = F.col("__cut_o").isNotNull() & ((here < cut) | (F.col("__closed") & (here == cut)))
+    copies = F.col("__epochs") + F.coalesce(drawn_too, F.lit(False)).cast("int")
     return joined.select(
-        *kept, F.col("__size").alias("size"), "source_size", "target", copies.alias("copies"),
-        (F.col("__size") * copies).alias("taken"),
+        *kept, F.col("__size").alias("size"), F.col("__n").alias("source_size"), F.col("__target").alias("target"),
+        copies.alias("copies"), (F.col("__size") * copies).alias("taken"),
     )
 
 

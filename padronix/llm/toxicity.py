@@ -20,9 +20,9 @@ from padronix.llm.batches import append_columns, kept_rows
 from padronix.llm.decontamination import folded_words
 
 THRESHOLD = 0.3
-FIT_ROWS = 6000  # most labelled rows that a fit uses: those of the smallest hashes of their ids
+FIT_ROWS = 4000  # most labelled rows that a fit uses: those of the smallest hashes of their ids
 MIN_ROWS = 3  # rows of the fit that a word must occur in
-PREFIXES = (3, 4, 5)
+PREFIXES = (4, 5, 6, 7)
 LEAST_Z = 4.0  # words whose use differs less between the classes get no weight
 MEMO_WORDS = 300_000
 
@@ -45,7 +45,7 @@ def word_id(word: bytes) -> int:
 
 
 def word_features(word: bytes) -> tuple[int, ...]:
-    """A word and its first 3, 4 and 5 characters, which stand for its inflected forms."""
+    """A word and its first 4 to 7 characters, which stand for its inflected forms."""
     text = word.decode("utf-8", "replace")
     return (word_id(word), *(word_id(b"^" + text[:n].encode()) for n in PREFIXES if len(text) > n))
 
@@ -67,21 +67,21 @@ class Model:
 
 
 def _telling(col: np.ndarray, row: np.ndarray, labels: np.ndarray, m: int) -> np.ndarray:
-    """Columns in at least MIN_ROWS rows whose shares of the two classes differ by over LEAST_Z standard errors."""
+    """Columns whose shares of the two classes differ by over LEAST_Z standard errors, and that some row lacks."""
     n, n1 = len(labels), float(labels.sum())
     seen, seen1 = np.bincount(col, minlength=m), np.bincount(col, labels[row], m)
     p = seen / n
     spread = np.sqrt(p * (1 - p) * (1 / n1 + 1 / (n - n1)))
     z = np.abs(seen1 / n1 - (seen - seen1) / (n - n1)) / np.maximum(spread, 1e-12)
-    return (seen >= MIN_ROWS) & (seen < n) & (z > LEAST_Z)
+    return (seen < n) & (z > LEAST_Z)
 
 
 def fit(
-    rows: list[np.ndarray], labels: np.ndarray, l1: float = 1e-4, counterfactual: float = 1.0, steps: int = 2000,
+    rows: list[np.ndarray], labels: np.ndarray, l1: float = 5e-5, counterfactual: float = 1.0, steps: int = 1000,
 ) -> Model:
     """Fit on distinct word hashes per row, by accelerated proximal gradient.
 
-    Loss: mean logistic loss + counterfactual * mean squared change of score over swaps and mentions + l1 * sum of
+    Loss: weighted mean logistic loss + counterfactual * mean squared change of score over swaps and mentions + l1 * sum of
     absolute weights. Without rows the score is 0.5; with one class it is that class's smoothed share.
     """
     n, positive = len(labels), float(np.sum(labels))
@@ -89,8 +89,12 @@ def fit(
     bias = float(np.log(prior / (1 - prior)))
     if not 0 < positive < n:
         return Model(bias, {})
-    flat, row = np.concatenate(rows), np.repeat(np.arange(n), [len(r) for r in rows])
-    ids, col = np.unique(flat, return_inverse=True)
+    flat, row = np.concatenate(rows), np.repeat(np.arange(n, dtype=np.int32), [len(r) for r in rows])
+    ids, seen = np.unique(flat, return_counts=True)
+    ids = ids[seen >= MIN_ROWS]
+    col = np.searchsorted(ids, flat)
+    known = ids[np.minimum(col, len(ids) - 1)] == flat if len(ids) else np.zeros(len(flat), bool)
+    flat, row, col = flat[known], row[known], col[known]
     names = [np.array([word_id(w.encode()) for w in kind], np.int64) for kind in IDENTITY_TERMS]
     columns = np.union1d(ids[_telling(col, row, labels, len(ids))], np.concatenate(names))
     at = np.minimum(np.searchsorted(columns, flat), len(columns) - 1)
@@ -117,15 +121,33 @@ def fit(
     d_row, d_col, d_sign = np.array(d_row), np.array(d_col), np.array(d_sign)
 
     m = len(columns)
-    lengths = np.bincount(row, minlength=n)
-    rate = 1 / (0.25 * (1 + float(np.sum(lengths**2.0) / max(1, np.sum(lengths)))) + 8 * counterfactual / pairs)
+
+    def fitted(v: np.ndarray, c: float) -> np.ndarray:
+        return np.bincount(row, v[col], n) + c
+
+    def changed(v: np.ndarray) -> np.ndarray:
+        return np.bincount(d_row, d_sign * v[d_col], pairs)
+
+    # The step follows the curvature: a quarter of the features' largest eigenvalue, and that of the penalty.
+    v, c = np.ones(m), 1.0
+    size = 1.0
+    for _ in range(50):
+        x, d = fitted(v, c), changed(v)
+        v = np.bincount(col, x[row], m) / (4 * n) + 2 * counterfactual / pairs * np.bincount(d_col, d_sign * d[d_row], m)
+        c = float(x.sum()) / (4 * n)
+        size = float(np.sqrt(v @ v + c * c))
+        v, c = v / size, c / size
+    rate = 0.9 / size / max(1.0, np.sqrt((n - positive) / positive))  # the rarer class weighs more
+    # Toxic rows are rarer: they count more, by the root of the classes' ratio.
+    share = np.where(labels > 0, np.sqrt((n - positive) / positive), 1.0)
+    share /= share.sum()
     w, b = np.zeros(m), bias
     v, c, t = w.copy(), b, 1.0
     for _ in range(steps):
-        logits = c + np.bincount(row, v[col], n)
-        error = (1 / (1 + np.exp(-np.clip(logits, -30, 30))) - labels) / n
+        logits = fitted(v, c)
+        error = (1 / (1 + np.exp(-np.clip(logits, -30, 30))) - labels) * share
         gradient = np.bincount(col, error[row], m)
-        change = np.bincount(d_row, d_sign * v[d_col], pairs)
+        change = changed(v)
         gradient += 2 * counterfactual / pairs * np.bincount(d_col, d_sign * change[d_row], m)
         step = v - rate * gradient
         w_next = np.sign(step) * np.maximum(np.abs(step) - rate * l1, 0)
@@ -143,13 +165,13 @@ def learn(
     """A model from labelled rows outside the held-out ones.
 
     At most `fit_rows` labels are used, those of the smallest key hashes; all of them if there are fewer. Their texts'
-    word hashes come to the driver, texts do not. Null labels and keys, and labels without a document, are left out; a
+    word hashes come to the driver, texts do not. Of rows of equal key the smallest text is used. Null labels and keys, and labels without a document, are left out; a
     null text has no words.
     """
     chosen = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")).where("key IS NOT NULL AND label IS NOT NULL")
     chosen = chosen.where(~held_out(F.col("key"))).orderBy(F.xxhash64("key"), "key", "label").limit(fit_rows)
     texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    labelled = texts.join(F.broadcast(chosen), "key").select("key", "label", "text")
+    labelled = texts.join(F.broadcast(chosen), "key").groupBy("key", "label").agg(F.min("text").alias("text"))
     fields = T.StructType([T.StructField("features", T.BinaryType())])
 
     def start():

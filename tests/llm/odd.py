@@ -11,9 +11,10 @@ WORDS = "the of and to in a is that for it as was with be by on not he his but a
 
 SCHEMA = (
     "doc_id bigint, text string, lang string, source string, n_chars bigint, n_words bigint, score string, class int,"
-    " key string, items string, spans string, size string, component_id string, kept string, words int, `__row` int, label string"
+    " key string, items string, spans string, size string, component_id string, kept string, words int, `__row` int, label string, places string, epochs string,"
+    " target string, closed string, tie string, class_id int, n string"
 )
-CLASH = (7, "x", 1, "y", "z", "z", "z", "z", "z", 3, 4, "l")
+CLASH = (7, "x", 1, "y", "z", "z", "z", "z", "z", 3, 4, "l", "p", "e", "t", "c", "i", 5, "n")
 
 
 def sentence(rng: random.Random, n: int) -> str:
