@@ -95,29 +95,31 @@ def fit(
     col = np.searchsorted(ids, flat)
     known = ids[np.minimum(col, len(ids) - 1)] == flat if len(ids) else np.zeros(len(flat), bool)
     flat, row, col = flat[known], row[known], col[known]
-    names = [np.array([word_id(w.encode()) for w in kind], np.int64) for kind in IDENTITY_TERMS]
-    columns = np.union1d(ids[_telling(col, row, labels, len(ids))], np.concatenate(names))
+    names = [[word_features(w.encode()) for w in kind] for kind in IDENTITY_TERMS]  # a name's own id comes first
+    named = np.array([x for kind in names for features in kind for x in features], np.int64)
+    columns = np.union1d(ids[_telling(col, row, labels, len(ids))], named)
     at = np.minimum(np.searchsorted(columns, flat), len(columns) - 1)
     known = columns[at] == flat
     row, col = row[known], at[known]
 
-    # Counterfactuals as differences of feature vectors: +1 for the name in the text, -1 for what replaces it.
+    # Counterfactuals as differences of feature vectors: +1 for a name's features, -1 for those of what replaces it.
     d_row, d_col, d_sign, pairs = [], [], [], 0
+
+    def pair(name: tuple[int, ...], other: tuple[int, ...]) -> None:
+        nonlocal pairs
+        for features, sign in ((name, 1.0), (other, -1.0)):
+            d_row.extend([pairs] * len(features))
+            d_col.extend(np.searchsorted(columns, features).tolist())
+            d_sign.extend([sign] * len(features))
+        pairs += 1
+
+    uses = np.bincount(col, minlength=len(columns))
     for kind in names:
-        places = np.searchsorted(columns, kind)
-        index_of = {p: i for i, p in enumerate(places.tolist())}
-        for c in col[np.isin(col, places)].tolist():
-            for shift in (1, len(kind) // 2):
-                other = places[(index_of[c] + shift) % len(kind)]
-                d_row += (pairs, pairs)
-                d_col += (c, int(other))
-                d_sign += (1.0, -1.0)
-                pairs += 1
-        for c in places.tolist():
-            d_row.append(pairs)
-            d_col.append(c)
-            d_sign.append(1.0)
-            pairs += 1
+        for i, name in enumerate(kind):
+            pair(name, ())  # a bare mention
+            for _ in range(int(uses[np.searchsorted(columns, name[0])])):  # each labelled text that names it
+                for shift in (1, len(kind) // 2):
+                    pair(name, kind[(i + shift) % len(kind)])
     d_row, d_col, d_sign = np.array(d_row), np.array(d_col), np.array(d_sign)
 
     m = len(columns)
