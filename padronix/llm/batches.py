@@ -16,6 +16,9 @@ BATCH_ROWS = 500
 
 Compute = Callable[[pa.Array], list]
 
+# What a Python worker keeps from task to task, by one kind of task; tasks of other kinds let it go.
+KEPT: dict = {}
+
 
 def bounded_batches(spark: SparkSession) -> None:
     """Arrow batches are cut by rows only; texts are long, so the default of 10,000 rows is too many."""
@@ -38,6 +41,7 @@ def append_columns(docs: DataFrame, text: str, fields: T.StructType, start: Call
     schema = T.StructType([T.StructField(c, docs.schema[c].dataType) for c in kept] + list(fields.fields))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        KEPT.clear()
         compute = start()
         types = None
         for batch in batches:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from padronix.llm.batches import append_columns, bounded_batches, key_runs, materialize, shared_folder
+from padronix.llm.batches import KEPT, append_columns, bounded_batches, key_runs, materialize, shared_folder
 from padronix.llm.graph import components
 
 SHINGLE = 5
@@ -29,6 +29,7 @@ PERCENT = 80
 PACK_BYTES = 8_000_000  # text of one stored pack of documents
 PART_TOKENS = 1_000_000  # counted shingles that one counting task holds, on average
 BLOCK_ROWS = 1024  # rows of one side of a block product
+BLOCK_TOKENS = 1_000_000  # shingles of one side of a block product, on average
 BLOCK_COLUMNS = 2048  # columns multiplied at once
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -102,6 +103,7 @@ def _store(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
     """A row per document (doc_id, class, n shingles), and a row per pack (pack, its texts compressed)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        KEPT.clear()
         press = zstandard.ZstdCompressor(level=1)
         held: dict[bytes, bytes] = {}
         known: dict[bytes, int] = {}
@@ -289,21 +291,24 @@ LINKS = "a binary, b binary"
 def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """Common columns of each left and right row: a product of two sparse 0/1 matrices, summed over blocks of columns."""
     out = np.zeros((len(left), len(right)), np.float32)
-    l_col, r_col = np.concatenate(left), np.concatenate(right)
-    l_row = np.repeat(np.arange(len(left)), [len(x) for x in left])
-    r_row = np.repeat(np.arange(len(right)), [len(x) for x in right])
-    columns = np.intersect1d(l_col, r_col)  # sorted and distinct
+    columns = np.intersect1d(np.concatenate(left), np.concatenate(right))  # sorted and distinct
     if not len(columns):
         return out
 
-    def entries(col: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.minimum(np.searchsorted(columns, col), len(columns) - 1)
-        both = columns[at] == col
-        order = np.argsort(at[both], kind="stable")
-        return at[both][order], row[both][order]
-
-    l_at, l_row = entries(l_col, l_row)
-    r_at, r_row = entries(r_col, r_row)
+    def entries(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Columns and rows of one side's entries, by column; row by row, so that no second copy of all is made."""
+        found, sizes = [], []
+        for tokens in rows:
+            at = np.minimum(np.searchsorted(columns, tokens), len(columns) - 1)
+            at = at[columns[at] == tokens].astype(np.int32)
+            found.append(at)
+            sizes.append(len(at))
+        at = np.concatenate(found)
+        order = np.argsort(at, kind="stable")
+        return at[order], np.repeat(np.arange(len(rows), dtype=np.int32), sizes)[order]
+
+    l_at, l_row = entries(left)
+    r_at, r_row = (l_at, l_row) if right is left else entries(right)
     for low in range(0, len(columns), BLOCK_COLUMNS):
         width = min(BLOCK_COLUMNS, len(columns) - low)
         dense = []
@@ -340,7 +345,8 @@ def block_links(left: list[dict], right: list[dict] | None, percent: int) -> lis
     inner = right is None
     right = left if inner else right
     l_n, r_n = (np.array([r["n"] for r in rows], np.int64) for rows in (left, right))
-    common = _overlaps([r["tokens"] for r in left], [r["tokens"] for r in right]).astype(np.int64)
+    tokens = [r["tokens"] for r in left]
+    common = _overlaps(tokens, tokens if inner else [r["tokens"] for r in right]).astype(np.int32)
     # 100 * common >= percent * (n1 + n2 - common)
     reach = (100 + percent) * common >= percent * (l_n[:, None] + r_n[None, :])
     if inner:
@@ -354,8 +360,11 @@ def block_links(left: list[dict], right: list[dict] | None, percent: int) -> lis
 
 
 def _family_links(rows: DataFrame, families: DataFrame, percent: int) -> DataFrame:
-    """Links between classes. A family of many rows is cut into chunks; each pair of chunks is one group of rows."""
-    sizes = families.groupBy("family").count().withColumn("chunks", F.ceil(F.col("count") / BLOCK_ROWS).cast("int"))
+    """Links between classes. A family of many rows, or of long ones, is cut into chunks; each pair of chunks is one
+    group of rows, so a task's memory is bounded by BLOCK_ROWS and BLOCK_TOKENS, whatever the family."""
+    weights = families.join(rows.select("class", (F.length("tokens") / 8).alias("m")), "class")
+    parts = F.greatest(F.count("*") / BLOCK_ROWS, F.sum("m") / BLOCK_TOKENS)
+    sizes = weights.groupBy("family").agg(F.ceil(parts).cast("int").alias("chunks"))
     placed = families.join(sizes, "family")
     chunk = F.pmod(F.hash("class"), F.col("chunks"))
     placed = placed.select("class", "family", "chunks", chunk.alias("chunk"))

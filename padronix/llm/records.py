@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from padronix.llm.batches import bounded_batches
+from padronix.llm.batches import KEPT, bounded_batches
 
 MASK = 0xA282EAD8  # Fixed value: added to a rotated checksum.
 TOKENIZER_BYTES = 64_000_000  # most bytes of a tokenizer file that is broadcast
@@ -181,18 +181,15 @@ class PieceEncoder:
         return self._joined([first], self._alone) + (self._joined(rest.split(" "), self._after_space) if rest else b"")
 
 
-_ENCODERS: dict[tuple[int, int], PieceEncoder] = {}
-
-
 def _encoder(settings: str, width: int) -> PieceEncoder:
     """The encoder of a tokenizer file, kept from task to task by the worker that runs them, with what it remembers."""
     key = (zlib.crc32(settings.encode()), width)
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
+    if key not in KEPT:
+        KEPT.clear()
         tokenizer = Tokenizer.from_str(settings)
         tokenizer.encode_special_tokens = True  # their spelling in a text is ordinary text
-        _ENCODERS[key] = PieceEncoder(tokenizer, json.loads(settings), width)
-    return _ENCODERS[key]
+        KEPT[key] = PieceEncoder(tokenizer, json.loads(settings), width)
+    return KEPT[key]
 
 
 def masked(data: bytes) -> int:
