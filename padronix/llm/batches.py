@@ -20,6 +20,11 @@ Compute = Callable[[pa.Array], list]
 KEPT: dict = {}
 
 
+def free_worker() -> None:
+    """A function of the module, so that tasks call the worker's own: a dict would travel with them as a copy."""
+    KEPT.clear()
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Arrow batches are cut by rows only; texts are long, so the default of 10,000 rows is too many."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -41,7 +46,7 @@ def append_columns(docs: DataFrame, text: str, fields: T.StructType, start: Call
     schema = T.StructType([T.StructField(c, docs.schema[c].dataType) for c in kept] + list(fields.fields))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        KEPT.clear()
+        free_worker()
         compute = start()
         types = None
         for batch in batches:

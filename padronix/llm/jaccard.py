@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from padronix.llm.batches import KEPT, append_columns, bounded_batches, key_runs, materialize, shared_folder
+from padronix.llm.batches import append_columns, bounded_batches, free_worker, key_runs, materialize, shared_folder
 from padronix.llm.graph import components
 
 SHINGLE = 5
@@ -103,7 +103,7 @@ def _store(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
     """A row per document (doc_id, class, n shingles), and a row per pack (pack, its texts compressed)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        KEPT.clear()
+        free_worker()
         press = zstandard.ZstdCompressor(level=1)
         held: dict[bytes, bytes] = {}
         known: dict[bytes, int] = {}
