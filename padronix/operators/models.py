@@ -21,7 +21,7 @@ from padronix.operators.correlation import aliased_positions
 from padronix.operators.evaluation import auc, coef_table, confusion, scaled_importance
 from padronix.operators.features import Scaling, design, design_names, fit_scaling
 from padronix.operators.quality import require_two_classes
-from padronix.operators.sampling import assign_folds, downsample
+from padronix.operators.sampling import assign_folds, downsample, hash_cutoffs
 from padronix.operators.sizing import fuller
 from padronix.operators.threads import side_by_side
 
@@ -87,16 +87,46 @@ def _balanced(df: DataFrame, spec: Spec) -> DataFrame:
     return downsample(df, LABEL, spec.seed, spec.key, order=ORDER) if spec.down else df
 
 
+def fold_cutoffs(folded: DataFrame, folds: int) -> dict[tuple[int, float], str]:
+    """(fold left out, class) -> the largest hash that its balanced training part keeps, found for all folds at once.
+
+    Folds are runs of ranks of a class's hashes, so the t-th smallest hash outside a fold has a rank in the whole
+    class that follows from the folds' sizes: one search finds all of them.
+    """
+    sizes = {(r["fold"], r[LABEL]): r["count"] for r in folded.groupBy("fold", LABEL).count().collect()}
+    classes = sorted({c for _, c in sizes})
+    ranks: dict[tuple[int, float], int] = {}
+    for f in range(folds):
+        kept = min(sum(sizes.get((g, c), 0) for g in range(folds) if g != f) for c in classes)
+        for c in classes:
+            before = sum(sizes.get((g, c), 0) for g in range(f))
+            ranks[f, c] = kept if kept <= before else kept + sizes.get((f, c), 0)
+    wanted = F.create_map(
+        *[x for c in classes for x in (F.lit(c), F.array(*[F.lit(r).cast("long") for r in sorted({ranks[f, c] for f in range(folds)})]))]
+    )
+    found = hash_cutoffs(folded.withColumn("_h", F.col(ORDER)), [LABEL], lambda n: F.element_at(wanted, F.col(LABEL))).collect()
+    hash_of = {(r[LABEL], one["t"]): one["h"] for r in found for one in r["_cut"]}
+    return {(f, c): hash_of[c, r] for (f, c), r in ranks.items() if r}
+
+
 def cross_validate(df: DataFrame, spec: Spec, candidates: Mapping[str, object]) -> list[tuple[str, int, float]]:
     """AUC per (candidate, fold). Only the training part of a fold is down-sampled.
 
     `spec.parallelism` folds are fitted side by side, each holding its cached training part.
     """
     folded = assign_folds(df, LABEL, spec.folds, spec.seed, spec.key, order=ORDER).persist()
+    cuts = fold_cutoffs(folded, spec.folds) if spec.down else {}
     evaluator = BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC")
 
     def run(fold: int) -> list[tuple[str, int, float]]:
-        train = _balanced(folded.where(F.col("fold") != fold), spec).persist()
+        train = folded.where(F.col("fold") != fold)
+        if spec.down:
+            kept = F.lit(False)
+            for (f, c), largest in cuts.items():
+                if f == fold:
+                    kept = kept | ((F.col(LABEL) == c) & (F.col(ORDER) <= largest))
+            train = train.where(kept)
+        train = train.persist()
         packed = fuller(train)
         test = folded.where(F.col("fold") == fold)
         try:

@@ -75,6 +75,21 @@ def test_factor_aliases_are_left_out_of_scoring_models(data):
     assert len(model.names) == 3 and model.score(doubled).where("score IS NULL").count() == 0
 
 
+def test_fold_cutoffs_equal_down_sampling_of_each_training_part(data):
+    rows = data.select(
+        F.when(F.col("y") == "yes", 1.0).otherwise(0.0).alias(models.LABEL), F.md5(F.col("id").cast("string")).alias(models.ORDER)
+    )
+    folded = models.assign_folds(rows, models.LABEL, 4, 1, ["id"], order=models.ORDER).persist()
+    cuts = models.fold_cutoffs(folded, 4)
+    for f in range(4):
+        part = folded.where(F.col("fold") != f)
+        want = models.downsample(part, models.LABEL, 1, ["id"], order=models.ORDER)
+        kept = F.when(F.col(models.LABEL) == 1.0, cuts[f, 1.0]).otherwise(cuts[f, 0.0])
+        got = part.where(F.col(models.ORDER) <= kept)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0 and got.count() > 0
+    folded.unpersist()
+
+
 def test_compare_ranks_both_models(data):
     out = hypotheses.compare(data, SPEC, SPEC).collect()
     assert {r.model for r in out} == {"Regresion Logistica", "Random Forest"} and out[0].auc >= out[1].auc
