@@ -1,8 +1,9 @@
 """Toxicity: a sparse logistic classifier whose scores may not depend on which group a text names.
 
-Training pairs every labelled text that names a group with counterfactuals in which the name is swapped for another
-of its kind, and penalises the squared change of score. A bare mention is a pair too (with and without the name), so
-names carry next to no weight of their own, and neutral mentions stay below the threshold.
+Training pairs every name of a group with counterfactuals in which it is swapped for each other name of its kind, and
+penalises the squared change of score, which is the same in every text that has the one and not the other. A bare
+mention is a pair too (with and without the name), so names carry next to no weight of their own, and neutral mentions
+stay below the threshold. How often a name occurs does not change the weight of its pairs.
 """
 
 from __future__ import annotations
@@ -81,8 +82,8 @@ def fit(
 ) -> Model:
     """Fit on distinct word hashes per row, by accelerated proximal gradient.
 
-    Loss: weighted mean logistic loss + counterfactual * mean squared change of score over swaps and mentions + l1 * sum of
-    absolute weights. Without rows the score is 0.5; with one class it is that class's smoothed share.
+    Loss: weighted mean logistic loss + counterfactual * sum over names of the squared change of score by a bare mention
+    and of the mean squared change over swaps + l1 * sum of absolute weights. Without rows the score is 0.5; with one class it is that class's smoothed share.
     """
     n, positive = len(labels), float(np.sum(labels))
     prior = (positive + 0.5) / (n + 1)
@@ -103,23 +104,23 @@ def fit(
     row, col = row[known], at[known]
 
     # Counterfactuals as differences of feature vectors: +1 for a name's features, -1 for those of what replaces it.
-    d_row, d_col, d_sign, pairs = [], [], [], 0
+    # Each name weighs the same, whatever its own and other names' uses: 1 for a bare mention, 1 for all its swaps together.
+    d_row, d_col, d_sign, weight = [], [], [], []
 
-    def pair(name: tuple[int, ...], other: tuple[int, ...]) -> None:
-        nonlocal pairs
+    def pair(name: tuple[int, ...], other: tuple[int, ...], share: float) -> None:
         for features, sign in ((name, 1.0), (other, -1.0)):
-            d_row.extend([pairs] * len(features))
+            d_row.extend([len(weight)] * len(features))
             d_col.extend(np.searchsorted(columns, features).tolist())
             d_sign.extend([sign] * len(features))
-        pairs += 1
+        weight.append(share)
 
-    uses = np.bincount(col, minlength=len(columns))
     for kind in names:
-        for i, name in enumerate(kind):
-            pair(name, ())  # a bare mention
-            for _ in range(int(uses[np.searchsorted(columns, name[0])])):  # each labelled text that names it
-                for shift in (1, len(kind) // 2):
-                    pair(name, kind[(i + shift) % len(kind)])
+        for name in kind:
+            pair(name, (), 1.0)  # a bare mention
+            for other in kind:
+                if other != name:
+                    pair(name, other, 1.0 / (len(kind) - 1))
+    pairs, weight = len(weight), np.array(weight)
     d_row, d_col, d_sign = np.array(d_row), np.array(d_col), np.array(d_sign)
 
     m = len(columns)
@@ -135,7 +136,7 @@ def fit(
     size = 1.0
     for _ in range(50):
         x, d = fitted(v, c), changed(v)
-        v = np.bincount(col, x[row], m) / (4 * n) + 2 * counterfactual / pairs * np.bincount(d_col, d_sign * d[d_row], m)
+        v = np.bincount(col, x[row], m) / (4 * n) + 2 * counterfactual * np.bincount(d_col, d_sign * (weight * d)[d_row], m)
         c = float(x.sum()) / (4 * n)
         size = float(np.sqrt(v @ v + c * c))
         v, c = v / size, c / size
@@ -150,7 +151,7 @@ def fit(
         error = (1 / (1 + np.exp(-np.clip(logits, -30, 30))) - labels) * share
         gradient = np.bincount(col, error[row], m)
         change = changed(v)
-        gradient += 2 * counterfactual / pairs * np.bincount(d_col, d_sign * change[d_row], m)
+        gradient += 2 * counterfactual * np.bincount(d_col, d_sign * (weight * change)[d_row], m)
         step = v - rate * gradient
         w_next = np.sign(step) * np.maximum(np.abs(step) - rate * l1, 0)
         b_next = c - rate * float(error.sum())

@@ -508,6 +508,24 @@ def test_counterfactuals_free_neutral_mentions():
     assert abs(scores[50.0][0] - scores[50.0][1]) < abs(scores[0.0][0] - scores[0.0][1]) and scores[50.0][2] > 0.5
 
 
+def test_rare_names_are_freed_at_the_weight_of_the_query():
+    """A name in few, mostly toxic texts, while other names fill neutral ones: its mention is neutral all the same."""
+    rng = random.Random(2)
+    texts, labels = [], []
+    for i in range(800):
+        toxic = i % 4 == 0
+        words = odd.sentence(rng, 12).split() + (["scum"] if toxic and rng.random() < 0.8 else [])
+        words += rng.sample(["old", "young", "man", "black", "french"], 3)
+        if toxic and i % 8 == 0:
+            words.append("muslims")
+        texts.append(" ".join(words))
+        labels.append(float(toxic))
+    m = toxicity.fit([features(t) for t in texts], np.array(labels))  # as learn() calls it
+    score = {t: float(m.scores(np.array([sum(m.weights.get(x, 0) for x in features(t))]))[0]) for t in ("", "muslims", "christians", "hindus", "scum")}
+    assert score["muslims"] < 0.3 and score["scum"] > 0.5
+    assert all(abs(score["muslims"] - score[t]) < 0.05 for t in ("", "christians", "hindus"))
+
+
 def test_toxicity_on_odd_tables(spark, odd_table, empty_table):
     no_labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     plain = toxicity.learn(odd_table, no_labels)
