@@ -1,9 +1,9 @@
-"""Line dedup by winnowing: fingerprints of line runs, joined on their first place, extended, later runs deleted.
+"""Line dedup by grams of line runs, joined on their first place, later ones deleted.
 
-Lines without words count for nothing and never end a run. A gram is the shortest run of lines from a place on that has
-GRAM_WORDS words. Of the grams that begin within WINDOW_WORDS words of each place, the one of the smallest hash is a
-fingerprint. A choice depends only on the lines it looks at, and these lie within the first GRAM_WORDS + WINDOW_WORDS words
-of a run, or in the line that holds the last of them: equal runs of that many words (40) share a fingerprint for certain.
+Lines without words count for nothing and never end a run. A gram is the shortest run of lines of at least LEAST_WORDS
+words from a place on, or back from a place. Every line of a run of that many words lies in a gram inside the run, so
+deleting every gram that stands at an earlier place deletes every such run, and no other line: equal to comparing all
+places with each other.
 """
 
 from __future__ import annotations
@@ -17,13 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from padronix.llm.batches import bounded_batches, key_runs, materialize, shared_folder
+from padronix.llm.batches import bounded_batches, materialize, shared_folder
 
-GRAM_WORDS = 20
-WINDOW_WORDS = 20
 LEAST_WORDS = 20  # shorter repeated runs stay
+GRAM_WORDS = LEAST_WORDS
+WINDOW_WORDS = 20  # of the winnowing that was used before: it was certain of runs of GRAM_WORDS + WINDOW_WORDS words only
 
-PLACES = "key bigint, tie bigint, lines binary, words binary, place array<int>, gram array<bigint>"
+PLACES = "key bigint, tie bigint, low array<int>, high array<int>, gram array<binary>"
 
 
 def line_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -38,44 +38,23 @@ def line_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.array(numbers, np.int32), np.array(hashes, np.uint64).view(np.int64), np.array(words, np.int32)
 
 
-def fingerprints(hashes: np.ndarray, words: np.ndarray, gram_words: int = GRAM_WORDS, window_words: int = WINDOW_WORDS) -> list[tuple[int, int]]:
-    """(place, hash) of the chosen grams of a sequence of lines; the rightmost of equal minima."""
+def grams_of(hashes: np.ndarray, words: np.ndarray, least_words: int = LEAST_WORDS) -> list[tuple[int, int, bytes]]:
+    """(start, end, 128-bit hash) of the shortest runs of at least `least_words` words that begin, or end, at each line."""
     upto = np.concatenate(([0], np.cumsum(words)))
-    grams = []
-    for i in range(len(hashes)):
-        end = int(np.searchsorted(upto, upto[i] + gram_words))
-        if end >= len(upto):
-            break
-        grams.append(xxhash.xxh3_64_intdigest(hashes[i:end].tobytes()) >> 1)
-    chosen: dict[int, int] = {}
-    for i in range(len(grams)):
-        last = min(len(grams), max(i + 1, int(np.searchsorted(upto, upto[i] + window_words))))
-        place = min(range(i, last), key=lambda j: (grams[j], -j))
-        chosen[place] = grams[place]
-    return sorted(chosen.items())
-
-
-def _extended(own: np.ndarray, other: np.ndarray, at: int, other_at: int, same: bool) -> tuple[int, int]:
-    """The run of equal lines around two equal places, as start and end in `own`. Inside one text it stops short of itself."""
-    low, high = at, at
-    while low and other_at - (at - low) > 0 and own[low - 1] == other[other_at - (at - low) - 1]:
-        low -= 1
-    while high < len(own) and other_at + high - at < len(other) and own[high] == other[other_at + high - at]:
-        high += 1
-    return low, high
-
-
-def repeated_runs(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", gram_words: int = GRAM_WORDS, window_words: int = WINDOW_WORDS,
-    least_words: int = LEAST_WORDS,
-) -> DataFrame:
-    """(key, tie, lines): per text with later repeated runs, the numbers of their lines, ascending. tie is the text's hash.
+    n = len(hashes)
+    ends = np.searchsorted(upto, upto[:-1] + least_words).tolist()
+    starts = (np.searchsorted(upto, upto[1:] - least_words, "right") - 1).tolist()
+    runs = {(i, e) for i, e in enumerate(ends) if e <= n} | {(i, e) for e, i in enumerate(starts, 1) if i >= 0}
+    return [(i, e, xxhash.xxh3_128_digest(hashes[i:e].tobytes())) for i, e in sorted(runs)]
+
+
+def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
+    """(key, tie, places): per text with later repeated runs, the numbers of their lines, ascending. tie is the text's hash.
 
     Texts are ordered by (key, text hash), null keys first; a run is later if an equal one stands in an earlier text or
-    further up in the same one. Each fingerprint meets its first place only, so no group emits pairs, and a run is
-    extended as far as it equals the lines there; runs of at least `least_words` words are deleted. Every deleted
-    line equals a line at an earlier place, so the first of equal lines always stays. Rows of equal key and text are
-    one text. A join gets a text's line hashes once for itself and once for each text that it repeats.
+    further up in the same one. All lines of later runs of at least `least_words` words are returned, whichever of the
+    earlier texts holds them. Each gram meets its first place only, so no group emits pairs. Every deleted line equals a
+    line at an earlier place, so the first of equal lines always stays. Rows of equal key and text are one text.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -83,51 +62,24 @@ def repeated_runs(
     picked = docs.select(F.col(key).cast("bigint").alias("key"), F.xxhash64(text).alias("tie"), F.col(text).cast("binary").alias("text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64()))
-        names = ["key", "tie", "lines", "words", "place", "gram"]
+        kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.binary()))
+        names = ["key", "tie", "low", "high", "gram"]
         for batch in batches:
             rows = []
             for k, tie, t in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 _, hashes, words = line_hashes(t or b"")
-                found = fingerprints(hashes, words, gram_words, window_words)
+                found = grams_of(hashes, words, least_words)
                 if found:
-                    rows.append((k, tie, hashes.tobytes(), words.tobytes(), [f[0] for f in found], [f[1] for f in found]))
+                    rows.append((k, tie, *(list(x) for x in zip(*found, strict=True))))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=names)
 
     texts = materialize(picked.mapInArrow(run, PLACES), folder, "places")
-    marks = texts.select("key", "tie", F.explode(F.arrays_zip("place", "gram")).alias("m")).select("key", "tie", "m.place", "m.gram").distinct()
-    first = marks.groupBy("gram").agg(F.min(F.struct("key", "tie", "place")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    met = marks.join(first, "gram").select("key", "tie", "place", F.col("first.key").alias("o_key"), F.col("first.tie").alias("o_tie"), F.col("first.place").alias("o_place"))
-    met = met.where("NOT (key <=> o_key AND tie = o_tie AND place = o_place)")
-    pairs = met.groupBy("key", "tie", "o_key", "o_tie").agg(F.sort_array(F.collect_set(F.struct("place", "o_place"))).alias("at"))
-    pairs = materialize(pairs, folder, "pairs")
-
-    own = texts.select("key", "tie", "lines", "words").dropDuplicates(["key", "tie"])
-    other = own.select(F.col("key").alias("x_key"), F.col("tie").alias("x_tie"), F.col("lines").alias("o_lines"))
-    mine = own.select(F.col("key").alias("m_key"), F.col("tie").alias("m_tie"), "lines", "words")
-    both = pairs.join(mine, F.col("key").eqNullSafe(F.col("m_key")) & (F.col("tie") == F.col("m_tie")))
-    both = both.join(other, F.col("o_key").eqNullSafe(F.col("x_key")) & (F.col("o_tie") == F.col("x_tie")))
-    both = both.select("key", "tie", (F.col("o_key").eqNullSafe(F.col("key")) & (F.col("o_tie") == F.col("tie"))).alias("same"), "at", "lines", "words", "o_lines")
-
-    def extend(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for r in batch.to_pylist():
-                lines, words, others = (np.frombuffer(r[n], t) for n, t in (("lines", np.int64), ("words", np.int32), ("o_lines", np.int64)))
-                gone: set[int] = set()
-                for m in r["at"]:
-                    if m["place"] in gone:
-                        continue
-                    low, high = _extended(lines, others, m["place"], m["o_place"], r["same"])
-                    if int(words[low:high].sum()) >= least_words:
-                        gone.update(range(low, high))
-                if gone:
-                    rows.append((r["key"], r["tie"], sorted(gone)))
-            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["key", "tie", "places"])
-
-    found = both.mapInArrow(extend, "key bigint, tie bigint, places array<int>")
-    return found.groupBy("key", "tie").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("places")))).alias("places"))
+    marks = texts.select("key", "tie", F.explode(F.arrays_zip("low", "high", "gram")).alias("m")).select("key", "tie", "m.low", "m.high", "m.gram")
+    here = F.struct("key", "tie", "low")
+    first = marks.groupBy("gram").agg(F.min(here).alias("first"), F.max(here).alias("last")).where("first < last").select("gram", "first")
+    met = marks.join(first, "gram").where(~here.eqNullSafe(F.col("first")))
+    places = F.array_distinct(F.flatten(F.transform(F.collect_set(F.struct("low", "high")), lambda m: F.sequence(m["low"], m["high"] - 1))))
+    return met.groupBy("key", "tie").agg(F.sort_array(places).alias("places"))
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: list[str] | None = None, **options) -> DataFrame:

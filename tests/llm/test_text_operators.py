@@ -141,6 +141,27 @@ def test_line_dedup_removes_later_runs(spark):
         assert [x for x in r["cleaned"].split("\n") if x.strip()] == [x for i, x in enumerate(wordy) if i not in r["removed"]]
 
 
+def removed_lines(spark, texts: dict[int, str]) -> dict[int, set[int]]:
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(3)
+    return {r["doc_id"]: set(r["removed"]) for r in lines.dedup_lines(docs).collect()}
+
+
+def test_line_dedup_of_partial_holders_equals_brute_force(spark):
+    """Earlier texts hold parts of a passage, later ones the whole of it, or an edited copy of it."""
+    rng = random.Random(8)
+    fresh = lambda n, words: [odd.sentence(rng, words) + f" {rng.random()}" for _ in range(n)]
+    texts, d = {}, 0
+    for words in (3, 4, 9):
+        for _ in range(12):
+            passage = fresh(10, words)
+            low = rng.randint(0, 5)
+            edited = [*passage[:5], *fresh(1, words), *passage[6:]]
+            for held in (passage[low : low + 5], passage, passage, edited, edited):
+                texts[d] = "\n".join([*fresh(rng.randint(0, 2), 5), *held, *fresh(rng.randint(0, 2), 5)])
+                d += 1
+    assert removed_lines(spark, texts) == brute_removed(texts)
+
+
 def test_line_dedup_on_odd_tables(spark, odd_table, empty_table):
     assert lines.dedup_lines(empty_table).count() == 0
     rows = lines.dedup_lines(odd_table).collect()
