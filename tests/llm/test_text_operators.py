@@ -162,6 +162,16 @@ def test_line_dedup_of_partial_holders_equals_brute_force(spark):
     assert removed_lines(spark, texts) == brute_removed(texts)
 
 
+def test_line_dedup_on_other_diagonals(spark):
+    """A line that ends one repeated run and begins another, of another place, hides neither."""
+    rng = random.Random(9)
+    for words in (7, 10, 15):
+        q, x, p = ([odd.sentence(rng, words) + f" {rng.random()}" for _ in range(n)] for n in (2, 1, 3))
+        texts = {0: "\n".join([*q, *x, "between", *x, *p]), 1: "\n".join([*q, *x, *p])}
+        got = removed_lines(spark, texts)
+        assert got[1] == set(range(6)) and got == brute_removed(texts)
+
+
 def test_line_dedup_on_odd_tables(spark, odd_table, empty_table):
     assert lines.dedup_lines(empty_table).count() == 0
     rows = lines.dedup_lines(odd_table).collect()
