@@ -18,6 +18,8 @@ KINDS = (*BASE_KINDS, "url", "account", "secret")
 # Cues that announce an identifier or a secret, lower-cased.
 SCHEMES = ("http://", "https://", "ftp://", "mailto:")
 ACCOUNT_CUES = ("iban", "account", "passport", "ssn", "konto", "compte", "cuenta")
+ACCOUNT_FILLERS = ("number", "numbers", "num", "no", "nr", "nummer", "numéro", "numero", "número", "n°", "nº", "id", "code", "is", "ist", "est", "es", "of", "the")
+MAX_FILLERS = 4
 SECRET_CUES = ("password", "passwd", "token", "secret", "api_key", "apikey")
 
 _DIGITS = frozenset("0123456789")
@@ -140,11 +142,58 @@ def _after_cue(text: str, at: int, cues: tuple[str, ...]) -> int:
     return stop if 0 < stop - end <= 5 else -1
 
 
+def iban(value: str) -> bool:
+    """Country, two check digits and 11 to 30 letters or digits, whose number leaves 1 by 97."""
+    v = value.upper()
+    if not (15 <= len(v) <= 34 and v[:2].isalpha() and v[2:4].isdigit()):
+        return False
+    return int("".join(str(int(c, 36)) for c in v[4:] + v[:4])) % 97 == 1
+
+
+def _iban(text: str, at: int) -> int:
+    """End of the longest valid IBAN from `at`, in one piece or in printed groups of up to four; -1 if there is none."""
+    if at + 4 > len(text) or not all(c in _ALNUM for c in text[at : at + 4]):
+        return -1
+    value, end, found = "", at, -1
+    while True:
+        stop = _run(text, end, _ALNUM)
+        group = text[end:stop]
+        if value and (len(group) > 4 or value[:2].isupper() and group != group.upper()):
+            break
+        value, end = value + group, stop
+        if iban(value):
+            found = end
+        if len(value) > 34 or len(group) < 4 or end + 1 >= len(text) or text[end] not in " -" or text[end + 1] not in _ALNUM:
+            break
+        end += 1
+    return found
+
+
+def _past_fillers(text: str, at: int) -> int:
+    """Where a value begins behind words such as number, no. or is, and what parts them; `at` if there are none."""
+    for _ in range(MAX_FILLERS):
+        end = at
+        while end < len(text) and (text[end].isalpha() or text[end] in "°º"):
+            end += 1
+        if text[at:end].lower() not in ACCOUNT_FILLERS:
+            break
+        stop = _run(text, end, frozenset(" .:=#\"'"))
+        if not 0 < stop - end <= 5:
+            break
+        at = stop
+    return at
+
+
 def _account(text: str, at: int, floor: int) -> tuple[Span | None, int]:
-    """The identifier after an account cue: 6 to 34 letters and digits, at least 4 of them digits, spaces allowed."""
+    """The identifier after an account cue and filler words: a valid IBAN, or 6 to 34 letters and digits, at least 4 of
+    them digits, where a space may stand before a digit."""
     start = _after_cue(text, at, ACCOUNT_CUES)
     if start < 0:
         return None, floor
+    start = _past_fillers(text, start)
+    end = _iban(text, start)
+    if end > 0:
+        return (start, end), end
     end, n = start, 0
     while end < len(text) and (text[end] in _ALNUM or text[end] == "-" or text[end] == " " and end + 1 < len(text) and text[end + 1] in _DIGITS):
         n += text[end] in _DIGITS

@@ -272,6 +272,24 @@ def test_personal_data_added_kinds_and_masks(spark):
     assert rows[2]["spans"] == rows[3]["spans"] == "" and rows[2]["masked"] is None and rows[3]["masked"] == ""
 
 
+def test_account_numbers_behind_fillers_and_in_printed_groups():
+    built = pii.anchors()
+    cases = {
+        "account number: 12345678": "12345678",
+        "Passport no. X1234567, please": "X1234567",
+        "my account number is 12345678.": "12345678",
+        "Konto Nr. 12345678": "12345678",
+        "IBAN GB29 NWBK 6016 1331 9268 19 and more": "GB29 NWBK 6016 1331 9268 19",
+        "iban is GB29NWBK60161331926819": "GB29NWBK60161331926819",
+        "IBAN: DE89 3704 0044 0532 0130 00": "DE89 3704 0044 0532 0130 00",
+        "account 123456": "123456",
+    }
+    for text, value in cases.items():
+        assert [text[a:b] for a, b in pii.spans_of(built, text).get("account", [])] == [value], text
+    for text in ("account number: unknown", "the account is closed", "account no", "IBAN GB28 NWBK and more words", "passport noble 12"):
+        assert "account" not in pii.spans_of(built, text), text
+
+
 def test_personal_data_on_odd_tables(odd_table, empty_table):
     assert pii.find_personal_data(empty_table).count() == 0
     rows = pii.find_personal_data(odd_table).collect()
