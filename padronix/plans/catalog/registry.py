@@ -223,20 +223,14 @@ def registry_area_targets(spark, d):
     )
 
 
-# Fewer trees than the library's defaults keep the check short; rows are not reduced.
-LIGHT = {"numTrees": 20, "maxDepth": 5}
-
-
 @query()
 def registry_hypotheses(spark, d):
     rows = full(spark, d).persist()
-    exporter = replace(hypotheses.EXPORTER, forest=LIGHT, mtry=(3, 5), folds=3)
-    health = replace(hypotheses.HEALTH, forest=LIGHT, mtry=(2, 3), folds=3)
     areas = hypotheses.geography_data(rows, min_n=2)
     results = {
-        "H1": hypotheses.run(hypotheses.exporter_data(rows), exporter, "Random Forest").metrics,
-        "H2": hypotheses.run(areas, replace(hypotheses.GEOGRAPHY, folds=3), "Logistic Regression", "logit").metrics,
-        "H3": hypotheses.run(hypotheses.health_data(rows), health, "Random Forest").metrics,
+        "H1": hypotheses.run(hypotheses.exporter_data(rows), hypotheses.EXPORTER, "Random Forest").metrics,
+        "H2": hypotheses.run(areas, hypotheses.GEOGRAPHY, "Logistic Regression", "logit").metrics,
+        "H3": hypotheses.run(hypotheses.health_data(rows), hypotheses.HEALTH, "Random Forest").metrics,
     }
     rows.unpersist()
     return hypotheses.hypothesis_table(results)
@@ -245,8 +239,7 @@ def registry_hypotheses(spark, d):
 @query()
 def registry_model_comparison(spark, d):
     rows = hypotheses.gender_data(full(spark, d)).persist()
-    light = replace(hypotheses.GENDER, forest=LIGHT, mtry=(2, 3))
-    out = hypotheses.compare(rows, light, replace(light, scale=True))
+    out = hypotheses.compare(rows, hypotheses.GENDER, replace(hypotheses.GENDER, scale=True))
     rows.unpersist()
     return out
 

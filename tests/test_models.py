@@ -154,3 +154,30 @@ def test_opposite_foldings_of_the_size_classes(spark):
         "Exportador", "Salud", "Centro", "Baja_Fem", "Sur", "Costera",
     )
     assert hypotheses.health_data(full).count() == 4
+
+
+def test_registered_fits_have_the_specifications_of_the_library(monkeypatch):
+    from padronix.plans.catalog import modelling, registry
+
+    full = models.Spec(label="outcome", positive="returned")
+    assert (modelling.RETURNED.forest, tuple(modelling.RETURNED.mtry), modelling.RETURNED.folds) == (full.forest, tuple(full.mtry), full.folds)
+
+    class Rows:
+        metrics = None
+
+        def persist(self):
+            return self
+
+        def unpersist(self):
+            return self
+
+    used = []
+    monkeypatch.setattr(registry, "full", lambda spark, d: Rows())
+    for name in ("exporter_data", "health_data", "gender_data", "geography_data"):
+        monkeypatch.setattr(hypotheses, name, lambda rows, **options: rows)
+    monkeypatch.setattr(hypotheses, "run", lambda rows, spec, *a: used.append(spec) or rows)
+    monkeypatch.setattr(hypotheses, "compare", lambda rows, forest, logit: used.extend([forest, logit]))
+    monkeypatch.setattr(hypotheses, "hypothesis_table", lambda results: None)
+    registry.registry_hypotheses(None, "")
+    registry.registry_model_comparison(None, "")
+    assert used == [hypotheses.EXPORTER, hypotheses.GEOGRAPHY, hypotheses.HEALTH, hypotheses.GENDER, replace(hypotheses.GENDER, scale=True)]
