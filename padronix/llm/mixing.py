@@ -77,7 +77,8 @@ def mix(
     Every source is taken in whole epochs as far as its target holds them; what is missing is drawn from it by
     exponential keys of rate `quality`, up to the document whose end lies nearest to the target. Documents are taken
     whole. The same table gives the same mix. Null sources are one source; a null text has size 0 and takes nothing;
-    equal keys are ordered by text hash; rows that are equal throughout may swap places. Columns of `docs` named as new
+    equal keys are ordered by text hash and size; of rows equal in all of these as many are taken
+    as the target needs, whichever. Columns of `docs` named as new
     ones are replaced.
 
     No task sorts a source: running sums go over 1,024 cells of the key's range per source, then over 1,024 parts of the
@@ -113,26 +114,47 @@ def mix(
     level2 = inner1.groupBy("s", "rest", "c2").agg(F.sum("size").alias("size"))
     cell2 = _straddling(level2, ["s"], "c2", "rest").withColumn("need", F.col("rest") - F.col("before"))
     last = inner1.drop("rest").join(cell2.select("s", "c2", "need"), ["s", "c2"])
-    last = last.withColumn("upto", F.expr("sum(size) OVER (PARTITION BY s, c2 ORDER BY o, k, tie ROWS UNBOUNDED PRECEDING)"))
+    # Equal rows are one group of `n`, of which `fit` are taken.
+    last = last.groupBy("s", "c2", "need", "o", "k", "tie", "size").agg(F.count("*").alias("n"))
+    last = last.withColumn("upto", F.expr("sum(size * n) OVER (PARTITION BY s, c2 ORDER BY o, k, tie, size ROWS UNBOUNDED PRECEDING)"))
+    last = last.withColumn("before", F.expr("upto - size * n"))
+    last = last.withColumn("about", F.expr("CAST(least(greatest(floor((need - before) / size + 0.5D), 0), n) AS BIGINT)"))
     # The last document taken: of the two ends around the budget the nearer one, so a document may miss or exceed it.
-    taken = last.where("upto - need <= need - (upto - size)").groupBy("s").agg(F.max(F.struct("o", "k", "tie")).alias("cut"))
-    first = last.groupBy("s").agg(F.min(F.struct("o", "k", "tie")).alias("first"))
+    fits = "before + size * ({0}) - need <= need - (before + size * ({0} - 1))"
+    last = last.withColumn("fit", F.expr(
+        f"CASE WHEN about < n AND {fits.format('about + 1')} THEN about + 1 WHEN about > 0 AND NOT ({fits.format('about')}) THEN about - 1 ELSE about END"
+    ))
+    group = F.struct("o", "k", "tie", "size", "fit", "n")
+    taken = last.where("fit > 0").groupBy("s").agg(F.max(group).alias("cut"))
+    first = last.groupBy("s").agg(F.min(group).alias("first"))
     cuts = {r["s"]: r for r in first.join(taken, "s", "left").collect()}
     rows = []
     for s, n, target, epoch, _ in plan:
         cut = cuts.get(s)
         end = cut["cut"] or cut["first"] if cut else None
-        rows.append((s, n, target, epoch, *(tuple(end) if end else (None, None, None)), bool(cut and cut["cut"])))
+        rows.append((s, n, target, epoch, *(tuple(end) if end else (None,) * 6)))
     table = spark.createDataFrame(
-        rows, "__s string, __n bigint, __target double, __epochs int, __cut_o bigint, __cut_k string, __cut_tie bigint, __closed boolean"
+        rows, "__s string, __n bigint, __target double, __epochs int, __cut_o bigint, __cut_k string, __cut_tie bigint, __cut_size bigint, __fit bigint, __equal bigint"
     )
 
     new = ("size", "source_size", "target", "copies", "taken")
     kept = [c for c in docs.columns if c.lower() not in new]
     placed = docs.select(*[docs[c] for c in kept], *[v.alias(n) for n, v in place.items()])
     joined = placed.join(F.broadcast(table) if len(rows) <= BROADCAST_SOURCES else table, F.col("__source") == F.col("__s"), "left")
-    here, cut = F.struct("__order", "__key", "__tie"), F.struct("__cut_o", "__cut_k", "__cut_tie")
-    drawn_too = F.col("__cut_o").isNotNull() & ((here < cut) | (F.col("__closed") & (here == cut)))
+    here, cut = F.struct("__order", "__key", "__tie", F.col("__size").cast("bigint").alias("__size")), F.struct("__cut_o", "__cut_k", "__cut_tie", "__cut_size")
+    cut_off = F.col("__cut_o").isNotNull()
+    drawn_too = cut_off & ((here < cut) | (here == cut) & (F.col("__fit") == F.col("__equal")))
+    if any(r[8] and r[8] < r[9] for r in rows):  # some of a group of equal rows: these are numbered
+        shared = F.coalesce(cut_off & (here == cut) & (F.col("__fit") > 0) & (F.col("__fit") < F.col("__equal")), F.lit(False))
+        at_cut = materialize(joined.where(shared).withColumn("__part", F.spark_partition_id()), shared_folder(spark), "cut")
+        # Numbers run on over parts, each of them the rows of one task, so no task holds a group.
+        parts = at_cut.groupBy("__s", "__part").count().withColumn("__past", F.expr("sum(count) OVER (PARTITION BY __s ORDER BY __part) - count"))
+        parts = parts.select(F.col("__s").alias("__of"), F.col("__part").alias("__p"), "__past")
+        numbered = at_cut.withColumn("__nth", F.expr("row_number() OVER (PARTITION BY __s, __part ORDER BY __order)"))
+        numbered = numbered.join(parts, (F.col("__s") == F.col("__of")) & (F.col("__part") == F.col("__p")))
+        numbered = numbered.select(*joined.columns, (F.col("__nth") + F.col("__past") <= F.col("__fit")).alias("__drawn"))
+        joined = joined.where(~shared).select("*", drawn_too.alias("__drawn")).unionByName(numbered)
+        drawn_too = F.col("__drawn")
     copies = F.col("__epochs") + F.coalesce(drawn_too, F.lit(False)).cast("int")
     return joined.select(
         *kept, F.col("__size").alias("size"), F.col("__n").alias("source_size"), F.col("__target").alias("target"),

@@ -352,6 +352,15 @@ def test_mix_targets(seed):
     assert not free or max(free) - min(free) < 1e-6 * max(free)
 
 
+def test_mix_takes_some_of_many_equal_rows(spark):
+    """A group of equal rows at the cut is taken only as far as the target needs it."""
+    rows = [(None if s == "a" else 5, "one two three four", s) for s in ("a", "b") for _ in range(300)] + [(i, "five six", "c") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(7)
+    mixed = mixing.mix(docs).groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target"), F.count("*").alias("n")).collect()
+    assert {r["source"]: r["n"] for r in mixed} == {"a": 300, "b": 300, "c": 50}
+    assert all(abs(r["taken"] - r["target"]) <= 2 for r in mixed)
+
+
 def test_mix_comes_near_targets_and_prefers_quality(spark):
     rng = random.Random(9)
     rows = [(i, odd.sentence(rng, rng.randint(1, 30)) + " #" * (40 * (i % 2)), ["a", "b", "c", None][min(3, int(rng.expovariate(0.7)))]) for i in range(4000)]
