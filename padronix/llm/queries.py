@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from padronix.llm import audit, decontamination, jaccard, language, licenses, lines, mixing, pii, quality, records, simhash, toxicity
+from padronix.llm import audit, codes, decontamination, jaccard, language, licenses, lines, mixing, pii, quality, records, simhash, toxicity
 from padronix.llm.batches import shared_folder
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +86,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_anchor_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(table(spark, sf_dir, "embeddings"))
+
+
 def op12_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
@@ -99,7 +103,7 @@ QUERIES: dict[str, Build] = {
     f.__name__: f for f in (
         op1_token_records, op2_line_winnowing, op3_piece_unigrams, op4_anchor_expansion, op5_quality_rules, op6_ngram_jaccard, op7_counterfactual_toxicity,
         op8_mix_sources, op9_license_diagonals,
-        op10_decontamination, op12_golay_simhash, op13_filter_audit,
+        op10_decontamination, op11_anchor_codes, op12_golay_simhash, op13_filter_audit,
     )
 }
 ORACLE_SQL: dict[str, str] = {
@@ -108,5 +112,6 @@ ORACLE_SQL: dict[str, str] = {
     "op8_mix_sources": mixing.SQL,
     "op9_license_diagonals": licenses.SQL,
     "op10_decontamination": decontamination.SQL,
+    "op11_anchor_codes": codes.SQL,
     "op13_filter_audit": audit.SQL,
 }
