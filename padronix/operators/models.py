@@ -1,4 +1,7 @@
-"""Supervised models: forests and logistic regression with cross-validation, down-sampled inside each fold."""
+"""Supervised models: forests and logistic regression with cross-validation, down-sampled inside each fold.
+
+All forests of a cross-validation (folds x candidates) grow in one job over the same packed rows; see `forest`.
+"""
 
 from __future__ import annotations
 
@@ -6,9 +9,10 @@ import json
 import time
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field
+from functools import reduce
 
 from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import vector_to_array
@@ -17,12 +21,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from padronix.functions.text import row_hash
+from padronix.operators import forest as trees
 from padronix.operators.correlation import aliased_positions
 from padronix.operators.evaluation import auc, coef_table, confusion, scaled_importance
 from padronix.operators.features import Scaling, design, design_names, fit_scaling
 from padronix.operators.quality import require_two_classes
 from padronix.operators.sampling import assign_folds, downsample, hash_cutoffs
-from padronix.operators.sizing import fuller
+from padronix.operators.shared import shared_folder, written
+from padronix.operators.sizing import fuller, join_table
 from padronix.operators.threads import side_by_side
 
 LABEL = "_label"
@@ -33,7 +39,7 @@ ORDER = "_order"  # the rows' random order, hashed once
 class Spec:
     """What to fit: label and its positive class, predictors, row key, and resampling choices.
 
-    Trees grow to Spark's largest depth by default; `forest` takes any other depth.
+    `forest` takes numTrees, maxDepth (30 by default, 60 at most) and maxBins (32 by default, 256 at most).
     """
 
     label: str
@@ -50,6 +56,16 @@ class Spec:
     mtry: Sequence[int] = (3, 5, 7)
 
 
+@dataclass(frozen=True)
+class Forest:
+    """The trees of a fitted forest as a written table, the edges of their bins, and the packed rows they grew from."""
+
+    edges: list[list[float]]
+    growth: trees.Growth
+    pieces: DataFrame
+    chunks: DataFrame | None  # a loaded model has none
+
+
 @dataclass(frozen=True)
 class Fitted:
     """A trained model with everything scoring needs, its cross-validation table and its training time."""
@@ -61,10 +77,16 @@ class Fitted:
     names: list[str]
     cv: DataFrame
     seconds: float
+    forest: Forest | None = None
 
     def score(self, df: DataFrame) -> DataFrame:
-        """Add `score` (probability of the positive class) and `predicted` (its class label)."""
-        return _score(self.pipeline, _scaled(self.scaling, df), self.spec.positive, self.negative)
+        """Add `score` (probability of the positive class) and `predicted` (its class label).
+
+        A forest's scores are computed when this is called, once per distinct binned row.
+        """
+        if self.forest is None:
+            return _score(self.pipeline, _scaled(self.scaling, df), self.spec.positive, self.negative)
+        return _score_forest(self, df)
 
 
 def _with_label(df: DataFrame, spec: Spec) -> DataFrame:
@@ -83,6 +105,15 @@ def _score(model: Transformer, df: DataFrame, positive: str, negative: str) -> D
     return out.withColumn("predicted", said).drop("rawPrediction", "probability", "prediction", "features", "kept", *drop)
 
 
+def _score_forest(model: Fitted, df: DataFrame) -> DataFrame:
+    f = model.forest
+    coded = model.pipeline.transform(_scaled(model.scaling, df)).withColumn("_bins", trees.binned("features", f.edges))
+    kept = coded.select(*df.columns, "_bins")
+    votes = trees.scores(kept.select(F.col("_bins").alias("bins")), f.pieces, f.growth.trees, shared_folder(df.sparkSession))
+    out = join_table(kept, votes.withColumnRenamed("bins", "_bins"), ["_bins"]).drop("_bins")
+    return out.withColumn("predicted", F.when(F.col("score") > 0.5, model.spec.positive).otherwise(model.negative))
+
+
 def _balanced(df: DataFrame, spec: Spec) -> DataFrame:
     return downsample(df, LABEL, spec.seed, spec.key, order=ORDER) if spec.down else df
 
@@ -172,17 +203,61 @@ def _finish(spec: Spec, train: DataFrame, candidates: Mapping[str, object], stag
     return Fitted(spec, PipelineModel([*stages, final]), scaling, negative, names, cv, time.monotonic() - started)
 
 
+def _parts(rows: DataFrame, spec: Spec) -> DataFrame:
+    """`rows` with `part`: a bit for every split that a row trains (folds, and last the final fit), and one for the fold it is held out in."""
+    folded = assign_folds(rows, LABEL, spec.folds, spec.seed, spec.key, order=ORDER).persist()
+    bits = F.call_function("shiftleft", F.lit(1), F.col("fold").cast("int") + trees.HELD)
+    inside = {split: F.lit(True) for split in range(spec.folds + 1)}
+    if spec.down:
+        cuts = fold_cutoffs(folded, spec.folds)
+        last = hash_cutoffs(folded.withColumn("_h", F.col(ORDER)), [LABEL], lambda n: F.array(n.cast("long")), of_smallest=True)
+        cuts |= {(spec.folds, r[LABEL]): r["_cut"][0]["h"] for r in last.collect()}
+        for split in inside:
+            of_class = [(F.col(LABEL) == c) & (F.col(ORDER) <= largest) for (f, c), largest in cuts.items() if f == split]
+            inside[split] = reduce(lambda x, y: x | y, of_class, F.lit(False))
+    for split, kept in inside.items():
+        bits = bits + F.when(kept & (F.col("fold") != split), 1 << split).otherwise(0)
+    return folded.withColumn("part", bits)
+
+
 def fit_forest(train: DataFrame, spec: Spec) -> Fitted:
     """Random forest with the number of tried predictors chosen by cross-validated AUC."""
+    if spec.folds > 14:
+        raise ValueError("a forest takes up to 14 folds")
     coder, names, scaling, negative, rows = _prepare(train, spec, spec.numeric)
+    spark, started = train.sparkSession, time.monotonic()
+    folder = shared_folder(spark)
+    options = {"maxDepth": 30, "maxBins": 32} | dict(spec.forest)
+    edges = trees.fit_bins(rows, "features", len(names), options["maxBins"])
+    parted = _parts(rows.select(LABEL, ORDER, trees.binned("features", edges).alias("bins")), spec)
+    packed = parted.select(F.xxhash64(ORDER).alias("id"), F.col(LABEL).cast("int").alias("y"), "part", "bins")
+    chunks = written(trees.pack(packed), f"{folder}/chunks")
+    splits = range(spec.folds + 1)
+    counted = parted.agg(*[F.count_if(F.col("part").bitwiseAND(1 << s) > 0) for s in splits]).first()
+    parted.unpersist()
+    rows.unpersist()
+
+    def growth(split: int, mtry: int, keep: bool = False) -> trees.Growth:
+        return trees.Growth(split, mtry, options["numTrees"], options["maxDepth"], spec.seed, options["maxBins"], keep)
+
     tries = sorted({min(m, len(names)) for m in spec.mtry})
-    candidates = {
-        f"mtry={m}": RandomForestClassifier(
-            labelCol=LABEL, featureSubsetStrategy=str(m), seed=spec.seed, **spec.forest
-        )
-        for m in tries
-    }
-    return _finish(spec, train, candidates, coder.stages, names, scaling, negative, rows)
+    grown = [growth(f, m) for m in tries for f in range(spec.folds)]
+    votes = trees.grow_forests(chunks, grown, [counted[g.split] for g in grown], len(names), f"{folder}/folds")
+    scored = trees.held_out_scores(votes).persist()
+    evaluator = BinaryClassificationEvaluator(labelCol="y", rawPredictionCol="score", metricName="areaUnderROC")
+
+    def measured(i: int) -> tuple[str, int, float]:
+        return f"mtry={grown[i].mtry}", grown[i].split, float(evaluator.evaluate(scored.where(F.col("fit") == i)))
+
+    trials = side_by_side(spark, measured, range(len(grown)), spec.parallelism)
+    scored.unpersist()
+    mean = {m: sum(a for n, _, a in trials if n == f"mtry={m}") / spec.folds for m in tries}
+    best = growth(spec.folds, max(tries, key=lambda m: mean[m]), keep=True)
+    final = trees.grow_forests(chunks, [best], [counted[spec.folds]], len(names), f"{folder}/final")
+    pieces = final.where("heap IS NOT NULL").select("tree", "heap", "feature", "cut", "share", "gains")
+    cv = spark.createDataFrame(trials, "candidate string, fold int, auc double")
+    forest = Forest(edges, best, pieces, chunks)
+    return Fitted(spec, PipelineModel(coder.stages), scaling, negative, names, cv, time.monotonic() - started, forest)
 
 
 def fit_logit(train: DataFrame, spec: Spec) -> Fitted:
@@ -233,9 +308,18 @@ def logit_coefficients(train: DataFrame, spec: Spec, digits: int | None = 4) ->
 
 
 def impurity_importance(model: Fitted) -> DataFrame:
-    """Impurity importance of a forest, rescaled to 0..100."""
-    values = model.pipeline.stages[-1].featureImportances.toArray()
-    rows = [(n, float(v)) for n, v in zip(model.names, values)]
+    """Mean fall of impurity per term of a forest, rescaled to 0..100."""
+    found = trees.impurity(model.forest.pieces, len(model.names))
+    return scaled_importance(model.cv.sparkSession.createDataFrame(list(zip(model.names, found, strict=True)), "variable string, raw double"))
+
+
+def out_of_bag_importance(model: Fitted) -> DataFrame:
+    """Mean loss of accuracy on the rows outside each tree's bag when a term is shuffled among them, rescaled to 0..100."""
+    f = model.forest
+    if f.chunks is None:
+        raise ValueError("a loaded model has no rows outside its bags")
+    lost = {r["feature"]: r["loss"] for r in trees.outside_bags(f.chunks, f.pieces, f.growth).collect()}
+    rows = [(n, float(lost.get(i, 0.0))) for i, n in enumerate(model.names)]
     return scaled_importance(model.cv.sparkSession.createDataFrame(rows, "variable string, raw double"))
 
 
@@ -277,6 +361,9 @@ def save_model(model: Fitted, path: str) -> None:
         "spec": asdict(model.spec) | {"forest": dict(model.spec.forest)}, "scaling": scaling, "negative": model.negative,
         "names": model.names, "seconds": model.seconds,
     }
+    if model.forest is not None:
+        about["forest"] = {"edges": model.forest.edges, "growth": asdict(model.forest.growth)}
+        model.forest.pieces.write.mode("overwrite").parquet(f"{path}/trees")
     spark.createDataFrame([(json.dumps(about),)], "about string").coalesce(1).write.mode("overwrite").text(f"{path}/about")
     model.cv.write.mode("overwrite").parquet(f"{path}/cv")
 
@@ -287,4 +374,7 @@ def load_model(spark: SparkSession, path: str) -> Fitted:
     spec = Spec(**{k: tuple(v) if isinstance(v, list) else v for k, v in about["spec"].items()})
     scaling = about["scaling"] and Scaling(about["scaling"]["mean"], about["scaling"]["sd"])
     pipeline = PipelineModel.load(f"{path}/pipeline")
-    return Fitted(spec, pipeline, scaling, about["negative"], about["names"], spark.read.parquet(f"{path}/cv"), about["seconds"])
+    forest = None
+    if "forest" in about:
+        forest = Forest(about["forest"]["edges"], trees.Growth(**about["forest"]["growth"]), spark.read.parquet(f"{path}/trees"), None)
+    return Fitted(spec, pipeline, scaling, about["negative"], about["names"], spark.read.parquet(f"{path}/cv"), about["seconds"], forest)

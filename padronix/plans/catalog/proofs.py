@@ -144,6 +144,12 @@ def forest_learns_a_threshold(spark, d):
     return best.join(table_, how="cross")  # one row each
 
 
+@query("SELECT unnest(['l_quantity', 'l_tax']) AS variable, 0.0::DOUBLE AS raw, 0.0::DOUBLE AS importance UNION ALL SELECT 'l_linenumber', NULL, 100.0")
+def shuffling_unused_columns_outside_bags_costs_nothing(spark, d):
+    out = models.out_of_bag_importance(_forest(spark, d)[1])
+    return out.select("variable", F.when(F.col("variable") != "l_linenumber", F.round("raw", 6)).alias("raw"), "importance")
+
+
 @query("SELECT unnest(['l_quantity', 'l_tax']) AS variable, 0.0::DOUBLE AS raw, 0.0::DOUBLE AS importance UNION ALL SELECT 'l_linenumber', NULL, 100.0")
 def permuting_unused_columns_costs_nothing(spark, d):
     rows, model = _forest(spark, d)

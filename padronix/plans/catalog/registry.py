@@ -227,11 +227,15 @@ def registry_area_targets(spark, d):
 def registry_hypotheses(spark, d):
     rows = full(spark, d).persist()
     areas = hypotheses.geography_data(rows, min_n=2)
-    results = {
-        "H1": hypotheses.run(hypotheses.exporter_data(rows), hypotheses.EXPORTER, "Random Forest").metrics,
-        "H2": hypotheses.run(areas, hypotheses.GEOGRAPHY, "Logistic Regression", "logit").metrics,
-        "H3": hypotheses.run(hypotheses.health_data(rows), hypotheses.HEALTH, "Random Forest").metrics,
-    }
+    results = {}
+    for name, data, spec, said, algorithm in (
+        ("H1", hypotheses.exporter_data(rows), hypotheses.EXPORTER, "Random Forest", "forest"),
+        ("H2", areas, hypotheses.GEOGRAPHY, "Logistic Regression", "logit"),
+        ("H3", hypotheses.health_data(rows), hypotheses.HEALTH, "Random Forest", "forest"),
+    ):
+        outcome = hypotheses.run(data, spec, said, algorithm)
+        results[name] = outcome.metrics
+        outcome.release()
     rows.unpersist()
     return hypotheses.hypothesis_table(results)
 
@@ -244,6 +248,17 @@ def registry_model_comparison(spark, d):
     return out
 
 
+@query()
+def registry_reduced_forest(spark, d):
+    rows = hypotheses.gender_data(full(spark, d)).persist()
+    try:
+        outcome = hypotheses.run(rows, hypotheses.GENDER_REDUCED, "Random_Forest")
+        outcome.release()
+        return outcome.metrics
+    finally:
+        rows.unpersist()
+
+
 @query()
 def registry_clusters(spark, d):
     groups = explore.sector_features(full(spark, d), min_n=20).persist()

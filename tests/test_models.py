@@ -156,28 +156,19 @@ def test_opposite_foldings_of_the_size_classes(spark):
     assert hypotheses.health_data(full).count() == 4
 
 
-def test_registered_fits_have_the_specifications_of_the_library(monkeypatch):
-    from padronix.plans.catalog import modelling, registry
-
-    full = models.Spec(label="outcome", positive="returned")
-    assert (modelling.RETURNED.forest, tuple(modelling.RETURNED.mtry), modelling.RETURNED.folds) == (full.forest, tuple(full.mtry), full.folds)
-
-    class Rows:
-        metrics = None
-
-        def persist(self):
-            return self
-
-        def unpersist(self):
-            return self
-
-    used = []
-    monkeypatch.setattr(registry, "full", lambda spark, d: Rows())
-    for name in ("exporter_data", "health_data", "gender_data", "geography_data"):
-        monkeypatch.setattr(hypotheses, name, lambda rows, **options: rows)
-    monkeypatch.setattr(hypotheses, "run", lambda rows, spec, *a: used.append(spec) or rows)
-    monkeypatch.setattr(hypotheses, "compare", lambda rows, forest, logit: used.extend([forest, logit]))
-    monkeypatch.setattr(hypotheses, "hypothesis_table", lambda results: None)
-    registry.registry_hypotheses(None, "")
-    registry.registry_model_comparison(None, "")
-    assert used == [hypotheses.EXPORTER, hypotheses.GEOGRAPHY, hypotheses.HEALTH, hypotheses.GENDER, replace(hypotheses.GENDER, scale=True)]
+def test_registered_forests_try_all_candidates_in_all_folds_with_all_trees(spark):
+    """What was fitted says what was asked for: trees, candidates, folds."""
+    from padronix.plans.catalog import modelling
+
+    spec = modelling.CAUSED
+    model = models.fit_forest(modelling.caused(spark, "/root/testdata/sf0.001"), spec)
+    assert model.forest.growth.trees == model.forest.pieces.select("tree").distinct().count() == 300
+    assert model.forest.growth.depth == 30 and model.forest.growth.split == spec.folds == 5
+    tries = {min(m, len(model.names)) for m in (3, 5, 7)}
+    assert {(r.candidate, r.fold) for r in model.cv.collect()} == {(f"mtry={m}", f) for m in tries for f in range(5)}
+    assert model.cv.where("auc < 0.8").count() == 0
+
+
+def test_the_reduced_comparison_forest_has_six_predictors_and_a_hundred_trees():
+    spec = hypotheses.GENDER_REDUCED
+    assert len(spec.categorical) + len(spec.numeric) == 6 and spec.forest["numTrees"] == 100 and tuple(spec.mtry) == (2, 3)
