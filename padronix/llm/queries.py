@@ -107,6 +107,7 @@ QUERIES: dict[str, Build] = {
     )
 }
 ORACLE_SQL: dict[str, str] = {
+    "op2_line_winnowing": lines.SQL,
     "op5_quality_rules": quality.SQL,
     "op6_ngram_jaccard": jaccard.SQL,
     "op8_mix_sources": mixing.SQL,

@@ -127,13 +127,13 @@ def test_line_dedup_removes_later_runs(spark):
             at = rng.choice(cuts)
             body[at:at] = [(x, p) for x in passages[p]]
         texts[d] = "\n".join(x for x, _ in body)
-        long = {p for p in range(6) if sum(len(x.split()) for x in passages[p]) >= lines.GRAM_WORDS + lines.WINDOW_WORDS}
+        long = {p for p in range(6) if sum(len(x.split()) for x in passages[p]) >= lines.LEAST_WORDS}
         certain[d] = {i for i, (_, p) in enumerate(body) if p in long & seen}
         seen |= {p for _, p in body if p is not None}
     docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(4)
     got = {r["doc_id"]: r for r in lines.dedup_lines(docs).collect()}
     brute = brute_removed(texts)
-    assert all(certain[d] <= set(r["removed"]) <= brute[d] for d, r in got.items()) and any(certain.values())
+    assert all(certain[d] <= set(r["removed"]) == brute[d] for d, r in got.items()) and any(certain.values())
     kept = Counter(x for r in got.values() for x in r["cleaned"].split("\n"))
     assert set(kept) >= {x for t in texts.values() for x in t.split("\n")}  # a line never vanishes altogether
     for d, r in got.items():
@@ -172,6 +172,59 @@ def test_line_dedup_on_other_diagonals(spark):
         assert got[1] == set(range(6)) and got == brute_removed(texts)
 
 
+def test_equal_runs_share_a_window_minimum_at_the_same_place():
+    rng = random.Random(12)
+    for _ in range(300):
+        run = [(rng.getrandbits(60), rng.randint(1, 9)) for _ in range(rng.randint(1, 25))]
+        if sum(w for _, w in run) < lines.LEAST_WORDS:
+            continue
+        found = []
+        for _ in range(2):
+            before, after = ([(rng.getrandbits(60), rng.randint(1, 9)) for _ in range(rng.randint(0, 6))] for _ in range(2))
+            hashes, words = (np.array(x, np.int64) for x in zip(*before, *run, *after, strict=True))
+            prints = lines.fingerprints(hashes, words)
+            found.append({(i - len(before), h) for i, h in prints if 0 <= i - len(before) < len(run)})
+        assert found[0] & found[1]
+    # About two in a window of so many grams, far fewer than lines.
+    many = lines.fingerprints(np.array([rng.getrandbits(60) for _ in range(5000)]), np.ones(5000, np.int64))
+    assert 700 < len(many) < 1300
+
+
+def test_fingerprints_are_the_minima_of_their_windows():
+    rng = random.Random(13)
+    for _ in range(100):
+        n = rng.randint(1, 60)
+        hashes, words = np.array([rng.randint(0, 5) for _ in range(n)]), np.array([rng.randint(1, 7) for _ in range(n)])
+        upto = [0, *np.cumsum(words).tolist()]
+        grams = {}
+        for i in range(n):
+            ends = [e for e in range(i + 1, n + 1) if upto[e] - upto[i] >= 10]
+            if ends:
+                grams[i] = lines.xxhash.xxh3_64_intdigest(hashes[i : ends[0]].tobytes()) >> 1
+        want = set()
+        for i in grams:
+            window = [j for j in grams if j >= i and upto[j] - upto[i] < 10]
+            least = min(grams[j] for j in window)
+            want.add((max(j for j in window if grams[j] == least), least))
+        assert set(lines.fingerprints(hashes, words)) == want
+
+
+def test_very_long_repeated_texts(spark):
+    rng = random.Random(14)
+    text = "\n".join(odd.sentence(rng, 5) + f" {i}" for i in range(40_000))
+    docs = spark.createDataFrame([(1, text), (2, text), (3, text + "\nmore")], "doc_id bigint, text string")
+    got = {r.doc_id: r for r in lines.dedup_lines(docs).select("doc_id", "n_removed", "cleaned").collect()}
+    assert (got[1].n_removed, got[2].n_removed, got[3].n_removed) == (0, 40_000, 40_000)
+    assert (got[1].cleaned, got[2].cleaned, got[3].cleaned) == (text, "", "more")
+
+
+def test_line_dedup_by_salted_joins(spark, no_small_tables):
+    rng = random.Random(15)
+    line = [odd.sentence(rng, 11) for _ in range(4)]
+    texts = {d: "\n".join(rng.sample(line, 3) + [odd.sentence(rng, 4)] + line) for d in range(40)}
+    assert removed_lines(spark, texts) == brute_removed(texts)
+
+
 def test_line_dedup_on_odd_tables(spark, odd_table, empty_table):
     assert lines.dedup_lines(empty_table).count() == 0
     rows = lines.dedup_lines(odd_table).collect()
