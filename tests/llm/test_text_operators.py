@@ -599,6 +599,16 @@ def features(text: str) -> np.ndarray:
     return np.array(sorted({x for w in text.encode().split() for x in toxicity.word_features(w)}), np.int64)
 
 
+def fitted(texts, labels, **options):
+    finder = toxicity.Finder(options.get("terms", toxicity.IDENTITY_TERMS))
+    uses = [u for t in texts for u in sorted(finder.uses(t.encode()))]
+    return toxicity.fit([features(t) for t in texts], np.array(labels), uses, **options)
+
+
+def score_of(model, text):
+    return float(model.scores(np.array([sum(model.weights.get(x, 0) for x in features(text))]))[0])
+
+
 def test_counterfactuals_free_neutral_mentions():
     """A group named in most toxic texts and few others: without the penalty its name alone is held against a text."""
     rng = random.Random(1)
@@ -610,13 +620,12 @@ def test_counterfactuals_free_neutral_mentions():
             words.append(rng.choice(["muslims", "jews"]))
         texts.append(" ".join(words))
         labels.append(float(toxic))
-    rows, y = [features(t) for t in texts], np.array(labels)
     scores = {}
-    for penalty in (0.0, 50.0):
-        m = toxicity.fit(rows, y, counterfactual=penalty)
-        scores[penalty] = [float(m.scores(np.array([sum(m.weights.get(x, 0) for x in features(t))]))[0]) for t in ("muslims and jews", "christians and jews", "scum")]
-    assert scores[0.0][0] > 0.5 and scores[50.0][0] < 0.3
-    assert abs(scores[50.0][0] - scores[50.0][1]) < abs(scores[0.0][0] - scores[0.0][1]) and scores[50.0][2] > 0.5
+    for penalty in (0.0, 1.0):
+        m = fitted(texts, labels, counterfactual=penalty)
+        scores[penalty] = [score_of(m, t) for t in ("muslims and jews", "christians and jews", "scum")]
+    assert scores[0.0][0] > 0.5 and scores[1.0][0] < 0.3
+    assert abs(scores[1.0][0] - scores[1.0][1]) < 0.05 and scores[1.0][2] > 0.5
 
 
 def test_rare_names_are_freed_at_the_weight_of_the_query():
@@ -631,12 +640,99 @@ def test_rare_names_are_freed_at_the_weight_of_the_query():
             words.append("muslims")
         texts.append(" ".join(words))
         labels.append(float(toxic))
-    m = toxicity.fit([features(t) for t in texts], np.array(labels))  # as learn() calls it
-    score = {t: float(m.scores(np.array([sum(m.weights.get(x, 0) for x in features(t))]))[0]) for t in ("", "muslims", "christians", "hindus", "scum")}
+    m = fitted(texts, labels)  # as learn() calls it
+    score = {t: score_of(m, t) for t in ("", "muslims", "christians", "hindus", "scum")}
     assert score["muslims"] < 0.3 and score["scum"] > 0.5
     assert all(abs(score["muslims"] - score[t]) < 0.05 for t in ("", "christians", "hindus"))
 
 
+def test_names_of_several_words_from_a_table_of_ones_own():
+    rng = random.Random(3)
+    terms = (("hill folk", "river folk", "lake dwellers"),)
+    texts, labels = [], []
+    for i in range(800):
+        toxic = i % 4 == 0
+        words = odd.sentence(rng, 12).split() + (["scum"] if toxic and rng.random() < 0.8 else [])
+        texts.append(" ".join(words) + (". the Hill Folk came" if toxic and i % 8 == 0 else ""))
+        labels.append(float(toxic))
+    texts = [t.lower() for t in texts]
+    uses = toxicity.Finder(terms).uses(b"Old hill folk, new. The hill folk! River hill Folk? lake")
+    assert [(k, i) for k, i, _ in sorted(uses)] == [(0, 0)] * 3
+    free, bound = fitted(texts, labels, terms=terms, counterfactual=0.0), fitted(texts, labels, terms=terms)
+    assert score_of(free, "hill folk") > 0.5 > 0.3 > score_of(bound, "hill folk")
+    assert abs(score_of(bound, "hill folk") - score_of(bound, "lake dwellers")) < 0.05 and score_of(bound, "scum") > 0.5
+
+
+@pytest.mark.parametrize("kind", range(len(toxicity.IDENTITY_TERMS)))
+def test_neutral_mentions_of_every_kind(kind):
+    """One name of the kind in half of the toxic texts only: mentions in other sentences stay below the threshold."""
+    rng = random.Random(kind)
+    name = toxicity.IDENTITY_TERMS[kind][-1].replace("-", " ")
+    texts, labels = [], []
+    for i in range(600):
+        toxic = i % 4 == 0
+        words = odd.sentence(rng, 10).split() + (["scum"] if toxic and rng.random() < 0.8 else [])
+        texts.append(" ".join(words + ([name] if toxic and i % 8 == 0 else [])))
+        labels.append(float(toxic))
+    m = fitted(texts, labels, steps=400)
+    neutral = [f"{odd.sentence(rng, 8)} {name} {odd.sentence(rng, 3)}" for _ in range(100)]
+    assert sum(score_of(m, t) >= toxicity.THRESHOLD for t in neutral) <= 3 and score_of(m, "scum") > 0.5
+
+
+def test_the_loss_and_its_gradient_equal_dense_brute_force():
+    rng = np.random.default_rng(6)
+    terms = (("a", "b c"), ("d", "e", "f"))
+    words = "a b c d e f g h i j".split()
+    texts = [" ".join(rng.choice(words, 6)) + ". " + " ".join(rng.choice(words, 4)) for _ in range(30)]
+    labels = (rng.random(30) < 0.4).astype(float)
+    columns = np.array(sorted({x for w in words for x in toxicity.word_features(w.encode())}), np.int64)
+    finder = toxicity.Finder(terms)
+    uses = [u for t in texts for u in sorted(finder.uses(t.encode()))]
+    flat = [features(t.replace(".", "")) for t in texts]
+    row, col = np.repeat(np.arange(30), [len(r) for r in flat]), np.searchsorted(columns, np.concatenate(flat))
+    share = rng.random(30)
+    loss = toxicity.Loss(row, col, labels, share, toxicity.Swaps(uses, terms, columns), 0.7)
+    w, b = rng.normal(0, 0.5, len(columns)), -0.3
+    weight = dict(zip(columns.tolist(), w.tolist(), strict=True))
+
+    def score(tokens):
+        return 1 / (1 + math.exp(-(b + sum(weight[x] for x in {y for t in tokens for y in toxicity.word_features(t.encode())}))))
+
+    # Every labelled sentence with every name in it swapped, and bare mentions.
+    want = sum(s * -(y * math.log(p) + (1 - y) * math.log(1 - p)) for s, y, p in zip(share, labels, (score(t.replace(".", "").split()) for t in texts), strict=True))
+    for kind in terms:
+        for name in kind:
+            sentences = [[]]
+            for part in (s.split() for t in texts for s in t.split(".")):
+                rest, i, found = [], 0, False
+                while i < len(part):
+                    if part[i : i + len(name.split())] == name.split():
+                        i, found = i + len(name.split()), True
+                    else:
+                        rest.append(part[i])
+                        i += 1
+                if found:
+                    sentences.append(rest)
+            others = [o for o in kind if o != name]
+            changes = [score(s + name.split()) - score(s + o.split()) for s in sentences for o in others]
+            want += 0.7 * 100 * (np.mean(np.square(changes)) + (score(name.split()) - score([])) ** 2)
+    value, gradient, by_bias = loss.at(w, b)
+    assert value == pytest.approx(want, rel=1e-6)
+    for i in [*range(0, len(w), 2)]:
+        e = np.zeros(len(w))
+        e[i] = 1e-5
+        assert gradient[i] == pytest.approx((loss.at(w + e, b)[0] - loss.at(w - e, b)[0]) / 2e-5, abs=1e-5, rel=1e-4)
+    assert by_bias == pytest.approx((loss.at(w, b + 1e-5)[0] - loss.at(w, b - 1e-5)[0]) / 2e-5, abs=1e-5, rel=1e-4)
+
+
+def test_scores_equal_sums_of_weights_over_distinct_words(spark, odd_table):
+    model = toxicity.learn(small(spark), small(spark, "labels"))
+    for r in toxicity.score_toxicity(odd_table, model).select("text", "score", "predicted").collect():
+        found = {x for w in re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), r.text or "")) for x in toxicity.word_features(w.encode())}
+        want = 1 / (1 + math.exp(-(model.bias + sum(model.weights.get(x, 0.0) for x in found))))
+        assert r.score == pytest.approx(want, abs=1e-9) and r.predicted == int(r.score >= 0.3)
+
+
 def test_toxicity_on_odd_tables(spark, odd_table, empty_table):
     no_labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     plain = toxicity.learn(odd_table, no_labels)
@@ -658,7 +754,7 @@ def test_queries_equal_their_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "labels"):
+    for t in ("documents", "benchmark", "labels", "embeddings"):
         con.sql(f"create view {t} as select * from '{SMALL}/{t}.parquet'")
     want = con.sql(ORACLE_SQL[name])
     got = QUERIES[name](spark, SMALL)
