@@ -8,6 +8,7 @@ once by a forward pass. Piece probabilities are learned by expectation maximisat
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,13 +25,12 @@ ROWS_PER_LANGUAGE = 400  # most texts per language that a fit uses: those of the
 BROADCAST_ROWS = 100_000  # most rows of a table of chosen keys that is broadcast
 ROUNDS = 3
 LONGEST_PIECE = 16
-LONGEST_WORD = 64  # longer runs of letters are cut; a word's sum then has that many steps at most
+LETTERS_AT_ONCE = 1 << 18  # letters of the words that are summed side by side
 MEMO_VALUES = 2_000_000  # numbers (words times languages) that a task remembers
 UNSEEN = 1e-7  # probability of a letter that is no piece, and share of what all languages have in common
-SCALE = 24.0  # factor per letter that keeps products of a long word in range
 UNKNOWN = "und"
 
-_WORD = re.compile(rf"[^\W\d_]{{1,{LONGEST_WORD}}}")
+_WORD = re.compile(r"[^\W\d_]+")
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _SLOT_BITS = 22
 
@@ -83,9 +83,9 @@ class Pieces:
             by_start = np.argsort(start, kind="stable")
             row, start, piece = row[by_start], start[by_start], piece[by_start]
             cuts = np.searchsorted(start, np.arange(n - length + 2))
-            for i in range(n - length + 1):
-                if cuts[i] < cuts[i + 1] or length == 1:
-                    ends[i + length].append((i, row[cuts[i] : cuts[i + 1]], piece[cuts[i] : cuts[i + 1]]))
+            found = range(n) if length == 1 else np.flatnonzero(np.diff(cuts)).tolist()
+            for i in found:
+                ends[i + length].append((i, row[cuts[i] : cuts[i + 1]], piece[cuts[i] : cuts[i + 1]]))
         return ends
 
 
@@ -100,52 +100,58 @@ def _codes(words: list[str]) -> np.ndarray:
     return np.frombuffer(joined.encode("utf-32-le"), np.uint32).reshape(len(words), -1).astype(np.uint64)
 
 
+def _parts(words: list[str]) -> Iterator[np.ndarray]:
+    """Places of equally long words, in groups of a bounded number of letters."""
+    for n, where in _by_length(words).items():
+        step = max(1, LETTERS_AT_ONCE // (n + 1))
+        for low in range(0, len(where), step):
+            yield where[low : low + step]
+
+
 def _forward(ends: list, n_words: int, probability: np.ndarray) -> list[np.ndarray]:
-    """Sums over all cuts of the first i letters, for i = 0..n, per word and language; a letter that is no piece is unseen."""
-    langs = probability.shape[1]
-    alpha = [np.ones((n_words, langs))]
+    """Logarithms of the sums over all cuts of the first i letters, for i = 0..n, per word and language.
+
+    A letter that is no piece is unseen. Each sum is taken in units of the one before, so words of any length stay in range.
+    """
+    logs = [np.zeros((n_words, probability.shape[1]))]
     for end in range(1, len(ends)):
-        total = np.zeros((n_words, langs))
+        last = logs[end - 1]
+        total = np.full_like(last, UNSEEN)
         for start, rows, pieces in ends[end]:
             if start == end - 1:
-                total += alpha[start] * (UNSEEN * SCALE)
-                total[rows] += alpha[start][rows] * ((probability[pieces] - UNSEEN) * SCALE)
+                total[rows] += probability[pieces] - UNSEEN
             else:
-                total[rows] += alpha[start][rows] * (probability[pieces] * SCALE ** (end - start))
-        alpha.append(total)
-    return alpha
+                total[rows] += probability[pieces] * np.exp(logs[start][rows] - last[rows])
+        logs.append(last + np.log(total))
+    return logs
 
 
 def word_log_probabilities(words: list[str], pieces: Pieces, probability: np.ndarray) -> np.ndarray:
     """Natural logarithms, a row per word and a column per language."""
     out = np.zeros((len(words), probability.shape[1]))
-    for n, where in _by_length(words).items():
-        for low in range(0, len(where), 4096):
-            part = where[low : low + 4096]
-            codes = _codes([words[i] for i in part])
-            alpha = _forward(pieces.places(codes), len(part), probability)
-            out[part] = np.log(np.maximum(alpha[-1], 1e-300)) - (n + 1) * np.log(SCALE)
+    for part in _parts(words):
+        out[part] = _forward(pieces.places(_codes([words[i] for i in part])), len(part), probability)[-1]
     return out
 
 
 def _expected(words: list[str], counts: np.ndarray, pieces: Pieces, probability: np.ndarray) -> np.ndarray:
     """Expected uses of each piece over all cuts of the counted words, under one language's probabilities."""
     uses = np.zeros(pieces.size)
-    for where in _by_length(words).values():
-        for low in range(0, len(where), 4096):
-            part = where[low : low + 4096]
-            ends = pieces.places(_codes([words[i] for i in part]))
-            alpha = _forward(ends, len(part), probability)
-            beta = [np.zeros(len(part)) for _ in ends]
-            beta[-1][:] = counts[part] / np.maximum(alpha[-1][:, 0], 1e-300)
-            for end in range(len(ends) - 1, 0, -1):
-                for start, rows, found in ends[end]:
-                    step = probability[found, 0] * SCALE ** (end - start)
-                    uses += np.bincount(found, alpha[start][rows, 0] * step * beta[end][rows], pieces.size)
-                    if start == end - 1:
-                        beta[start] += UNSEEN * SCALE * beta[end]
-                        step = step - UNSEEN * SCALE
-                    beta[start][rows] += step * beta[end][rows]
+    for part in _parts(words):
+        ends = pieces.places(_codes([words[i] for i in part]))
+        logs = [x[:, 0] for x in _forward(ends, len(part), probability)]
+        # Expected number of cuts at each place, from the end back: what goes through it, times the word's count.
+        through = [np.zeros(len(part)) for _ in ends]
+        through[-1][:] = counts[part]
+        for end in range(len(ends) - 1, 0, -1):
+            for start, rows, found in ends[end]:
+                flow = through[end][rows] * np.exp(logs[start][rows] - logs[end][rows]) * probability[found, 0]
+                uses += np.bincount(found, flow, pieces.size)
+                if start == end - 1:
+                    unseen = through[end] * np.exp(logs[start] - logs[end]) * UNSEEN
+                    unseen[rows] = 0
+                    through[start] += unseen
+                through[start][rows] += flow
     return uses
 
 
@@ -182,19 +188,19 @@ def learn(
 ) -> Model:
     """A model from rows with a language outside the held-out ones.
 
-    Of each language at most `rows_per_language` rows are used, those of the smallest key hashes; a hash bound from the
-    language's size leaves about four times as many to rank. Of rows of equal key and language the smallest text is used.
+    Of each language at most `rows_per_language` keys are used, those of the smallest hashes; a hash bound from the
+    language's number of keys leaves about four times as many to rank. Of rows of equal key and language the smallest text is used.
     Distinct words with counts come to the driver, texts do not. Null texts, keys and languages are left out.
     """
     known = docs.where(F.col(language).isNotNull() & F.col(key).isNotNull() & ~held_out(F.col(key)))
     keys = known.select(F.col(key).alias("key"), F.col(language).alias("language"))
-    sizes = keys.groupBy("language").agg(F.count("*").alias("n"))
+    sizes = keys.groupBy("language").agg(F.approx_count_distinct("key", 0.02).alias("n"))
     sizes = F.broadcast(sizes) if sizes.count() <= BROADCAST_ROWS else sizes
     # About four times the wanted rows stay per language, however many it has: they are ranked in one task.
     place = F.pmod(F.xxhash64("key"), F.lit(1 << 40)).alias("place")
-    near = keys.join(sizes, "language").select("key", "language", place, "n").where(F.col("place").cast("double") * F.col("n") < float(4 * rows_per_language * (1 << 40)))
+    near = keys.join(sizes, "language").select("key", "language", place, "n").where(F.col("place").cast("double") * F.col("n") < float(4 * rows_per_language * (1 << 40))).distinct()
     ranked = near.withColumn("rank", F.expr("row_number() OVER (PARTITION BY language ORDER BY place, key)"))
-    chosen = ranked.where(F.col("rank") <= rows_per_language).select("key", "language").distinct()
+    chosen = ranked.where(F.col("rank") <= rows_per_language).select("key", "language")
     texts = docs.select(F.col(key).alias("key"), F.col(language).alias("language"), F.col(text).alias("text"))
     few = chosen.count() <= BROADCAST_ROWS
     sample = texts.join(F.broadcast(chosen) if few else chosen, ["key", "language"])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import ahocorasick
@@ -19,7 +20,6 @@ KINDS = (*BASE_KINDS, "url", "account", "secret")
 SCHEMES = ("http://", "https://", "ftp://", "mailto:")
 ACCOUNT_CUES = ("iban", "account", "passport", "ssn", "konto", "compte", "cuenta")
 ACCOUNT_FILLERS = ("number", "numbers", "num", "no", "nr", "nummer", "numéro", "numero", "número", "n°", "nº", "id", "code", "is", "ist", "est", "es", "of", "the")
-MAX_FILLERS = 4
 SECRET_CUES = ("password", "passwd", "token", "secret", "api_key", "apikey")
 
 _DIGITS = frozenset("0123456789")
@@ -29,6 +29,9 @@ _LABEL = _ALNUM | frozenset("-")
 _PHONE = _DIGITS | frozenset(" ().-")
 _URL_END = frozenset(" \t\n\r\x0b\x0c\"'<>`")
 _TRAIL = ".,;:!?)]}"
+_HOST_END = re.compile(r"[/?#\\]")
+_NO_WORD = re.compile(r"[0-9]|[A-Za-z][_+/.-]+[A-Za-z]|[a-z][A-Z]")
+_FOLD = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}  # keeps every place in the text
 
 Span = tuple[int, int]
 Parser = Callable[[str, int, int], tuple[Span | None, int]]
@@ -123,13 +126,21 @@ def _phone(text: str, at: int, floor: int) -> tuple[Span | None, int]:
 
 
 def _url(text: str, at: int, floor: int) -> tuple[Span | None, int]:
-    """A scheme and what follows up to white space or a quote, without closing punctuation."""
+    """A scheme and what follows up to white space or a quote, without closing punctuation; it needs a host, a mail
+    address something on both sides of its at-sign."""
     start = end = text.index(":", at) + 1
     while end < len(text) and text[end] not in _URL_END:
         end += 1
     while end > start and text[end - 1] in _TRAIL:
         end -= 1
-    return ((at, end), end) if any(c in _ALNUM for c in text[start:end]) else (None, floor)
+    rest = text[start:end]
+    if rest.startswith("//"):
+        host = _HOST_END.split(rest[2:], maxsplit=1)[0].rsplit("@", 1)[-1].removeprefix("[")
+        valid = host[:1].isalnum()
+    else:
+        local, _, domain = rest.partition("@")
+        valid = local[-1:].isalnum() and domain[:1].isalnum()
+    return ((at, end), end) if valid else (None, floor)
 
 
 def _after_cue(text: str, at: int, cues: tuple[str, ...]) -> int:
@@ -139,7 +150,7 @@ def _after_cue(text: str, at: int, cues: tuple[str, ...]) -> int:
     if at and text[at - 1] in _ALNUM or end < len(text) and text[end] in _ALNUM:
         return -1
     stop = _run(text, end, frozenset(" :=#\"'"))
-    return stop if 0 < stop - end <= 5 else -1
+    return stop if stop > end else -1
 
 
 def iban(value: str) -> bool:
@@ -171,14 +182,14 @@ def _iban(text: str, at: int) -> int:
 
 def _past_fillers(text: str, at: int) -> int:
     """Where a value begins behind words such as number, no. or is, and what parts them; `at` if there are none."""
-    for _ in range(MAX_FILLERS):
+    while True:
         end = at
         while end < len(text) and (text[end].isalpha() or text[end] in "°º"):
             end += 1
         if text[at:end].lower() not in ACCOUNT_FILLERS:
             break
         stop = _run(text, end, frozenset(" .:=#\"'"))
-        if not 0 < stop - end <= 5:
+        if stop == end:
             break
         at = stop
     return at
@@ -203,14 +214,15 @@ def _account(text: str, at: int, floor: int) -> tuple[Span | None, int]:
 
 
 def _secret(text: str, at: int, floor: int) -> tuple[Span | None, int]:
-    """The value after a password or token cue with = or a colon: at least 8 characters, one of them a digit."""
+    """The value after a password or token cue with = or a colon: at least 8 characters, and not a word by itself: a
+    digit, a sign between two characters, or a capital behind a small letter."""
     start = _after_cue(text, at, SECRET_CUES)
     if start < 0 or not set("=:") & set(text[at:start]):
         return None, floor
     end = _run(text, start, _ALNUM | frozenset("_-+/."))
     while end > start and text[end - 1] in _TRAIL:
         end -= 1
-    return ((start, end), end) if end - start >= 8 and any(c in _DIGITS for c in text[start:end]) else (None, floor)
+    return ((start, end), end) if end - start >= 8 and _NO_WORD.search(text[start:end]) else (None, floor)
 
 
 PARSERS: dict[str, Parser] = {
@@ -219,7 +231,7 @@ PARSERS: dict[str, Parser] = {
 
 
 def anchors() -> ahocorasick.Automaton:
-    """Anchor text -> kinds: at-signs, plus signs, digit pairs with what may part them, schemes and cues."""
+    """Anchor text -> kinds: at-signs, plus signs, digit pairs with what may part them, schemes and cues in small letters."""
     found: dict[str, set[str]] = {"@": {"email"}, "+": {"phone"}}
     for a in "0123456789":
         for b in "0123456789":
@@ -227,8 +239,7 @@ def anchors() -> ahocorasick.Automaton:
                 found.setdefault(a + between + b, set()).add(kind)
     for texts, kind in ((SCHEMES, "url"), (ACCOUNT_CUES, "account"), (SECRET_CUES, "secret")):
         for t in texts:
-            for spelling in {t, t.upper(), t.capitalize()}:
-                found.setdefault(spelling, set()).add(kind)
+            found.setdefault(t, set()).add(kind)
     built = ahocorasick.Automaton()
     for anchor, kinds in found.items():
         built.add_word(anchor, (len(anchor) - 1, tuple(sorted(kinds))))
@@ -240,7 +251,7 @@ def spans_of(built: ahocorasick.Automaton, text: str) -> dict[str, list[Span]]:
     """Spans of each kind in one text, by anchors from left to right."""
     found: dict[str, list[Span]] = {}
     floor = dict.fromkeys(KINDS, 0)
-    for last, (back, kinds) in built.iter(text):
+    for last, (back, kinds) in built.iter(text.translate(_FOLD)):
         at = last - back
         for kind in kinds:
             if at < floor[kind]:

@@ -46,6 +46,7 @@ def op4_anchor_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_email", "n_ip", "n_card", "n_phone",
         F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_url", "n_account", "n_secret",
+        sum((F.col(f"n_{k}") for k in pii.KINDS if k != "url"), F.lit(0).cast("bigint")).alias("n_personal"),
     )
 
 

@@ -15,6 +15,7 @@ import sys
 import uuid
 import zlib
 from array import array
+from collections import OrderedDict
 from collections.abc import Iterable, Iterator
 from itertools import pairwise
 from pathlib import Path
@@ -31,6 +32,7 @@ from padronix.llm.batches import KEPT, bounded_batches
 
 MASK = 0xA282EAD8  # Fixed value: added to a rotated checksum.
 TOKENIZER_BYTES = 64_000_000  # most bytes of a tokenizer file that is broadcast
+OPEN_FILES = 64  # files that a shuffled read keeps open
 MEMO_PIECES = 1_200_000  # pieces of text whose ids a worker remembers, in about 250 MB; then it forgets all and goes on
 
 _FRAME = struct.Struct("<QI")
@@ -77,15 +79,17 @@ class PieceEncoder:
     """Ids of whole texts, by a byte-level tokenizer without a normalizer: pieces between white space, remembered.
 
     That gives the ids of the whole text, since such a tokenizer never merges a word with white space after it. Texts
-    with white space other than ASCII's, and all texts for other tokenizers, are encoded whole.
+    with white space other than ASCII's or with the spelling of an added token, and all texts for other tokenizers, are
+    encoded whole.
     """
 
     def __init__(self, tokenizer: Tokenizer, settings: dict, width: int):
         self._whole, self._code = tokenizer.encode, "H" if width == 2 else "I"
         cut = settings.get("pre_tokenizer") or {}
-        special = all(t["special"] for t in settings.get("added_tokens") or [])
+        added = settings.get("added_tokens") or []
+        self._added = [] if tokenizer.encode_special_tokens else [t["content"] for t in added]
         self._by_piece = (
-            special and settings.get("normalizer") is None and cut.get("type") == "ByteLevel"
+            all(t["special"] for t in added) and settings.get("normalizer") is None and cut.get("type") == "ByteLevel"
             and cut.get("use_regex", True) and not cut.get("add_prefix_space", True)
         )
         if self._by_piece:
@@ -170,7 +174,7 @@ class PieceEncoder:
 
     def __call__(self, text: str) -> bytes:
         rare = any(c in text for c in _SEPARATORS) if text.isascii() else _RARE.search(text)
-        if rare or not self._by_piece:
+        if rare or not self._by_piece or any(a in text for a in self._added):
             return _little(self._whole(text, add_special_tokens=False).ids, self._code)
         if text[:1] in _ENDS or text[-1:] in _ENDS or any(r in text for r in _RUNS):
             return self._joined(_PIECES.findall(text), self._alone)
@@ -181,13 +185,13 @@ class PieceEncoder:
         return self._joined([first], self._alone) + (self._joined(rest.split(" "), self._after_space) if rest else b"")
 
 
-def _encoder(settings: str, width: int) -> PieceEncoder:
+def _encoder(settings: str, width: int, plain: bool) -> PieceEncoder:
     """The encoder of a tokenizer file, kept from task to task by the worker that runs them, with what it remembers."""
-    key = (zlib.crc32(settings.encode()), width)
+    key = (zlib.crc32(settings.encode()), width, plain)
     if key not in KEPT:
         KEPT.clear()
         tokenizer = Tokenizer.from_str(settings)
-        tokenizer.encode_special_tokens = True  # their spelling in a text is ordinary text
+        tokenizer.encode_special_tokens = plain
         KEPT[key] = PieceEncoder(tokenizer, json.loads(settings), width)
     return KEPT[key]
 
@@ -229,13 +233,14 @@ MANIFEST = "part int, file string, n_records bigint, n_ids bigint, start bigint"
 
 
 def write_records(
-    docs: DataFrame, folder: str, tokenizer_file: str, end_id: int, key: str = "doc_id", text: str = "text",
+    docs: DataFrame, folder: str, tokenizer_file: str, end_id: int, key: str = "doc_id", text: str = "text", plain_specials: bool = False,
 ) -> DataFrame:
     """Encode every whole text, append `end_id`, and write records in ascending order of the integer key.
 
     Returns the manifest, one row per file in order, also written to `folder`/manifest: only files that it names count,
-    so what failed or repeated tasks left behind is never read. Rows are dealt out by ranges of (key, text hash), so
-    neither long texts nor repeated keys meet in one task. Null keys come first; equal keys are ordered by text hash;
+    so what failed or repeated tasks left behind is never read. Rows are dealt out by ranges of (key, text hash, place in
+    the table), so neither long texts nor repeated keys or rows meet in one task. The spelling of a special token in a text
+    gives that token, as the tokenizer does by default; with `plain_specials` it is ordinary text. Null keys come first; equal keys are ordered by text hash;
     a null text is empty and gives the end id alone; an empty table gives no file. Other columns are not written.
     `folder` must be one that all machines reach. The driver holds one row per file.
     """
@@ -247,11 +252,12 @@ def write_records(
     width = 2 if max(Tokenizer.from_str(settings).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
     shared = spark.sparkContext.broadcast(settings)
     rows = docs.select(F.col(key).cast("bigint").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = rows.withColumn("tie", F.xxhash64("text"))
-    ordered = rows.repartitionByRange(F.col("key").asc_nulls_first(), "tie").sortWithinPartitions(F.col("key").asc_nulls_first(), "tie")
+    rows = rows.withColumn("tie", F.xxhash64("text")).withColumn("place", F.monotonically_increasing_id())
+    ordered = rows.repartitionByRange(F.col("key").asc_nulls_first(), "tie", "place")
+    ordered = ordered.sortWithinPartitions(F.col("key").asc_nulls_first(), "tie").select("key", "text", "tie")
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = _encoder(shared.value, width), end_id.to_bytes(width, "little")
+        encode, end = _encoder(shared.value, width, plain_specials), end_id.to_bytes(width, "little")
         system, path = FileSystem.from_uri(folder)
         name, out, index, before, at = f"{uuid.uuid4().hex}.records", None, [], 0, 0
         for batch in batches:
@@ -348,17 +354,21 @@ def read_shuffled(spark: SparkSession, folder: str, seed: int) -> DataFrame:
 
     def fetch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, path = FileSystem.from_uri(folder)
-        streams = {}
+        streams = OrderedDict()  # the file used last comes last
         for batch in batches:
-            rows = []
-            for e in batch.to_pylist():
+            wanted = batch.to_pylist()
+            rows: list = [None] * len(wanted)
+            # A batch is read in the order of its files, and given back in its own.
+            for i in sorted(range(len(wanted)), key=lambda i: (wanted[i]["file"], wanted[i]["offset"])):
+                e = wanted[i]
                 if e["file"] not in streams:
-                    if len(streams) >= 64:
-                        streams.popitem()[1].close()
+                    if len(streams) >= OPEN_FILES:
+                        streams.popitem(last=False)[1].close()
                     streams[e["file"]] = system.open_input_file(f"{path}/{e['file']}")
+                streams.move_to_end(e["file"])
                 streams[e["file"]].seek(e["offset"])
                 key, ids = unpack(unframe(streams[e["file"]]))
-                rows.append((key, e["start"], ids))
+                rows[i] = (key, e["start"], ids)
             if rows:
                 yield _record_batch(rows)
 

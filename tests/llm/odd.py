@@ -35,6 +35,7 @@ def texts() -> list[str | None]:
         "a b c a b c a b c a b c", "ünï ünï ünï ünï ñandú ß K İ", "cc by cc by all rights reserved General Public License",
         "Licensed under the Apache License, Version 2.0 and CC BY-NC 4.0", sentence(rng, 30_000), "x" * 100_000,
         "mail a.b@c.de, call +1 (202) 555-0143, pay 4111 1111 1111 1111 from 10.0.0.255", "### $$$ %%% &&& ***",
+        "say <|endoftext|> now<|endoftext|>", "the" + "\u0436" * 300 + "x" * 300,
     ]
 
 

@@ -51,7 +51,6 @@ def same_as_sql(table, sql, rows, **tables):
 def whole_ids(text: str | None) -> list[int]:
     if not hasattr(whole_ids, "t"):
         whole_ids.t = Tokenizer.from_file(TOKENIZER)
-        whole_ids.t.encode_special_tokens = True
     return [*whole_ids.t.encode(text or "", add_special_tokens=False).ids, 2]
 
 
@@ -256,6 +255,74 @@ def test_forward_sums_all_segmentations():
     assert np.allclose(got, want)
 
 
+def log_sum(word: str, pieces: list[str], p: np.ndarray) -> float:
+    """Logarithm of the sum over all cuts, letter by letter in logarithms."""
+    logs = [0.0]
+    for end in range(1, len(word) + 1):
+        terms = [logs[start] + math.log(p[pieces.index(word[start:end])]) for start in range(max(0, end - 16), end) if word[start:end] in pieces]
+        if word[end - 1 : end] not in pieces:
+            terms.append(logs[end - 1] + math.log(language.UNSEEN))
+        top = max(terms)
+        logs.append(top + math.log(sum(math.exp(t - top) for t in terms)))
+    return logs[-1]
+
+
+def test_long_and_unknown_words_keep_their_evidence():
+    pieces = ["▁", "t", "h", "e", "the", "▁the", "z"]
+    p = np.array([[0.2, 0.3], [0.1, 0.1], [0.1, 0.1], [0.1, 0.1], [0.2, 0.1], [0.2, 0.05], [0.1, 0.25]])
+    words = ["the" + "ж" * 61, "ж" * 64, "the" * 100, "z" * 300 + "the", "thez" * 2000]
+    got = language.word_log_probabilities(words, language.Pieces(pieces), p)
+    assert np.allclose(got, [[log_sum("▁" + w, pieces, p[:, c]) for c in (0, 1)] for w in words], rtol=1e-9)
+    assert np.isfinite(got).all() and abs(got[0, 0] - got[0, 1]) > 0.5
+    assert language.words_of("A" * 300 + " b1c") == ["a" * 300, "b", "c"]
+
+
+def test_expectation_maximisation_equals_counting_all_cuts():
+    pieces = ["▁", "a", "b", "ab", "▁a", "aba", "ba"]
+    counted = {"x": {"ab": 3, "aba": 2, "c": 1, "abab": 4}, "y": {"ba": 5, "bab": 1, "a": 2}}
+
+    def cuts(word: str):
+        if not word:
+            yield []
+            return
+        found = [x for x in pieces if word.startswith(x)]
+        for x in found + ([] if any(len(x) == 1 for x in found) else ["?"]):
+            for rest in cuts(word[len(x) :]):
+                yield [x, *rest]
+
+    own = []
+    for lang in ("x", "y"):
+        p = {x: 1 / len(pieces) for x in pieces} | {"?": language.UNSEEN}
+        for _ in range(language.ROUNDS):
+            uses = dict.fromkeys(pieces, 0.0)
+            for word, n in counted[lang].items():
+                ways = [(c, math.prod(p[x] for x in c)) for c in cuts("▁" + word)]
+                for c, weight in ways:
+                    for x in c:
+                        if x != "?":
+                            uses[x] += n * weight / sum(w for _, w in ways)
+            total = sum(uses.values())
+            p = {x: (u + 1e-3) / (total + 1e-3 * len(pieces)) for x, u in uses.items()} | {"?": language.UNSEEN}
+        own.append(np.array([uses[x] / total for x in pieces]))
+    model = language.fit(pieces, counted)
+    mean = (own[0] + own[1]) / 2
+    want = np.maximum(0.999 * np.stack(own, axis=1) + 0.001 * mean[:, None], language.UNSEEN)
+    assert model.languages == ["x", "y"] and np.allclose(model.probability, want)
+
+
+def test_predictions_equal_sums_over_words(spark, odd_table):
+    """Of the fitted model, the prediction of every text by a plain sum over its words."""
+    model = language.learn(small(spark), VOCABULARY)
+    found = {r.text: r for r in language.predict_language(odd_table, model).collect()}
+    finder = language.Pieces(model.pieces)
+    for text, r in found.items():
+        words = re.findall(r"[^\W\d_]+", (text or "").lower())
+        if words and len(words) < 500:
+            logs = sum(language.word_log_probabilities([w], finder, model.probability)[0] for w in words)
+            best = int(np.argmax(logs))
+            assert r.lang_pred == model.languages[best] and r.score == pytest.approx(1 / np.exp(logs - logs[best]).sum(), abs=1e-6)
+
+
 def test_language_held_out_accuracy(spark):
     rows = QUERIES["op3_piece_unigrams"](spark, "/root/testdata/sf0.01").join(
         spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang"), "doc_id"
@@ -343,6 +410,17 @@ def test_account_numbers_behind_fillers_and_in_printed_groups():
         assert "account" not in pii.spans_of(built, text), text
 
 
+def test_cues_in_any_spelling_and_secrets_without_digits():
+    built = pii.anchors()
+    found = lambda t: {k: [t[a:b] for a, b in v] for k, v in pii.spans_of(built, t).items()}
+    for cue in ("api_key=", "Api_Key=", "API_Key:", "PassWord=", "pAsSwD: ", "TOKEN =    "):
+        assert found(f"x {cue}Zx81kQ9w0 y") == {"secret": ["Zx81kQ9w0"]}
+    assert found("password: hunter-two-three") == {"secret": ["hunter-two-three"]} and found("password: something else") == {}
+    assert found("HttpS://a.example/b") == {"url": ["HttpS://a.example/b"]} and found("go to http://user@ now") == {}
+    assert found("http://user@host.example/x") ["url"] == ["http://user@host.example/x"]
+    assert found("account number is the number no. nr: 12345678") == {"account": ["12345678"]}
+
+
 def test_personal_data_on_odd_tables(odd_table, empty_table):
     assert pii.find_personal_data(empty_table).count() == 0
     rows = pii.find_personal_data(odd_table).collect()
