@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
+import numpy as np
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import DataFrame
@@ -33,18 +34,31 @@ def corr_rank(df: DataFrame, target: str, cols: Sequence[str], digits: int = 3)
     return long.select("variable", F.round("r", digits).alias("r")).orderBy(F.desc(F.abs("r")), "variable")
 
 
-def _dependent(r: Sequence[Sequence[float]], variance: Sequence[float], tolerance: float) -> list[int]:
-    """Positions that are constant or a linear function of earlier ones, by elimination on a k x k matrix."""
-    k = len(variance)
-    m = [[r[i][j] if variance[i] > 0 and variance[j] > 0 else 0.0 for j in range(k)] for i in range(k)]
+PANEL = 128  # positions that are eliminated before the rest of the matrix is brought up to date
+
+
+def _dependent(r: np.ndarray, variance: np.ndarray, tolerance: float) -> list[int]:
+    """Positions that are constant or a linear function of earlier ones, by elimination on a k x k matrix.
+
+    A panel of positions is eliminated row by row; the rows behind it are updated by one matrix product.
+    """
+    m = np.array(r, float)
+    constant = ~(np.asarray(variance) > 0)
+    m[constant, :] = m[:, constant] = 0.0
+    k = len(m)
     dropped = []
-    for i in range(k):
-        if m[i][i] <= tolerance:
-            dropped.append(i)
-            continue
-        for j in range(i + 1, k):
-            f = m[j][i] / m[i][i]
-            m[j] = [m[j][c] - f * m[i][c] for c in range(k)]
+    for low in range(0, k, PANEL):
+        high = min(low + PANEL, k)
+        pivots = []
+        for i in range(low, high):
+            if not m[i, i] > tolerance:
+                dropped.append(i)
+                continue
+            pivots.append(i)
+            m[i + 1 : high, i:] -= np.outer(m[i, i + 1 : high] / m[i, i], m[i, i:])
+        if pivots and high < k:
+            rows = m[pivots, high:]
+            m[high:, high:] -= (rows / m[pivots, pivots][:, None]).T @ rows
     return dropped
 
 
@@ -52,7 +66,7 @@ def aliased_positions(df: DataFrame, features: str, tolerance: float = 1e-9) ->
     """Positions of a vector column that are constant or a linear function of earlier ones."""
     spread = df.select(Summarizer.variance(F.col(features)).alias("v")).first()["v"].toArray()
     r = Correlation.corr(df, features).first()[0].toArray()
-    return _dependent(r.tolist(), spread.tolist(), tolerance)
+    return _dependent(r, spread, tolerance)
 
 
 def aliased_columns(df: DataFrame, cols: Sequence[str], tolerance: float = 1e-9) -> list[str]:

@@ -196,24 +196,40 @@ def n_distinct(c: str, count_null: bool = True) -> Column:
     return seen + F.coalesce(F.max(F.col(c).isNull().cast("int")), F.lit(0)) if count_null else seen
 
 
+def distinct_counts(df: DataFrame, distinct: Mapping[str, str], count_null: bool = True) -> DataFrame:
+    """One row of distinct counts (output name -> column).
+
+    Rows are grouped by all the columns first, so that only distinct combinations are expanded, once per column.
+    """
+    combinations = df.select(*dict.fromkeys(distinct.values())).distinct()
+    return combinations.agg(*[n_distinct(c, count_null).alias(name) for name, c in distinct.items()])
+
+
 def quality_metrics(
     df: DataFrame, distinct: Mapping[str, str], share: str, event: Column, digits: int = 3
 ) -> DataFrame:
-    """Size, distinct counts (output name -> column), mean share, and events with their rate."""
-    return df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
+    """Size, distinct counts (output name -> column), mean share, and events with their rate.
+
+    All of them are read off one table of sums per combination of the counted columns.
+    """
+    sums = {
+        "_n": F.count(F.lit(1)), "_s": F.sum(F.col(share).cast("double")), "_k": F.count(share), "_e": F.count_if(event), "_ek": F.count(event),
+    }
+    cells = df.groupBy(*dict.fromkeys(distinct.values())).agg(*[c.alias(n) for n, c in sums.items()])
+    return cells.agg(
+        F.sum("_n").alias("n_rows"),
         *[n_distinct(c).alias(name) for name, c in distinct.items()],
-        F.round(F.avg(share), digits).alias("mean_share"),
-        F.count_if(event).alias("n_events"),
-        F.round(F.avg(event.cast("double")) * 100, 2).alias("event_rate"),
-    )
+        F.round(F.try_divide(F.sum("_s"), F.sum("_k")), digits).alias("mean_share"),
+        F.sum("_e").alias("n_events"),
+        F.round(F.try_divide(F.sum("_e"), F.sum("_ek")) * 100, 2).alias("event_rate"),
+    ).withColumns({c: F.coalesce(c, F.lit(0).cast("bigint")) for c in ("n_rows", "n_events")})
 
 
 def level_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Number of levels per categorical column and whether there are at least two."""
-    items = [F.struct(F.lit(c).alias("column"), F.count_distinct(c).alias("n_levels")) for c in cols]
-    out = df.agg(F.array(*items).alias("_i")).select(F.inline("_i"))
-    return out.withColumn("usable", F.col("n_levels") >= 2)
+    counts = distinct_counts(df, {f"_n{i}": c for i, c in enumerate(cols)}, count_null=False)
+    items = [F.struct(F.lit(c).alias("column"), F.col(f"_n{i}").alias("n_levels")) for i, c in enumerate(cols)]
+    return counts.select(F.inline(F.array(*items))).withColumn("usable", F.col("n_levels") >= 2)
 
 
 def require_two_classes(df: DataFrame, label: str) -> None:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from padronix.functions.text import shorten
 from padronix.functions.values import pct
-from padronix.operators.quality import n_distinct
+from padronix.operators.quality import distinct_counts, n_distinct
 from padronix.operators.quantiles import quantiles, quantiles_of
 from padronix.operators.sizing import join_table
 
@@ -175,13 +175,15 @@ def executive_summary(
         [0.5],
         also={
             "n_rows": F.count(F.lit(1)),
-            **{name: n_distinct(c) for name, c in distinct.items()},
             "mean_share": F.round(F.avg(share), 3),
             "event_rate": F.round(F.avg(event.cast("double")) * 100, 2),
             "mean_size": F.round(F.avg(size), 1),
         },
     )
-    return row.withColumn("median_share", F.round("q0", 3)).drop("q0")
+    counts = distinct_counts(df, distinct).select(F.struct(*distinct).alias("c")).scalar()
+    row = row.withColumn("_c", counts).withColumn("median_share", F.round("q0", 3))
+    rest = [c for c in row.columns if c not in ("n_rows", "_c", "q0")]
+    return row.select("n_rows", *[F.col(f"_c.{name}").alias(name) for name in distinct], *rest)
 
 
 def most_frequent(df: DataFrame, col: str, n: Column) -> Column:

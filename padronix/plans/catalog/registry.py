@@ -223,6 +223,21 @@ def registry_area_targets(spark, d):
     )
 
 
+PANEL = ("share_women", "size_mid", "export_quintile")
+PANEL_ROWS = 2000
+
+
+@query(
+    f"WITH s AS (SELECT * FROM ({FULL}) ORDER BY md5(concat_ws('|', '42', owner_id, branch, \"year\")) LIMIT {PANEL_ROWS}) "
+    + " UNION ALL ".join(f"SELECT '{a}' AS var1, '{b}' AS var2, round(corr({a}, {b}), 3) AS r FROM s" for a in PANEL for b in PANEL if a != b)
+    + " UNION ALL "
+    + " UNION ALL ".join(f"SELECT '{c}', '{c}', 1.0::DOUBLE" for c in PANEL)
+)
+def registry_pairs_panel(spark, d):
+    """Correlations of the panel, over a sample of fixed size as the analysis has it."""
+    return explore.pairs_panel(full(spark, d), PANEL, PANEL_ROWS)[0]
+
+
 @query()
 def registry_hypotheses(spark, d):
     rows = full(spark, d).persist()

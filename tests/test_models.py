@@ -107,6 +107,27 @@ def test_aliased_columns(spark):
     assert aliased_columns(df, ["a", "b", "k", "c", "d"]) == ["k", "c", "d"]
 
 
+def test_elimination_in_panels_equals_plain_elimination():
+    import time
+
+    import numpy as np
+    from padronix.operators import correlation
+
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(900, 300))
+    for j, of in ((40, (3, 5)), (130, (128, 129)), (200, (1, 199)), (299, (0, 150))):
+        x[:, j] = x[:, of[0]] - 2 * x[:, of[1]]
+    x[:, 77] = 4.0
+    with np.errstate(invalid="ignore"):
+        r = np.corrcoef(x, rowvar=False)
+    assert correlation._dependent(r, x.var(axis=0), 1e-9) == [40, 77, 130, 200, 299]
+    k = 3000
+    wide = np.full((k, k), -1.0 / (k - 1))  # dummies of one factor, all levels: the last is a function of the others
+    np.fill_diagonal(wide, 1.0)
+    started = time.monotonic()
+    assert correlation._dependent(wide, np.ones(k), 1e-9) == [k - 1] and time.monotonic() - started < 30
+
+
 def test_correlations(spark):
     df = spark.range(20).select(F.col("id").alias("a"), (-F.col("id")).alias("b"), (F.col("id") % 4).alias("c"))
     r = {(x.var1, x.var2): x.r for x in corr_matrix(df, ["a", "b", "c"]).collect()}
