@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from itertools import pairwise
 
-from pyspark.ml.clustering import KMeans, KMeansModel
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +21,8 @@ from padronix.operators.sizing import pin_small
 from padronix.operators.threads import side_by_side
 
 MEASURES = ("euclidean", "squaredEuclidean")
+POOL = 4096  # random rows that starts are drawn from
+ROWS_AT_ONCE = 2048  # rows whose distances to all centres a task holds
 BLOCK_POINTS = 1_000  # points that each row is compared with at a time
 
 
@@ -63,14 +68,96 @@ def prepare(groups: DataFrame, cols: Sequence[str]) -> Prepared:
     return Prepared(table, kept, scaling)
 
 
-def kmeans_best(table: DataFrame, k: int, nstart: int = 25, seed: int = 42, parallelism: int = 8) -> KMeansModel:
-    """The model of lowest cost among `nstart` random starts; `table` should be cached."""
+@dataclass(frozen=True)
+class Centres:
+    """The centres of a clustering in scaled units, and its within sum of squares."""
+
+    points: list[list[float]]
+    cost: float
+
+    def clusterCenters(self) -> list[list[float]]:
+        return self.points
+
+    def transform(self, table: DataFrame, features: str = "features", prediction: str = "prediction") -> DataFrame:
+        """`table` with the number of the nearest centre, the first of equally near ones."""
 
-    def fit(start: int) -> KMeansModel:
-        return KMeans(k=k, seed=seed + start, initMode="random", maxIter=50, tol=1e-6).fit(table)
+        def gap(c: Sequence[float]) -> Column:
+            parts = F.zip_with(F.col("_x"), F.array(*[F.lit(float(v)) for v in c]), lambda a, b: (a - b) * (a - b))
+            return F.aggregate(parts, F.lit(0.0), lambda s, v: s + v)
 
-    models = side_by_side(table.sparkSession, fit, range(nstart), parallelism)
-    return min(models, key=lambda m: m.summary.trainingCost)
+        placed = table.withColumn("_x", vector_to_array(features)).withColumn("_g", F.array(*[gap(c) for c in self.points]))
+        nearest = F.array_position("_g", F.array_min("_g")) - 1
+        return placed.withColumn(prediction, nearest.cast("int")).drop("_x", "_g")
+
+
+def kmeans_all(
+    table: DataFrame, ks: Sequence[int], nstart: int = 25, seed: int = 42, steps: int = 50, tolerance: float = 1e-6, features: str = "features"
+) -> dict[int, Centres]:
+    """For each k the centres of lowest cost among `nstart` random starts.
+
+    All starts of all k move together: one pass over the rows per step assigns them to every set of centres, and one
+    aggregate adds up counts, sums and costs of all centres. Starts are distinct rows out of POOL random ones. A set stops
+    when no centre moves by more than the tolerance; an empty cluster keeps its centre. The driver holds the centres.
+    """
+    rows = table.select(vector_to_array(features).alias("x"))
+    spread = F.xxhash64("x", F.lit(seed))
+    pool = np.array([r["x"] for r in rows.distinct().orderBy(spread, "x").limit(POOL).collect()], float)
+    if not len(pool):
+        raise ValueError("there are no rows to cluster")
+    sets = []
+    for k in ks:
+        for start in range(nstart):
+            picked = np.random.default_rng([seed, k, start]).permutation(len(pool))[:k]
+            sets.append((k, pool[picked]))
+    best: dict[int, Centres] = {}
+    for step in range(steps + 1):
+        following = []
+        for (k, centres), (count, sums, cost) in zip(sets, _assigned(rows, [c for _, c in sets]), strict=True):
+            moved = np.where(count[:, None] > 0, sums / np.maximum(count, 1)[:, None], centres)
+            if step < steps and ((moved - centres) ** 2).sum(axis=1).max() > tolerance**2:
+                following.append((k, moved))
+            elif k not in best or cost < best[k].cost:
+                best[k] = Centres(centres.tolist(), cost)
+        sets = following
+        if not sets:
+            break
+    return best
+
+
+def _assigned(rows: DataFrame, sets: Sequence[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    """(rows per centre, their sums, within sum of squares) of each set of centres."""
+    offsets = np.concatenate(([0], np.cumsum([len(c) for c in sets])))
+    every = np.concatenate(sets)
+    m, d = every.shape
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((m, d + 2))
+        squares = (every**2).sum(axis=1)
+        for batch in batches:
+            whole = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
+            for low in range(0, len(whole), ROWS_AT_ONCE):
+                x = whole[low : low + ROWS_AT_ONCE]
+                gaps = squares - 2 * x @ every.T
+                for a, b in pairwise(offsets):
+                    own = gaps[:, a:b].argmin(axis=1) + a
+                    total[:, 0] += np.bincount(own, minlength=m)
+                    total[:, 1] += np.bincount(own, ((x - every[own]) ** 2).sum(axis=1), m)
+                    for j in range(d):
+                        total[:, j + 2] += np.bincount(own, x[:, j], m)
+        flat = total.reshape(-1)
+        at = np.flatnonzero(flat)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(flat[at])], names=["cell", "total"])
+
+    out = np.zeros(m * (d + 2))
+    for r in rows.mapInArrow(run, "cell bigint, total double").groupBy("cell").agg(F.sum("total").alias("total")).collect():
+        out[r["cell"]] = r["total"]
+    out = out.reshape(m, d + 2)
+    return [(out[a:b, 0], out[a:b, 2:], float(out[a:b, 1].sum())) for a, b in pairwise(offsets)]
+
+
+def kmeans_best(table: DataFrame, k: int, nstart: int = 25, seed: int = 42) -> Centres:
+    """The centres of lowest cost among `nstart` random starts; `table` should be cached."""
+    return kmeans_all(table, [k], nstart, seed)[k]
 
 
 def total_ss(table: DataFrame, cols: Sequence[str]) -> float:
@@ -89,13 +176,13 @@ def k_curves(
     """
     table = prepared.table
     z = [f"z_{c}" for c in prepared.cols]
+    models = kmeans_all(table, [k for k in ks if k > 1], nstart, seed)
 
     def curve(k: int) -> tuple[int, float, float | None, str | None]:
         if k == 1:
             return 1, total_ss(table, z), None, None
-        model = kmeans_best(table, k, nstart, seed, parallelism=1)
-        widths = silhouette_points(model.transform(table), z, "prediction", measure=measure)
-        return k, float(model.summary.trainingCost), widths.agg(F.avg("width")).first()[0], measure
+        widths = silhouette_points(models[k].transform(table), z, "prediction", measure=measure)
+        return k, models[k].cost, widths.agg(F.avg("width")).first()[0], measure
 
     out = side_by_side(table.sparkSession, curve, ks, parallelism)
     return table.sparkSession.createDataFrame(out, "k int, wss double, silhouette double, measure string")
@@ -216,7 +303,7 @@ def cluster_median(assigned: DataFrame, cluster: str, x: str, digits: int = 3) -
     return out.select("cluster", F.round("q0", digits).alias(f"median_{x}"))
 
 
-def centroids(prepared: Prepared, model: KMeansModel) -> DataFrame:
+def centroids(prepared: Prepared, model: Centres) -> DataFrame:
     """Cluster centres in scaled and in original units, one row per (cluster, variable)."""
     out = []
     for i, center in enumerate(model.clusterCenters()):

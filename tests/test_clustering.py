@@ -55,7 +55,7 @@ def test_published_groups_are_found(fitted):
 def test_quality_measures(fitted):
     assigned, prepared, model = fitted
     z = [f"z_{c}" for c in prepared.cols]
-    assert model.summary.trainingCost == pytest.approx(49.3918, abs=2e-3)
+    assert model.cost == pytest.approx(49.3918, abs=2e-3)
     quality = clustering.cluster_quality(assigned, z, "cluster").first()
     assert quality.wss == pytest.approx(49.3918, abs=2e-3) and quality.bss_ratio == pytest.approx(0.5427, abs=2e-4)
     assert quality.tss == pytest.approx(quality.wss + quality.bss, abs=1e-5)
@@ -127,3 +127,29 @@ def test_single_member_cluster_has_width_zero(spark):
     df = spark.createDataFrame([(0.0, 0), (1.0, 0), (9.0, 1)], "x double, c int")
     widths = {r.x: r.width for r in clustering.silhouette_points(df, ["x"], "c", keep=["x"]).collect()}
     assert widths == {0.0: pytest.approx(8 / 9), 1.0: pytest.approx(7 / 8), 9.0: 0.0}
+
+
+def test_all_starts_together_equal_separate_starts(spark):
+    """Every start of every k, moved by itself in plain numpy, ends where the common passes end."""
+    import numpy as np
+    from pyspark.ml.feature import VectorAssembler
+
+    rng = np.random.default_rng(2)
+    x = np.concatenate([rng.normal(m, 0.3, (40, 2)) for m in ((0, 0), (3, 1), (1, 4))] + [np.zeros((5, 2))])
+    table = spark.createDataFrame([tuple(map(float, r)) for r in x], "a double, b double").repartition(3)
+    table = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(table).cache()
+    found = clustering.kmeans_all(table, [1, 2, 3, 5], nstart=4, seed=9)
+    order = F.xxhash64(F.array("a", "b"), F.lit(9))
+    pool = np.array([tuple(r) for r in table.select("a", "b").distinct().orderBy(order, F.array("a", "b")).collect()])
+    for k, got in found.items():
+        costs = []
+        for start in range(4):
+            c = pool[np.random.default_rng([9, k, start]).permutation(len(pool))[:k]]
+            for _ in range(50):
+                own = ((x[:, None] - c[None]) ** 2).sum(axis=2).argmin(axis=1)
+                c = np.array([x[own == i].mean(axis=0) if (own == i).any() else c[i] for i in range(k)])
+            costs.append(float(((x[:, None] - c[None]) ** 2).sum(axis=2).min(axis=1).sum()))
+        assert got.cost == pytest.approx(min(costs), rel=1e-6) and len(got.points) == k
+    assigned = found[3].transform(table)
+    widths = clustering.silhouette_points(assigned, ["a", "b"], "prediction").agg(F.avg("width")).first()[0]
+    assert widths > 0.6 and assigned.groupBy("prediction").count().where("count >= 40").count() == 3
