@@ -548,12 +548,29 @@ def test_decontamination_equals_sql_on_odd_texts(spark, odd_table, empty_table):
     same_as_sql(got, decontamination.SQL, rows, benchmark=known)
     pieces = decontamination.find_contamination(odd.table(spark, rows), bench, keep=["doc_id"], automaton_bytes=50)
     assert sorted(pieces.collect(), key=repr) == sorted(decontamination.find_contamination(odd.table(spark, rows), bench, keep=["doc_id"]).collect(), key=repr)
+    one, many = (decontamination.find_contamination(odd_table, bench, automaton_bytes=n) for n in (10**6, 200))
+    assert one.columns == many.columns and sorted(many.collect(), key=repr) == sorted(one.collect(), key=repr)
+    assert decontamination.find_contamination(empty_table, bench, automaton_bytes=200).count() == 0
     clean = decontamination.clean_documents(odd_table, bench)
     assert clean.columns == odd_table.columns and 0 < clean.count() < odd_table.count()
     assert decontamination.find_contamination(odd_table, bench.limit(0)).where("n_hit > 0").count() == 0
     assert decontamination.find_contamination(empty_table, bench).count() == 0
 
 
+def test_decontamination_pieces_hold_every_window():
+    rng = random.Random(4)
+    for _ in range(200):
+        window = rng.randint(1, 5)
+        items = [(str(i), " ".join(rng.choice("abcdef") * rng.randint(1, 6) for _ in range(rng.randint(0, 40))).encode()) for i in range(rng.randint(1, 5))]
+        limit = rng.randint(1, 60)
+        whole = decontamination.windows_of(items, window)
+        parts: dict = {}
+        for piece in decontamination.pieces_of(items, window, limit):
+            for pattern, (n, ids) in decontamination.windows_of(piece, window).items():
+                parts.setdefault(pattern, (n, set()))[1].update(ids)
+        assert parts == whole
+
+
 def test_decontamination_spans_are_in_the_original(spark):
     text = "Ünder: one,TWO three -- four five\nsix seven eight nine ten! éleven"
     docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
