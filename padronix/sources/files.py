@@ -14,22 +14,22 @@ from padronix.operators.quality import stack_rows
 ENCODINGS = ("UTF-8", "ISO-8859-1")
 
 
+def csv_options(delimiter: str, multi_line: bool) -> dict:
+    return {
+        "sep": delimiter,
+        "quote": '"',
+        "escape": '"',
+        "multiLine": str(multi_line).lower(),
+        "nullValue": "NA",
+        "ignoreLeadingWhiteSpace": "true",
+        "ignoreTrailingWhiteSpace": "true",
+        "mode": "PERMISSIVE",
+    }
+
+
 def _read_csv(spark: SparkSession, path: str, encoding: str, delimiter: str, multi_line: bool) -> DataFrame:
     # every column is text: types are forced later, where bad values can be counted
-    return spark.read.csv(
-        path,
-        header=True,
-        inferSchema=False,
-        encoding=encoding,
-        sep=delimiter,
-        quote='"',
-        escape='"',
-        multiLine=multi_line,
-        nullValue="NA",
-        ignoreLeadingWhiteSpace=True,
-        ignoreTrailingWhiteSpace=True,
-        mode="PERMISSIVE",
-    )
+    return spark.read.options(header=True, inferSchema=False, encoding=encoding, **csv_options(delimiter, multi_line)).csv(path)
 
 
 def _has_broken_text(df: DataFrame) -> bool:
@@ -49,7 +49,8 @@ def read_csv_safe(
     """Read a delimited file with a header under the first encoding that decodes cleanly.
 
     A doubled quote inside quotes is a quote. With `multi_line` a quoted field may hold line breaks, and a file is
-    read by one task; large files without such fields are split among tasks with `multi_line` off.
+    read by one task; `quoted.read_quoted_csv` splits such files among tasks. Files without such fields are split
+    with `multi_line` off.
     "NA" and empty fields become NULL. A missing file raises FileNotFoundError; text that no listed
     encoding can decode raises UnicodeError.
     """
