@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 from padronix.functions.text import shorten, squish, title_case
 from padronix.functions.values import recode, safe_ratio, three_way
-from padronix.operators import cleaning, joins, quality
+from padronix.operators import cleaning, joins, quality, spelling
 from padronix.plans.catalog.base import LINES_PARTS, STAR, query
 from padronix.plans.catalog.quality import ALL_RULES, ORDERS_GAPS, order_rules, orders_gaps
 from padronix.plans.star import lines_parts, table
@@ -261,3 +261,46 @@ def unpivot(spark, d):
     return long.groupBy("variable", "p_type").agg(F.round(F.sum("value"), 2).alias("total"))
 
 
+# Nation names of customers with letters dropped, replaced or moved, in other cases, or replaced by another word.
+SPELLINGS = """SELECT c_custkey, CASE c_custkey % 6
+    WHEN 1 THEN substring(n_name, 1, k) || substring(n_name, k + 2) WHEN 2 THEN substring(n_name, 1, k) || '#' || substring(n_name, k + 2)
+    WHEN 3 THEN 'Z' || substring(n_name, 1, CAST(length(n_name) - 1 AS INTEGER)) WHEN 4 THEN c_mktsegment WHEN 5 THEN lower(n_name) ELSE n_name END AS spelling
+  FROM (SELECT c.*, n.n_name, CAST(c_custkey % length(n_name) AS INTEGER) AS k FROM customer c JOIN nation n ON c_nationkey = n_nationkey)"""
+
+NEAREST = f"""WITH s AS (SELECT spelling, count(*) AS n FROM ({SPELLINGS}) GROUP BY 1),
+d AS (SELECT spelling, n_name, CAST(levenshtein(lower(spelling), lower(n_name)) AS INTEGER) AS distance FROM s, nation),
+r AS (SELECT spelling, distance, count(*) AS n_ties, min(n_name) AS n_name FROM d WHERE distance <= 2 GROUP BY 1, 2),
+b AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY spelling ORDER BY distance) = 1),
+m AS (SELECT spelling, n, CASE WHEN n_ties = 1 THEN n_name END AS match, distance, coalesce(n_ties, 0) AS n_ties
+  FROM s LEFT JOIN b USING (spelling))"""
+
+
+def _spelled(spark, d):
+    named = table(spark, d, "customer").join(table(spark, d, "nation"), F.expr("c_nationkey = n_nationkey"))
+    name, k = F.col("n_name"), (F.col("c_custkey") % F.length("n_name")).cast("int")
+    head, tail = F.substring(name, F.lit(1), k), F.substring(name, k + 2, F.length(name))
+    way = F.col("c_custkey") % 6
+    spelling = (
+        F.when(way == 1, F.concat(head, tail))
+        .when(way == 2, F.concat(head, F.lit("#"), tail))
+        .when(way == 3, F.concat(F.lit("Z"), F.substring(name, F.lit(1), F.length(name) - 1)))
+        .when(way == 4, F.col("c_mktsegment"))
+        .when(way == 5, F.lower(name))
+        .otherwise(name)
+    )
+    return named.select("c_custkey", spelling.alias("spelling"))
+
+
+def _matches(spark, d):
+    return spelling.match_names(_spelled(spark, d), "spelling", table(spark, d, "nation"), "n_name", 2, F.lower)
+
+
+@query(f"{NEAREST} SELECT * FROM m")
+def match_names(spark, d):
+    return _matches(spark, d)
+
+
+@query(f"""{NEAREST} SELECT coalesce(match, q.spelling) AS spelling, count(*) AS n FROM ({SPELLINGS}) q JOIN m USING (spelling) GROUP BY 1""")
+def repair_names(spark, d):
+    fixed = spelling.repair_names(_spelled(spark, d), "spelling", _matches(spark, d))
+    return fixed.groupBy("spelling").agg(F.count(F.lit(1)).alias("n"))

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from padronix.operators import correlation, distribution
+from padronix.operators import correlation, distribution, local_regression
 from padronix.plans.catalog.base import LINES_PARTS, query
 from padronix.plans.star import lines_parts, table
 
@@ -86,6 +86,26 @@ def binned_trend(spark, d):
     return distribution.binned_trend(lines_parts(spark, d), "p_size", "l_extendedprice", 10)
 
 
+@query()
+def local_trend(spark, d):
+    return local_regression.local_regression(lines_parts(spark, d), "p_size", "l_extendedprice")
+
+
+@query("""
+WITH r AS (SELECT regr_slope(l_extendedprice, p_size) AS b, regr_intercept(l_extendedprice, p_size) AS a,
+  min(p_size) AS lo, max(p_size) AS hi, count(*) AS n, avg(p_size) AS m, regr_sxx(l_extendedprice, p_size) AS sxx,
+  sqrt((regr_syy(l_extendedprice, p_size) - regr_sxy(l_extendedprice, p_size) ** 2 / regr_sxx(l_extendedprice, p_size)) / (count(*) - 2)) AS s
+  FROM lineitem JOIN part ON l_partkey = p_partkey),
+g AS (SELECT CAST(unnest(range(40)) AS INTEGER) AS point)
+SELECT point, round(lo + (hi - lo) * point / 39.0, 4) AS x, round(a + b * (lo + (hi - lo) * point / 39.0), 4) AS fit,
+  round(s * sqrt(1.0 / n + (lo + (hi - lo) * point / 39.0 - m) ** 2 / sxx), 4) AS se FROM g, r
+""")
+def local_trend_of_wide_span(spark, d):
+    """Lines fitted to all rows at nearly equal weights are one straight line, with its standard error."""
+    out = local_regression.local_regression(lines_parts(spark, d), "p_size", "l_extendedprice", span=1e6, degree=1, points=40, digits=4)
+    return out.select("point", "x", "fit", "se")
+
+
 NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
 
 

@@ -13,6 +13,7 @@ from padronix.functions.values import recode, safe_ratio, three_way, to_int
 from padronix.operators import quality
 from padronix.operators.cleaning import apply_rules, canonicalize, conform, dedupe, squish_columns, unmapped
 from padronix.operators.joins import integrate, orphan_keys, orphan_summary
+from padronix.operators.spelling import match_names
 from padronix.sources.contracts import CONTRACTS, public_schema, publish
 from padronix.sources.files import write_report, write_table
 
@@ -213,6 +214,12 @@ def unmapped_provinces(full: DataFrame) -> DataFrame:
     return unmapped(full, "province", "region", NO_REGION)
 
 
+def province_spellings(table: DataFrame, max_distance: int = 2) -> DataFrame:
+    """Every province spelling with the nearest known province, whatever its case and accents (see `match_names`)."""
+    known = [(p,) for names in REGIONS.values() for p in names]
+    return match_names(table, "province", table.sparkSession.createDataFrame(known, "name string"), "name", max_distance, plain)
+
+
 def build(raw: Mapping[str, DataFrame], stamp: bool = True) -> Registry:
     """Clean every raw table and integrate. Lazy: nothing runs until a result is used."""
     activities = clean_activities(raw["actividades"])
@@ -262,6 +269,7 @@ def write_registry(registry: Registry, folder: str) -> None:
     write_report(quality.retention(audit), f"{folder}/reports/retention")
     write_report(kpis(full), f"{folder}/reports/kpis")
     write_report(unmapped_provinces(full), f"{folder}/reports/unmapped_provinces")
+    write_report(province_spellings(full).where("distance > 0 OR match IS NULL"), f"{folder}/reports/province_spellings")
 
 
 def write_validation(raw: Mapping[str, DataFrame], folder: str) -> None:
