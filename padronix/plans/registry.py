@@ -16,6 +16,7 @@ from padronix.operators.joins import integrate, orphan_keys, orphan_summary
 from padronix.operators.spelling import match_names
 from padronix.sources.contracts import CONTRACTS, public_schema, publish
 from padronix.sources.files import write_report, write_table
+from padronix.sources.published import publish_partitions
 
 # Spellings and their canonical names.
 PROVINCE_RULES = [
@@ -272,6 +273,19 @@ def write_registry(registry: Registry, folder: str) -> None:
     write_report(province_spellings(full).where("distance > 0 OR match IS NULL"), f"{folder}/reports/province_spellings")
 
 
+def publish_years(registry: Registry, folder: str) -> dict[str, dict]:
+    """Replace the years that the facts hold, other years stay; returns each table's audit counts.
+
+    Read the tables with `published.read_published`. Each table appears at once; the integrated one comes last.
+    """
+    facts = {"area_activity": registry.area_activity, "establishments": registry.establishments, "establishments_full": registry.full}
+    return {
+        name: publish_partitions(table, f"{folder}/{name}", "year", {"no_year": F.count_if(F.col("year").isNull())})
+        for name, table in facts.items()
+        if table is not None
+    }
+
+
 def write_validation(raw: Mapping[str, DataFrame], folder: str) -> None:
     """Write every check of `validate` as a report."""
     for name, table in validate(raw).items():

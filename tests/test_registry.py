@@ -1,5 +1,7 @@
 """The registry pipeline on small raw tables with one fault each."""
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,6 +10,7 @@ from padronix.operators.cleaning import dedupe, rule_report, unmapped
 from padronix.operators.joins import keep_valid, orphan_keys, orphan_summary
 from padronix.operators.quality import n_distinct
 from padronix.plans import registry
+from padronix.sources import published
 from padronix.sources.contracts import CONTRACTS
 
 
@@ -142,6 +145,19 @@ def test_written_registry(built, spark, tmp_path):
     assert (kpis.n_rows, kpis.provinces, kpis.years, kpis.n_events) == (3, 2, 2, 3)
 
 
+def test_published_years_leave_others(built, spark, tmp_path):
+    folder = str(tmp_path / "out")
+    audit = registry.publish_years(built, folder)
+    rows = published.read_published(spark, f"{folder}/establishments_full")
+    assert rows.count() == built.full.count() == audit["establishments_full"]["n_rows"]
+    one = replace(built, establishments=built.establishments.where("year = 2022"), full=built.full.where("year = 2022").limit(0))
+    assert registry.publish_years(one, folder)["establishments"]["no_year"] == 0
+    for name in ("establishments", "establishments_full"):
+        now = published.read_published(spark, f"{folder}/{name}")
+        assert sorted(now.columns) == sorted(getattr(built, "full" if name.endswith("full") else name).columns)
+        assert now.count() == getattr(built, "full" if name.endswith("full") else name).count()
+
+
 def test_unmapped_labels_are_reported(spark):
     df = spark.createDataFrame([("Atlantida",), ("CABA",), ("Atlantida",)], "province string")
     df = df.withColumn("region", registry.region_of(F.col("province")))
@@ -173,7 +189,6 @@ def test_key_checks(spark):
 def test_a_full_run_writes_every_table(spark, tmp_path):
     """The tables of FIXTURES F4, from the smallest generated tables and with few trees."""
     import os
-    from dataclasses import replace
 
     from padronix.operators import models
     from padronix.plans import hypotheses, results
@@ -191,7 +206,7 @@ def test_a_full_run_writes_every_table(spark, tmp_path):
         gender=replace(hypotheses.GENDER, **few),
     )
     assert set(os.listdir(f"{folder}/reports")) == {
-        "audit", "retention", "kpis", "unmapped_provinces", "sector_profile", "sector_clusters", "cluster_profile",
+        "audit", "retention", "kpis", "unmapped_provinces", "province_spellings", "sector_profile", "sector_clusters", "cluster_profile",
         "executive_summary", "insights", "hypotheses", "algorithms", "model_comparison", "classification_summary",
     }
     assert {"contract", "missing", "profile_text", "profile_numeric", "summary"} <= set(os.listdir(f"{folder}/validation"))
