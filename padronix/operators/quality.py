@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from padronix.functions.values import equal_width_bin, is_missing, pct
-from padronix.operators.quantiles import quantiles_of, unpivot
-from padronix.operators.sizing import join_table, pin_small
+from padronix.operators.wide_quantiles import wide_quantiles
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -46,43 +45,57 @@ def duplicate_count(df: DataFrame, keys: Sequence[str] | None = None) -> DataFra
     )
 
 
+def _value_key(c: str) -> list[Column]:
+    """Columns that are equal where values are: a long text is told by its length and a digest."""
+    size = F.length(c)
+    return [size.alias("_size"), F.when(size > 64, F.sha2(c, 256)).otherwise(F.col(c)).alias("_value")]
+
+
 def profile_text(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Per text column: missing, completeness, lengths, empty, distinct, blank."""
-    value = F.col("value")
-    return (
-        unpivot(df, cols)
-        .groupBy(F.col("variable").alias("column"))
-        .agg(
-            F.count_if(value.isNull()).alias("n_missing"),
-            F.round(F.avg(value.isNotNull().cast("double")), 4).alias("complete_rate"),
-            F.min(F.length(value)).alias("min_length"),
-            F.max(F.length(value)).alias("max_length"),
-            F.count_if(value == "").alias("n_empty"),
-            F.count_distinct(value).alias("n_unique"),
-            F.count_if(value.rlike(r"^\s+$")).alias("n_blank"),
-        )
+    """Per text column: missing, completeness, lengths, empty, distinct, blank.
+
+    One wide aggregate, and one scan of each column alone for its distinct values.
+    """
+    texts = [F.col(c).cast("string") for c in cols]
+    wide = df.agg(
+        *[
+            F.struct(
+                F.count_if(t.isNull()).alias("n_missing"),
+                F.round(F.avg(t.isNotNull().cast("double")), 4).alias("complete_rate"),
+                F.min(F.length(t)).alias("min_length"),
+                F.max(F.length(t)).alias("max_length"),
+                F.count_if(t == "").alias("n_empty"),
+                F.count_if(t.rlike(r"^\s+$")).alias("n_blank"),
+            ).alias(f"_t{i}")
+            for i, t in enumerate(texts)
+        ]
     )
+    rows = []
+    for i, c in enumerate(cols):
+        values = df.select(F.col(c).cast("string").alias("_text")).where(F.col("_text").isNotNull()).select(*_value_key("_text"))
+        n_unique = values.distinct().agg(F.count(F.lit(1)).alias("n")).scalar()
+        names = ["n_missing", "complete_rate", "min_length", "max_length", "n_empty"]
+        measures = [F.col(f"_t{i}")[n].alias(n) for n in names]
+        rows.append(F.struct(F.lit(c).alias("column"), *measures, n_unique.alias("n_unique"), F.col(f"_t{i}")["n_blank"].alias("n_blank")))
+    return wide.select(F.inline(F.array(*rows)))
 
 
 def profile_numeric(df: DataFrame, cols: Sequence[str], bins: int = 5, digits: int = 4) -> DataFrame:
     """Per numeric column: missing, completeness, mean, sd, five quantiles and a small histogram."""
-    value = F.col("value")
     moments = {
-        "n_missing": F.count_if(value.isNull()),
-        "complete_rate": F.round(F.avg(value.isNotNull().cast("double")), 4),
-        "mean": F.round(F.avg(value), digits),
-        "sd": F.round(F.stddev_samp(value), digits),
+        "n_missing": lambda c: F.count_if(c.isNull()),
+        "complete_rate": lambda c: F.round(F.avg(c.isNotNull().cast("double")), 4),
+        "mean": lambda c: F.round(F.avg(c), digits),
+        "sd": lambda c: F.round(F.stddev_samp(c), digits),
     }
-    shape = quantiles_of(df, cols, [0.0, 0.25, 0.5, 0.75, 1.0], also=moments)
-    shape = pin_small(shape, len(cols))  # one row per column
-    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    long = unpivot(doubles, cols).where(value.isNotNull())
-    binned = join_table(long, shape.select("variable", "q0", "q4"), ["variable"], small=True)
-    bin_id = equal_width_bin(value, F.col("q0"), F.col("q4"), bins)
-    counts = [F.count_if(bin_id == i).cast("string") for i in range(bins)]
-    hist = binned.groupBy("variable").agg(F.concat_ws("|", *counts).alias("hist"))
+
+    def hist(c: Column, low: Column, high: Column) -> Column:
+        bin_id = equal_width_bin(c, low, high, bins)
+        return F.concat_ws("|", *[F.count_if(bin_id == i).cast("string") for i in range(bins)])
+
+    shape = wide_quantiles(df, cols, [0.0, 0.25, 0.5, 0.75, 1.0], moments, {"hist": hist})
     names = ["p0", "p25", "p50", "p75", "p100"]
-    return shape.join(hist, "variable", "left").select(
+    return shape.select(
         F.col("variable").alias("column"),
         *moments,
         *[F.round(f"q{i}", digits).alias(n) for i, n in enumerate(names)],
@@ -99,7 +112,7 @@ def profile(df: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
 
 def six_number(df: DataFrame, cols: Sequence[str], digits: int = 4) -> DataFrame:
     """Minimum, quartiles, mean and maximum per column."""
-    marks = quantiles_of(df, cols, [0.0, 0.25, 0.5, 0.75, 1.0], also={"mean": F.avg("value")})
+    marks = wide_quantiles(df, cols, [0.0, 0.25, 0.5, 0.75, 1.0], {"mean": F.avg})
     names = ["min", "q1", "median", "q3", "max"]
     return marks.select(
         F.col("variable").alias("column"),

@@ -12,6 +12,7 @@ from padronix.functions.values import pct
 from padronix.operators.quality import distinct_counts, n_distinct
 from padronix.operators.quantiles import quantiles, quantiles_of
 from padronix.operators.sizing import join_table
+from padronix.operators.wide_quantiles import wide_quantiles
 
 
 def freq(df: DataFrame, col: str, digits: int = 2) -> DataFrame:
@@ -42,9 +43,11 @@ def composition(df: DataFrame, group: str, category: str, digits: int = 4) -> Da
 
 def describe_num(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), digits: int = 4) -> DataFrame:
     """Mean, median, sd, quartiles and extremes per column (and group), skipping NULL."""
-    by, value = list(by), F.col("value")
-    moments = {"mean": F.avg(value), "sd": F.stddev_samp(value), "min": F.min(value), "max": F.max(value)}
-    out = quantiles_of(df, cols, [0.25, 0.5, 0.75], by, also=moments)
+    by, moments = list(by), {"mean": F.avg, "sd": F.stddev_samp, "min": F.min, "max": F.max}
+    if by:
+        out = quantiles_of(df, cols, [0.25, 0.5, 0.75], by, also={name: make("value") for name, make in moments.items()})
+    else:
+        out = wide_quantiles(df, cols, [0.25, 0.5, 0.75], moments)
     order = {"mean": "mean", "median": "q1", "sd": "sd", "q1": "q0", "q3": "q2", "min": "min", "max": "max"}
     return out.select("variable", *by, *[F.round(c, digits).alias(name) for name, c in order.items()])
 
