@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 from padronix.functions.text import shorten, squish, title_case
 from padronix.functions.values import recode, safe_ratio, three_way
-from padronix.operators import cleaning, joins, quality, spelling
+from padronix.operators import cleaning, joins, quality, quantiles, spelling
 from padronix.plans.catalog.base import LINES_PARTS, STAR, query
 from padronix.plans.catalog.quality import ALL_RULES, ORDERS_GAPS, order_rules, orders_gaps
 from padronix.plans.star import lines_parts, table
@@ -257,7 +257,7 @@ SELECT variable, p_type, round(sum(value), 2) AS total FROM (
   SELECT 'l_tax', p_type, l_tax FROM s UNION ALL SELECT 'l_discount', p_type, l_discount FROM s) GROUP BY 1, 2
 """)
 def unpivot(spark, d):
-    long = quality.unpivot(lines_parts(spark, d), ["l_quantity", "l_tax", "l_discount"], ["p_type"])
+    long = quantiles.unpivot(lines_parts(spark, d), ["l_quantity", "l_tax", "l_discount"], ["p_type"])
     return long.groupBy("variable", "p_type").agg(F.round(F.sum("value"), 2).alias("total"))
 
 
