@@ -13,9 +13,11 @@ import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 K = 4_096  # size of a sketch: some 40 KB
 
@@ -47,10 +49,9 @@ def _looked_up(df: DataFrame, asked: Sequence[tuple[bytes, list[float]]]) -> lis
     """Values of sketches at shares of their ranks. The sketches are a local table of bounded size."""
     if not asked:
         return []
-    schema = T.StructType([T.StructField(f"s{i}", T.BinaryType()) for i in range(len(asked))])
-    held = df.sparkSession.createDataFrame([tuple(s for s, _ in asked)], schema)
+    held = df.sparkSession.createDataFrame(pa.table({f"s{i}": pa.array([s], pa.binary()) for i, (s, _) in enumerate(asked)}))
     shares = [F.array(*[F.lit(x) for x in at]) for _, at in asked]
-    return list(held.select(*[F.kll_sketch_get_quantile_double(f"s{i}", at) for i, at in enumerate(shares)]).first())
+    return list(held.select(*[F.kll_sketch_get_quantile_double(f"s{i}", at) for i, at in enumerate(shares)]).collect()[0])
 
 
 def wide_quantiles(
@@ -142,7 +143,9 @@ def wide_quantiles(
     fields = [T.StructField("variable", T.StringType())]
     fields += [T.StructField(name, kind) for name, kind in zip([*also, *ranged], kinds, strict=True)]
     fields += [T.StructField(f"q{i}", T.DoubleType()) for i in range(len(probs))]
-    return df.sparkSession.createDataFrame(rows, T.StructType(fields))
+    schema = T.StructType(fields)
+    columns = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), to_arrow_schema(schema), strict=True)]
+    return df.sparkSession.createDataFrame(pa.table(columns, schema.names), schema)  # a local table: no job reads it
 
 
 def _counts(v: Column, what: tuple[float, float] | _Span, k: int) -> Column:
