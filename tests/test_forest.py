@@ -161,3 +161,60 @@ def test_a_forest_learns_ranks_and_survives_saving(spark, tmp_path):
     assert again.score(df).exceptAll(scored).count() == 0
     with pytest.raises(ValueError):
         models.out_of_bag_importance(again)
+
+
+def test_forests_of_groups_equal_those_of_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(forest, "SLAB_ROWS", 150)
+    monkeypatch.setattr(forest, "PIECE_GROUPS", 7)
+    monkeypatch.setattr(forest, "GROUPS", 40)
+    r = made_rows()
+    r.bins[:, 1:4] //= 3  # so that many rows are equal
+    rows = [(int(i), int(y), int(p), b.tobytes()) for i, y, p, b in zip(r.ids, r.y, r.part, r.bins, strict=True)]
+    rows += rows[:30]  # some ids come twice
+    chunks = forest.pack(spark.createDataFrame(rows, "id bigint, y int, part int, bins binary").repartition(3), 100).cache()
+    growths = [*GROWTHS, Growth(0, 2, 7, 3, 7, BINS)]
+    counts = [int(r.trains(g.split).sum()) for g in growths]
+    mine = forest.grow_groups(chunks, growths, WIDTH, f"file://{tmp_path}/g")
+    assert pieces_of(mine) == pieces_of(forest.grow_forests(chunks, growths, counts, WIDTH, f"file://{tmp_path}/r"))
+    scores = {(x.fit, x.id): (x.y, round(x.score, 12)) for x in forest.held_out_group_scores(mine, chunks, growths, WIDTH).collect()}
+    assert scores == votes_of(forest.grow_forests(chunks, growths, counts, WIDTH, f"file://{tmp_path}/v"))
+    assert forest.count_groups(chunks, growths) == 41  # more than the limit
+    bits = r.part & np.bitwise_or(*forest._mask(growths))
+    assert forest.count_groups(chunks, growths, 10_000) == len({(y, p, b.tobytes()) for y, p, b in zip(r.y, bits, r.bins, strict=True)})
+
+
+def test_groups_of_many_wide_columns_are_told_apart():
+    rng = np.random.default_rng(1)
+    table = rng.integers(0, 255, (400, 30))
+    table = np.concatenate((table, table[:150]))
+    first, of = forest.distinct(list(table.T))
+    assert len(first) == 400 and (table[first][of] == table).all()
+
+
+def test_a_leaf_of_any_size_is_no_task(spark, tmp_path):
+    """Rows that one threshold decides: the leaves are known when the root is split, and no task gets all their rows."""
+    n = 2000
+    rng = np.random.default_rng(5)
+    bins = np.stack((np.arange(n) % 2, rng.integers(0, BINS, n)), axis=1).astype(np.uint8)
+    part = np.where(np.arange(n) % 3 == 0, 1 << HELD, 1).astype(np.int32)
+    rows = [(int(i), int(b[0]), int(p), b.tobytes()) for i, b, p in zip(rng.integers(0, 1 << 62, n), bins, part, strict=True)]
+    chunks = forest.pack(spark.createDataFrame(rows, "id bigint, y int, part int, bins binary").repartition(3), 50).cache()
+    growths = [Growth(0, 2, 4, 5, 1, BINS)]
+    grown = forest.grow_forests(chunks, growths, [int((part == 1).sum())], 2, f"file://{tmp_path}/g", 100)
+    assert max(len(x.held) for x in grown.where("votes IS NOT NULL").collect()) <= 50
+    assert {(x.y, x.score) for x in forest.held_out_scores(grown).collect()} == {(0, 0.0), (1, 1.0)}
+
+
+def test_a_model_is_the_same_from_groups_and_from_rows(spark, monkeypatch):
+    df = spark.range(800).selectExpr("id", "cast(id % 7 as double) x", "cast(id % 3 as double) z", "if(id % 7 + id % 5 > 5, 'yes', 'no') y")
+    spec = models.Spec(label="y", positive="yes", numeric=("x", "z"), key=("id",), folds=2, forest={"numTrees": 6, "maxDepth": 5}, mtry=(1, 2))
+    rows = forest.grow_forests
+    monkeypatch.setattr(forest, "grow_forests", None)
+    groups = models.fit_forest(df, spec)
+    monkeypatch.setattr(forest, "grow_forests", rows)
+    monkeypatch.setattr(forest, "GROUPS", 3)
+    one = models.fit_forest(df, spec)
+    found, want = ({(r.candidate, r.fold): r.auc for r in m.cv.collect()} for m in (groups, one))
+    assert found == pytest.approx(want)
+    assert groups.score(df).exceptAll(one.score(df)).count() == 0
+    assert models.impurity_importance(groups).collect() == models.impurity_importance(one).collect()
