@@ -33,7 +33,7 @@ SHINGLE = 4
 SEED = 42
 DISTANCE = 4  # what the keys are complete for
 SHINGLES_AT_ONCE = 65_536
-PRINTS_PER_TASK = 50_000  # fingerprints whose keys one task makes
+PRINTS_PER_TASK = 5_000  # fingerprints whose keys, up to 108 each, one task makes and counts without spilling
 GROUP_ROWS = 32_768  # fingerprints of one side of a comparison inside a key
 HOT_ROWS = 1_000_000  # rows of a key from which its rows are not dealt by it
 SMALL_KEYS = 500_000  # keys that are broadcast, at 16 bytes each
@@ -233,6 +233,11 @@ def _rest_links(rows: DataFrame, distance: int) -> DataFrame:
     return keyed.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(run, LINKS)
 
 
+def _dealt(prints: DataFrame) -> DataFrame:
+    """Fingerprints in as many tasks as their keys need."""
+    return prints.repartition(max(1, -(-prints.count() // PRINTS_PER_TASK)), "fingerprint")
+
+
 def fingerprint_components(prints: DataFrame, folder: str, distance: int = DISTANCE) -> DataFrame:
     """(fingerprint, label) of distinct fingerprints: label is the smallest one (signed) reachable by links.
 
@@ -244,8 +249,7 @@ def fingerprint_components(prints: DataFrame, folder: str, distance: int = DISTA
     if distance > DISTANCE:
         raise ValueError(f"the keys find all pairs up to {DISTANCE} bits")
     bounded_batches(prints.sparkSession)
-    tasks = max(1, -(-prints.count() // PRINTS_PER_TASK))
-    prints = prints.repartition(tasks, "fingerprint")
+    prints = _dealt(prints)
     keyed = _key_rows(prints, [])
     members = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("fingerprint").alias("a"), F.max("fingerprint").alias("b"))
     met = materialize(members.where("n > 1"), folder, "keys")
@@ -257,8 +261,7 @@ def fingerprint_components(prints: DataFrame, folder: str, distance: int = DISTA
 
     labelled = prints.join(first, "fingerprint", "left").select("fingerprint", F.coalesce("label", "fingerprint").alias("label"))
     labelled = materialize(labelled, folder, "labelled")
-    labelled = labelled.repartition(tasks, "fingerprint")
-    again = materialize(_of_keys(_key_rows(labelled, ["label"]), large.select("key", "n")), folder, "again")
+    again = materialize(_of_keys(_key_rows(_dealt(labelled), ["label"]), large.select("key", "n")), folder, "again")
     split = again.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("n")).where("x <> y")
     split = materialize(split.select("key", F.ceil(F.col("n") / GROUP_ROWS).cast("int").alias("n")), folder, "split")
     placed = _of_keys(again.drop("n"), split).withColumn("chunk", F.pmod(F.xxhash64("fingerprint"), F.col("n")).cast("int"))

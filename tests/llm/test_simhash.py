@@ -124,3 +124,8 @@ def test_query_on_the_smallest_tables(spark):
     want = sorted((r.doc_id, f"{p:016x}", c) for r, p, c in zip(rows, prints, ids, strict=True))
     found = QUERIES["op12_golay_simhash"](spark, SMALL)
     assert sorted(map(tuple, found.collect())) == want and found.columns == ["doc_id", "fingerprint", "component_id"]
+
+
+def test_keys_of_few_fingerprints_are_counted_by_several_tasks(spark):
+    """A task that makes the keys of 50,000 fingerprints spills, and one task alone hides how the shuffle grows."""
+    assert simhash._dealt(spark.range(20_000).select(F.col("id").alias("fingerprint"))).rdd.getNumPartitions() >= 4
