@@ -104,7 +104,7 @@ def _store(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         free_worker()
-        press = zstandard.ZstdCompressor(level=1)
+        press = zstandard.ZstdCompressor(level=5)
         held: dict[bytes, bytes] = {}
         known: dict[bytes, int] = {}
         total = 0
@@ -164,6 +164,29 @@ def _split(token: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (token >> np.uint64(64 - bits)).astype(np.int64), (token >> np.uint64(32 - bits)).astype(np.uint32)
 
 
+def _pressed(tokens: np.ndarray) -> bytes:
+    """Sorted 32-bit numbers by Elias and Fano: the low bits as they are, the high ones as gaps in unary; two bits more
+    each than their mean distance needs."""
+    n = len(tokens)
+    low = ((1 << 32) // max(n, 1)).bit_length() - 1  # 32 at most
+    bits = np.unpackbits(tokens.astype(">u4").view(np.uint8).reshape(n, 4), axis=1)[:, 32 - low :]
+    high = (tokens.astype(np.int64) >> low) + np.arange(n)
+    marks = np.zeros(int(high[-1]) + 1 if n else 0, np.uint8)
+    marks[high] = 1
+    return n.to_bytes(4, "little") + np.packbits(bits).tobytes() + np.packbits(marks).tobytes()
+
+
+def _pressed_out(body: bytes) -> np.ndarray:
+    n = int.from_bytes(body[:4], "little")
+    low = ((1 << 32) // max(n, 1)).bit_length() - 1  # 32 at most
+    cut = 4 + -(-n * low // 8)
+    bits = np.unpackbits(np.frombuffer(body[4:cut], np.uint8), count=n * low).reshape(n, low)
+    rest = np.zeros((n, 32), np.uint8)
+    rest[:, 32 - low :] = bits
+    high = np.flatnonzero(np.unpackbits(np.frombuffer(body[cut:], np.uint8))) - np.arange(n)
+    return (np.packbits(rest, axis=1).view(">u4").reshape(n).astype(np.int64) | (high << low)).astype(np.uint32)
+
+
 def _local_counts(packs: DataFrame, bits: int, size: int) -> DataFrame:
     """Per pack and part: the shingles that occur in the pack and in how many of its texts."""
 
@@ -180,7 +203,7 @@ def _local_counts(packs: DataFrame, bits: int, size: int) -> DataFrame:
                     [
                         pa.array(full, pa.int32()),
                         pa.array([row["pack"]] * len(full)),
-                        pa.array([tokens[cuts[p] : cuts[p + 1]].tobytes() for p in full], pa.binary()),
+                        pa.array([_pressed(tokens[cuts[p] : cuts[p + 1]]) for p in full], pa.binary()),
                         pa.array([_thin(counts[cuts[p] : cuts[p + 1]]) for p in full], pa.binary()),
                     ],
                     names=["part", "pack", "tokens", "counts"],
@@ -207,7 +230,7 @@ def _shared_counts(local: DataFrame) -> DataFrame:
 
     def total(key: tuple, table: pa.Table) -> pa.Table:
         packs = table.column("pack").to_pylist()
-        tokens = [np.frombuffer(t, np.uint32) for t in table.column("tokens").to_pylist()]
+        tokens = [_pressed_out(t) for t in table.column("tokens").to_pylist()]
         counts = [_thick(c, len(t)) for c, t in zip(table.column("counts").to_pylist(), tokens, strict=True)]
         everything = np.concatenate(tokens)
         order = np.argsort(everything, kind="stable")
@@ -222,7 +245,8 @@ def _shared_counts(local: DataFrame) -> DataFrame:
             at += len(t)
             more = n > 1
             if more.any():
-                out.append((key[0].as_py(), pack, t[more].tobytes(), np.minimum(n[more], 0xFFFFFFFF).astype(np.uint32).tobytes()))
+                n = np.minimum(n[more], 0xFFFFFFFF)
+                out.append((key[0].as_py(), pack, _pressed(t[more]), n.astype(np.min_scalar_type(n.max())).tobytes()))
         kinds = (pa.int32(), pa.string(), pa.binary(), pa.binary())
         names = ["part", "pack", "tokens", "counts"]
         return pa.Table.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=names)
@@ -243,9 +267,9 @@ def _matrix_rows(packs: DataFrame, shared: DataFrame, bits: int, size: int, perc
         if left.num_rows and right.num_rows:
             keys, counts = [], []
             for r in right.to_pylist():
-                tokens = np.frombuffer(r["tokens"], np.uint32).astype(np.uint64)
+                tokens = _pressed_out(r["tokens"]).astype(np.uint64)
                 keys.append((np.uint64(r["part"]) << np.uint64(32)) | tokens)
-                counts.append(np.frombuffer(r["counts"], np.uint32))
+                counts.append(np.frombuffer(r["counts"], f"u{len(r['counts']) // len(tokens)}").astype(np.uint32))
             known, held_by = np.concatenate(keys), np.concatenate(counts)
             order = np.argsort(known)
             known, held_by = known[order], held_by[order]

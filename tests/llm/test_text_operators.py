@@ -855,3 +855,14 @@ def test_queries_equal_their_sql(spark, name):
     got = QUERIES[name](spark, SMALL)
     assert sorted(got.columns) == sorted(want.columns)
     assert sorted((tuple(r) for r in got.select(*want.columns).collect()), key=repr) == sorted(want.fetchall(), key=repr)
+
+
+def test_sorted_shingles_are_stored_in_fewer_bits():
+    rng = np.random.default_rng(4)
+    top = (1 << 32) - 1
+    for n, most in ((0, 4), (1, 12), (2, 14), (160, 3.4 * 160), (10_000, 2.6 * 10_000), (300_000, 2 * 300_000)):
+        tokens = np.unique(rng.integers(0, top + 1, n, dtype=np.uint64)).astype(np.uint32)
+        body = jaccard._pressed(tokens)
+        assert len(body) <= most and (jaccard._pressed_out(body) == tokens).all()
+    for few in ([0], [top], [0, top], [*range(500)], [top - 1, top]):
+        assert jaccard._pressed_out(jaccard._pressed(np.array(few, np.uint32))).tolist() == few
