@@ -128,4 +128,4 @@ def test_query_on_the_smallest_tables(spark):
 
 def test_keys_of_few_fingerprints_are_counted_by_several_tasks(spark):
     """A task that makes the keys of 50,000 fingerprints spills, and one task alone hides how the shuffle grows."""
-    assert simhash._dealt(spark.range(20_000).select(F.col("id").alias("fingerprint"))).rdd.getNumPartitions() >= 4
+    assert simhash._dealt(spark.range(20_000).selectExpr("id as fingerprint")).rdd.getNumPartitions() >= 4
