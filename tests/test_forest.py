@@ -218,3 +218,22 @@ def test_a_model_is_the_same_from_groups_and_from_rows(spark, monkeypatch):
     assert found == pytest.approx(want)
     assert groups.score(df).exceptAll(one.score(df)).count() == 0
     assert models.impurity_importance(groups).collect() == models.impurity_importance(one).collect()
+
+
+def test_large_rows_are_written_and_read_a_few_at_a_time(spark, tmp_path):
+    import glob
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from padronix.operators.shared import written
+
+    rows = spark.range(0, 400, 1, 1).selectExpr("repeat(cast(id AS string), 60000) AS chunk")
+    out = written(rows, str(tmp_path / "chunks"), large_rows=True)
+    assert out.count() == 400
+    (file,) = glob.glob(str(tmp_path / "chunks" / "*.parquet"))
+    groups = [pq.ParquetFile(file).metadata.row_group(i) for i in range(pq.ParquetFile(file).num_row_groups)]
+    assert max(g.total_byte_size for g in groups) < 24 << 20 and {g.column(0).compression for g in groups} == {"UNCOMPRESSED"}
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([b"a", None], pa.binary())], names=["unit", "y"])
+    assert next(forest._rows(batch)) == batch.to_pylist()[0] and list(forest._rows(batch)) == batch.to_pylist()
+    assert forest.SLAB_ROWS <= 500_000
