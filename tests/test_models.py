@@ -193,3 +193,35 @@ def test_registered_forests_try_all_candidates_in_all_folds_with_all_trees(spark
 def test_the_reduced_comparison_forest_has_six_predictors_and_a_hundred_trees():
     spec = hypotheses.GENDER_REDUCED
     assert len(spec.categorical) + len(spec.numeric) == 6 and spec.forest["numTrees"] == 100 and tuple(spec.mtry) == (2, 3)
+
+
+def test_one_table_of_flags_holds_every_training_part(data):
+    rows = data.select(
+        F.when(F.col("y") == "yes", 1.0).otherwise(0.0).alias(models.LABEL), F.md5(F.col("id").cast("string")).alias(models.ORDER), "id"
+    )
+    spec = replace(SPEC, folds=3, seed=1, key=("id",))
+    folded = models.assign_folds(rows, models.LABEL, 3, 1, ["id"], order=models.ORDER)
+    for down in (True, False):
+        split, sizes = models._splits(rows, replace(spec, down=down))
+        for f in range(4):
+            part = folded.where(F.col("fold") != f)
+            want = models.downsample(part, models.LABEL, 1, ["id"], order=models.ORDER) if down else part
+            got = [r.id for r in split.where(f"in{f}").collect()]
+            assert sorted(got) == sorted(r.id for r in want.collect()) and len(got) == sizes[f] > 0
+        assert models.ORDER not in split.columns
+        split.unpersist()
+
+
+def test_a_logit_keeps_one_table_while_it_is_validated(spark, data, monkeypatch):
+    kept = []
+    validate = models.cross_validate
+
+    def watched(*args):
+        kept.append(spark.sparkContext._jsc.getPersistentRDDs().size() - before)
+        return validate(*args)
+
+    monkeypatch.setattr(models, "cross_validate", watched)
+    data.count()
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    models.fit_logit(data, SPEC)
+    assert kept == [1]
