@@ -110,3 +110,15 @@ def test_density_of_skewed_values_equals_a_direct_kernel_sum(spark):
 def test_density_of_equal_values(spark):
     rows = distribution.density(spark.createDataFrame([(3.0,)] * 5, "x double"), "x").collect()
     assert len(rows) == 64 and all(r.density > 0 for r in rows)
+
+
+def test_quality_metrics_group_by_each_column_alone(spark):
+    rows = [("x", 1, 0.5, True), ("x", 2, None, False), (None, 2, 1.0, None), ("y", None, 0.0, True), ("y", None, 0.0, True)]
+    df = spark.createDataFrame(rows, "a string, b int, s double, e boolean")
+    out = quality.quality_metrics(df, {"as": "a", "bs": "b", "again": "a"}, "s", F.col("e"))
+    assert out.first().asDict() == {
+        "n_rows": 5, "as": 3, "bs": 3, "again": 3, "mean_share": 0.375, "n_events": 3, "event_rate": 75.0
+    }
+    assert "spark_grouping_id" in out._jdf.queryExecution().optimizedPlan().toString()  # not by their combinations
+    none = quality.quality_metrics(df.limit(0), {"as": "a"}, "s", F.col("e")).first()
+    assert tuple(none) == (0, 0, None, 0, None)
