@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from itertools import pairwise
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +26,7 @@ MEASURES = ("euclidean", "squaredEuclidean")
 POOL = 4096  # random rows that starts are drawn from
 ROWS_AT_ONCE = 2048  # rows whose distances to all centres a task holds
 BLOCK_POINTS = 1_000  # points that each row is compared with at a time
+FEW_CLUSTERS = 50  # clusters whose distances are spelled out, one expression each
 
 
 def group_features(
@@ -82,8 +85,8 @@ class Centres:
         """`table` with the number of the nearest centre, the first of equally near ones."""
 
         def gap(c: Sequence[float]) -> Column:
-            parts = F.zip_with(F.col("_x"), F.array(*[F.lit(float(v)) for v in c]), lambda a, b: (a - b) * (a - b))
-            return F.aggregate(parts, F.lit(0.0), lambda s, v: s + v)
+            parts = [(F.col("_x")[j] - float(v)) * (F.col("_x")[j] - float(v)) for j, v in enumerate(c)]
+            return reduce(add, parts)  # plain sums, which Spark compiles
 
         placed = table.withColumn("_x", vector_to_array(features)).withColumn("_g", F.array(*[gap(c) for c in self.points]))
         nearest = F.array_position("_g", F.array_min("_g")) - 1
@@ -109,10 +112,19 @@ def kmeans_all(
         for start in range(nstart):
             picked = np.random.default_rng([seed, k, start]).permutation(len(pool))[:k]
             sets.append((k, pool[picked]))
+    blocks = _blocks(rows, pool.shape[1]).persist()
+    try:
+        return _moved(blocks, sets, steps, tolerance)
+    finally:
+        blocks.unpersist()
+
+
+def _moved(blocks: DataFrame, sets: list[tuple[int, np.ndarray]], steps: int, tolerance: float) -> dict[int, Centres]:
+    """For each k the best of the sets of centres, moved until they stay."""
     best: dict[int, Centres] = {}
     for step in range(steps + 1):
         following = []
-        for (k, centres), (count, sums, cost) in zip(sets, _assigned(rows, [c for _, c in sets]), strict=True):
+        for (k, centres), (count, sums, cost) in zip(sets, _assigned(blocks, [c for _, c in sets]), strict=True):
             moved = np.where(count[:, None] > 0, sums / np.maximum(count, 1)[:, None], centres)
             if step < steps and ((moved - centres) ** 2).sum(axis=1).max() > tolerance**2:
                 following.append((k, moved))
@@ -124,7 +136,19 @@ def kmeans_all(
     return best
 
 
-def _assigned(rows: DataFrame, sets: Sequence[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, float]]:
+def _blocks(rows: DataFrame, d: int) -> DataFrame:
+    """Rows (x: array of d doubles) packed, up to ROWS_AT_ONCE together: vectors are unpacked once, not in every pass."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            whole = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
+            some = [whole[low : low + ROWS_AT_ONCE].tobytes() for low in range(0, len(whole), ROWS_AT_ONCE)]
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.binary())], names=["block"])
+
+    return rows.mapInArrow(run, "block binary")
+
+
+def _assigned(blocks: DataFrame, sets: Sequence[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, float]]:
     """(rows per centre, their sums, within sum of squares) of each set of centres."""
     offsets = np.concatenate(([0], np.cumsum([len(c) for c in sets])))
     every = np.concatenate(sets)
@@ -134,9 +158,8 @@ def _assigned(rows: DataFrame, sets: Sequence[np.ndarray]) -> list[tuple[np.ndar
         total = np.zeros((m, d + 2))
         squares = (every**2).sum(axis=1)
         for batch in batches:
-            whole = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
-            for low in range(0, len(whole), ROWS_AT_ONCE):
-                x = whole[low : low + ROWS_AT_ONCE]
+            for block in batch.column(0):
+                x = np.frombuffer(block.as_buffer(), np.float64).reshape(-1, d)
                 gaps = squares - 2 * x @ every.T
                 for a, b in pairwise(offsets):
                     own = gaps[:, a:b].argmin(axis=1) + a
@@ -149,7 +172,7 @@ def _assigned(rows: DataFrame, sets: Sequence[np.ndarray]) -> list[tuple[np.ndar
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(flat[at])], names=["cell", "total"])
 
     out = np.zeros(m * (d + 2))
-    for r in rows.mapInArrow(run, "cell bigint, total double").groupBy("cell").agg(F.sum("total").alias("total")).collect():
+    for r in blocks.mapInArrow(run, "cell bigint, total double").groupBy("cell").agg(F.sum("total").alias("total")).collect():
         out[r["cell"]] = r["total"]
     out = out.reshape(m, d + 2)
     return [(out[a:b, 0], out[a:b, 2:], float(out[a:b, 1].sum())) for a, b in pairwise(offsets)]
@@ -198,7 +221,7 @@ def silhouette_points(
 ) -> DataFrame:
     """Silhouette width of every row, for tables of any size.
 
-    "squaredEuclidean" needs each cluster's size, sums and squares only (one small aggregate, then one pass).
+    "squaredEuclidean" needs each cluster's size, sums and squares only (one small aggregate when called, then one pass).
     "euclidean" needs all distances: rows meet blocks of BLOCK_POINTS points of one cluster, and the sums over blocks are
     added up per row. No task holds more than a block beside its rows.
     """
@@ -212,10 +235,27 @@ def silhouette_points(
 
 def _squared_widths(rows: DataFrame, dims: int, keep: Sequence[str]) -> DataFrame:
     def square(x: Column) -> Column:
-        return F.aggregate(F.transform(x, lambda v: v * v), F.lit(0.0), lambda a, v: a + v)
+        return reduce(add, [x[i] * x[i] for i in range(dims)])
 
     means = F.array(*[F.avg(F.col("_x")[i]) for i in range(dims)])
     stats = rows.groupBy("_c").agg(F.count(F.lit(1)).alias("m"), means.alias("mean"), F.avg(square(F.col("_x"))).alias("sq"))
+    few = stats.limit(FEW_CLUSTERS + 1).collect()
+    if not few or len(few) > FEW_CLUSTERS:
+        return _squared_widths_of_many(rows, stats, square, keep)
+    size, own, others = [], [], []
+    for g in few:
+        dot = reduce(add, [F.lit(v) * F.col("_x")[i] for i, v in enumerate(g["mean"])])
+        d = F.greatest(square(F.col("_x")) + F.lit(g["sq"]) - 2 * dot, F.lit(0.0))
+        here = F.col("_c") == F.lit(g["_c"])
+        size.append(F.when(here, F.lit(g["m"])))
+        own.append(F.when(here, d * g["m"] / (g["m"] - 1) if g["m"] > 1 else d))
+        others.append(F.when(~here, d))
+    # Columns of their own, as the width names each of them several times.
+    placed = rows.withColumns({"_m": F.coalesce(*size), "_a": F.coalesce(*own), "_b": F.least(F.lit(None).cast("double"), *others)})
+    return placed.select(*keep, F.col("_c").alias("cluster"), _width(F.col("_m"), F.col("_a"), F.col("_b")).alias("width"))
+
+
+def _squared_widths_of_many(rows: DataFrame, stats: DataFrame, square: Callable[[Column], Column], keep: Sequence[str]) -> DataFrame:
     every = stats.agg(F.collect_list(F.struct("_c", "m", "mean", "sq")).alias("g")).scalar()
 
     def distance(g: Column) -> Column:

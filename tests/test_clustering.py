@@ -2,7 +2,9 @@
 
 import random
 
+import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from padronix.operators import clustering
@@ -153,3 +155,31 @@ def test_all_starts_together_equal_separate_starts(spark):
     assigned = found[3].transform(table)
     widths = clustering.silhouette_points(assigned, ["a", "b"], "prediction").agg(F.avg("width")).first()[0]
     assert widths > 0.6 and assigned.groupBy("prediction").count().where("count >= 40").count() == 3
+
+
+def test_kmeans_unpacks_vectors_once(spark, monkeypatch):
+    packed = []
+    blocks = clustering._blocks
+    monkeypatch.setattr(clustering, "_blocks", lambda rows, d: packed.append(d) or blocks(rows, d))
+    table = spark.range(5000).selectExpr("array(double(id % 3) * 100 + id / 5000.0, double(id % 7)) AS a").select(array_to_vector("a").alias("features"))
+    found = clustering.kmeans_all(table, [1, 3], nstart=4)
+    assert packed == [2]
+    assert sorted(round(c[0] / 100) for c in found[3].points) == [0, 1, 2]
+    xs = np.array([[i % 3 * 100 + i / 5000, i % 7] for i in range(5000)])
+    assert abs(found[1].cost - ((xs - xs.mean(axis=0)) ** 2).sum()) < 1e-3
+
+
+def test_squared_widths_of_few_clusters_are_compiled_and_equal_those_of_many(spark, monkeypatch):
+    table = spark.range(300).selectExpr("id", "cast(id % 4 AS int) AS c", "id % 4 * 10 + id / 300.0D AS x", "id % 7 * 1.5D AS y")
+    table = table.unionAll(spark.createDataFrame([(300, 9, 99.0, 1.0)], table.schema))  # a lone row
+    for rows in (table, table.where("c = 2"), table.limit(0)):
+        few = clustering.silhouette_points(rows, ["x", "y"], "c", ["id"], "squaredEuclidean")
+        assert "lambda" not in few._jdf.queryExecution().optimizedPlan().toString() or not rows.count()
+        monkeypatch.setattr(clustering, "FEW_CLUSTERS", -1)
+        many = clustering.silhouette_points(rows, ["x", "y"], "c", ["id"], "squaredEuclidean")
+        monkeypatch.undo()
+        want = {r.id: (r.cluster, r.width) for r in many.collect()}
+        got = {r.id: (r.cluster, r.width) for r in few.collect()}
+        assert got.keys() == want.keys()
+        for i, (cluster, width) in got.items():
+            assert cluster == want[i][0] and width == (want[i][1] if want[i][1] is None else pytest.approx(want[i][1], abs=1e-9))
