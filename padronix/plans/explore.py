@@ -10,6 +10,7 @@ from padronix.operators import clustering, correlation, distribution, sampling,
 from padronix.plans.registry import GENDER_CLASSES
 
 NUMERIC = ["share_women", "size_mid", "export_quintile", "lat", "lon"]
+SECTOR_INPUT = ["section", "section_name", "share_women", "size_mid", "export_quintile", "size_class", "province"]
 SECTOR_COLUMNS = ["n", "mean_share", "median_share", "mean_size", "export_rate", "small_share", "areas"]
 EXECUTIVE = {"regions": "region", "provinces": "province", "sectors": "section_name"}
 ROW_KEY = ["owner_id", "branch", "year"]
