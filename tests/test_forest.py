@@ -237,3 +237,35 @@ def test_large_rows_are_written_and_read_a_few_at_a_time(spark, tmp_path):
     batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([b"a", None], pa.binary())], names=["unit", "y"])
     assert next(forest._rows(batch)) == batch.to_pylist()[0] and list(forest._rows(batch)) == batch.to_pylist()
     assert forest.SLAB_ROWS <= 500_000
+
+
+def losses_by_copies(chunks, pieces, g) -> dict:
+    """Losses outside the bags, as one slice of all rows, from copies of the rows with one column shuffled."""
+    block = Rows.of([c.asDict() for c in chunks.collect()])
+    block = block.where(block.trains(g.split))
+    lost: dict = {}
+    for t, tree in forest.trees_of(x.asDict() for x in pieces.collect()).items():
+        out_of = np.flatnonzero(forest.bag(block.ids, g.seed, t) == 0)
+        bins, y = block.bins[out_of], block.y[out_of]
+        right = ((tree.shares(bins) * 2 > forest.ONE) == (y > 0)).sum()
+        for j in np.unique(tree.feature[tree.feature >= 0]).tolist():
+            mixed = bins.copy()
+            mixed[:, j] = bins[np.random.default_rng([g.seed, t, 0, j]).permutation(len(y)), j]
+            now = ((tree.shares(mixed) * 2 > forest.ONE) == (y > 0)).sum()
+            lost[j] = lost.get(j, 0) + (int(right) - int(now)) / len(y) / g.trees
+    return lost
+
+
+@pytest.mark.parametrize("few", [True, False], ids=["few distinct rows", "many"])
+def test_losses_equal_shuffled_copies_and_rows_meet_trees_once(spark, tmp_path, few):
+    r, g = made_rows(), GROWTHS[1]
+    if few:
+        r.bins[:, :4] %= 2
+    assert (forest.Neighbours.of(r.bins) is not None) == few
+    rows = [(int(i), int(y), int(p), b.tobytes()) for i, y, p, b in zip(r.ids, r.y, r.part, r.bins, strict=True)]
+    packed = forest.pack(spark.createDataFrame(rows, "id bigint, y int, part int, bins binary").coalesce(1), N)
+    chunks = forest.written(packed, f"file://{tmp_path}/c")
+    pieces = forest.grow_forests(chunks, [g], [N], WIDTH, f"file://{tmp_path}/p").where("heap IS NOT NULL")
+    losses = forest.outside_bags(chunks, pieces, g)
+    assert losses._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1  # twice when sums were joined with themselves
+    assert {x.feature: x.loss for x in losses.collect()} == pytest.approx(losses_by_copies(chunks, pieces, g))
