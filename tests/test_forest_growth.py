@@ -1,9 +1,10 @@
 """Trees grown from packed words, run by run of nodes, equal those of plain counts per node."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from padronix.operators import forest
+from padronix.operators import forest, grower
 from padronix.operators.forest import Codes, Growth
 
 
@@ -68,3 +69,45 @@ def test_a_predictor_is_counted_in_its_own_bins(monkeypatch):
     everything = np.ones(500, bool)
     forest.grow(Codes.of(bins), y, everything, ~everything, ids, g, [0])
     assert 0 < sum(cells) <= 2 * 4
+
+
+@pytest.mark.parametrize("sizes, depth, mtry", [([32, 32, 11, 9, 2, 2, 1], 30, 3), ([32] * 40, 6, 7), ([256, 3], 60, 5)], ids=["a word", "words", "all tried"])
+def test_the_compiled_function_grows_the_same_trees(spark, tmp_path, monkeypatch, sizes, depth, mtry):
+    """Trees, gains and votes, of whole trees and of small nodes below large ones; before there was numpy alone."""
+    assert grower.registered(spark) == grower.NAME
+    rng = np.random.default_rng(depth)
+    n = 1500
+    bins = np.stack([rng.integers(0, k, n) for k in sizes], axis=1).astype(np.uint8)
+    y = (rng.random(n) < 0.3 + 0.4 * (bins[:, 0] > sizes[0] // 2)).astype(np.int64)
+    part = np.where(rng.random(n) < 0.2, 1 << forest.HELD, 1).astype(np.int32) | np.int32(2)
+    rows = forest.Rows(rng.integers(-(1 << 62), 1 << 62, n), y, part, bins)
+    packed = [rows.where(np.arange(n) % 3 == k).packed() for k in range(3)]
+    chunks = spark.createDataFrame(pa.Table.from_batches([forest._batch(packed, forest.CHUNK)]), schema=forest.CHUNK)
+    growths = [Growth(0, mtry, 5, depth, 5, 256), Growth(1, mtry, 5, depth, 6, 256, keep=True)]
+    monkeypatch.setattr(forest, "KEPT_ROWS", 2 * n)
+
+    def found(compiled, local_rows):
+        grown = forest.grow_forests(chunks, growths, [n, n], len(sizes), f"file://{tmp_path}/{compiled}{local_rows}", local_rows, compiled).collect()
+        nodes = {(r.fit, r.tree): [bytes(x) for x in (r.heap, r.feature, r.cut, r.share, r.gains)] for r in grown if r.heap is not None and local_rows >= n}
+        votes = np.zeros((n, 2), np.int64)
+        place = {int(i): k for k, i in enumerate(rows.ids)}
+        for r in grown:
+            if r.votes is not None:
+                at = [place[i] for i in np.frombuffer(r.id, np.int64).tolist()]
+                assert np.frombuffer(r.held, np.uint8).tolist() == y[at].tolist()
+                votes[at] += np.stack([np.frombuffer(r.votes, np.int64), np.full(len(at), r.n_trees)], axis=1)
+        return nodes, votes.tolist()
+
+    whole = found(True, n)
+    assert whole == found(False, n) and len(whole[0]) == 5
+    assert found(True, 300)[1] == whole[1]
+
+
+def test_too_much_for_the_compiled_function_is_grown_by_numpy(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(2)
+    rows = forest.Rows(rng.integers(0, 1 << 62, 200), rng.integers(0, 2, 200), np.full(200, 1, np.int32), rng.integers(0, 4, (200, 3)).astype(np.uint8))
+    chunks = spark.createDataFrame(pa.Table.from_batches([forest._batch([rows.packed()], forest.CHUNK)]), schema=forest.CHUNK)
+    g = [Growth(0, 2, 3, 30, 5, 4, keep=True)]
+    want = sorted(map(str, forest.grow_forests(chunks, g, [200], 3, f"file://{tmp_path}/a").collect()))
+    monkeypatch.setattr(grower, "MOST_BYTES", 10)
+    assert sorted(map(str, forest.grow_forests(chunks, g, [200], 3, f"file://{tmp_path}/b").collect())) == want and len(want) == 3
