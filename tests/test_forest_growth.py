@@ -111,3 +111,13 @@ def test_too_much_for_the_compiled_function_is_grown_by_numpy(spark, tmp_path, m
     want = sorted(map(str, forest.grow_forests(chunks, g, [200], 3, f"file://{tmp_path}/a").collect()))
     monkeypatch.setattr(grower, "MOST_BYTES", 10)
     assert sorted(map(str, forest.grow_forests(chunks, g, [200], 3, f"file://{tmp_path}/b").collect())) == want and len(want) == 3
+
+
+def test_trees_are_unpacked_one_by_one(monkeypatch):
+    """A task that meets many trees unpacked all of them at once."""
+    one = {"heap": np.array([1, 2, 3]), "feature": np.array([0, -1, -1]), "cut": np.array([0, 0, 0]), "share": np.array([0, 0, forest.ONE])}
+    rows = [forest._piece(0, t, one, np.zeros(1)) for t in (2, 0, 1)]
+    unpacked, plain = [], forest._unpacked
+    monkeypatch.setattr(forest, "_unpacked", lambda row: unpacked.append(row["tree"]) or plain(row))
+    for t, tree in forest.each_tree(rows):
+        assert unpacked == list(range(t + 1)) and tree.shares(np.array([[0], [1]], np.uint8)).tolist() == [0, forest.ONE]
