@@ -225,3 +225,15 @@ def test_a_logit_keeps_one_table_while_it_is_validated(spark, data, monkeypatch)
     before = spark.sparkContext._jsc.getPersistentRDDs().size()
     models.fit_logit(data, SPEC)
     assert kept == [1]
+
+
+def test_a_session_that_has_watched_a_write_fits_and_scores_logits(spark):
+    """Publishing watches its writes; after that no task took a logit ("Task not serializable")."""
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    df = spark.range(400).selectExpr("id", "cast(id % 10 as double) x", "if(id % 10 + id % 7 > 8, 'yes', 'no') y")
+    df.observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 400
+    model = models.fit_logit(df, models.Spec(label="y", positive="yes", numeric=("x",), key=("id",), folds=2))
+    assert model.cv.count() == 2 and model.score(df).where("score > 0.5").count() > 0
